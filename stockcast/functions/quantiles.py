@@ -1,23 +1,28 @@
 """Exact quantiles without gathering a column into one task.
 
-The order statistics x[r] (0-based, NULLs removed) are found by counting:
+The order statistics x[r] (0-based, NULLs removed) of each group are found by
+counting:
 
-1. distinct values with their counts (partial aggregation, shuffled by value),
-2. values spread over ``buckets`` ranges cut at approximate quantiles of the
-   distinct values (a bounded sketch),
-3. per-bucket totals -> running offsets over at most ``buckets`` rows,
+1. distinct (group, value) pairs with their counts (partial aggregation),
+2. per group, values spread over ``buckets`` ranges cut at approximate
+   quantiles of the distinct values (a bounded sketch per group),
+3. per (group, bucket) totals -> running offsets over at most ``buckets``
+   rows per group,
 4. a running count inside each bucket plus its offset gives, for every
-   distinct value, how many elements are <= it,
+   distinct value, how many elements of its group are <= it,
 5. x[r] is the smallest value whose running count exceeds r.
 
-No step holds more than one bucket of distinct values or ``buckets`` rows.
-The linear interpolation between x[i] and x[i+1] is NumPy's (its two-sided
-form), so edges equal the pandas ones; ``pandas_scaled`` reproduces how
-pandas passes q through percent (q*100/100), which decides ties of tertiles.
+No task holds more than one bucket of distinct values of one group, or
+``buckets`` rows. A hot value is one row after step 1, whatever its count.
+The interpolation between x[i] and x[i+1] is NumPy's two-sided linear form,
+so results equal pandas; ``pandas_scaled`` reproduces how pandas passes q
+through percent (q*100/100), which decides tertile ties.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,31 +31,38 @@ def _q_scaled(q: float, pandas_scaled: bool) -> float:
     return (q * 100) / 100 if pandas_scaled else q
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int = 64,
-                    pandas_scaled: bool = False, prefix: str = "q") -> DataFrame:
-    """One row: ``n`` and one column ``{prefix}{k}`` per q (linear interpolation)."""
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
+                    buckets: int = 64, pandas_scaled: bool = False, prefix: str = "q",
+                    accuracy: int = 10000) -> DataFrame:
+    """Per group of ``by`` (or one row): ``n`` and ``{prefix}{k}`` per q."""
+    keys = list(by) or ["_g"]
+    x = df.select(*[F.col(k) for k in by], F.col(col).cast("double").alias("x"))
+    if not by:
+        x = x.withColumn("_g", F.lit(0))
+    x = x.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    vc = x.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
     fr = [i / buckets for i in range(1, buckets)]
-    bounds = vc.agg(F.percentile_approx("x", fr, 10000).alias("b")).scalar()
+    bounds = vc.groupBy(*keys).agg(F.percentile_approx("x", fr, accuracy).alias("b"))
     # position of x among the sorted distinct bounds: monotone in x, so each
-    # bucket is one value range (subqueries cannot sit inside lambdas)
-    merged = F.sort_array(F.array_union(bounds, F.array(F.col("x"))))
-    vb = vc.withColumn("bucket", F.array_position(merged, F.col("x")))
-    totals = vb.groupBy("bucket").agg(F.sum("c").alias("bc"))
-    # at most `buckets` rows: a single-partition window is bounded here
+    # bucket is one value range of its group
+    vb = vc.join(bounds, keys).select(
+        *keys, "x", "c",
+        F.array_position(F.sort_array(F.array_union("b", F.array(F.col("x")))), F.col("x")).alias("bucket"),
+    )
+    totals = vb.groupBy(*keys, "bucket").agg(F.sum("c").alias("bc"))
+    by_bucket = Window.partitionBy(*keys).orderBy("bucket")
     totals = totals.select(
-        "bucket",
-        (F.coalesce(F.sum("bc").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                    F.lit(0))).alias("offset"),
-        F.sum("bc").over(Window.partitionBy()).alias("n"),
+        *keys, "bucket",
+        F.coalesce(F.sum("bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("offset"),
+        F.sum("bc").over(Window.partitionBy(*keys)).alias("n"),
     )
-    running = F.sum("c").over(Window.partitionBy("bucket").orderBy("x")
+    running = F.sum("c").over(Window.partitionBy(*keys, "bucket").orderBy("x")
                               .rowsBetween(Window.unboundedPreceding, 0))
-    cum = vb.join(F.broadcast(totals), "bucket").select("x", "n", (F.col("offset") + running).alias("cum"))
+    cum = vb.join(totals, keys + ["bucket"]).select(
+        *keys, "x", "n", (F.col("offset") + running).alias("cum"))
 
     aggs = [F.max("n").alias("n")]
-    picks = []
     for k, q in enumerate(qs):
         p = (F.col("n") - 1).cast("double") * F.lit(_q_scaled(q, pandas_scaled))
         i = F.floor(p)
@@ -58,14 +70,21 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], buckets: int = 64,
         aggs.append(F.min(F.when(F.col("cum") > i, F.col("x"))).alias(f"_lo{k}"))
         aggs.append(F.min(F.when(F.col("cum") > j, F.col("x"))).alias(f"_hi{k}"))
         aggs.append(F.max(p - i).alias(f"_g{k}"))
-        picks.append(k)
-    agg = cum.agg(*aggs)
-    out = [F.coalesce(F.col("n"), F.lit(0)).alias("n")]
-    for k in picks:
+    agg = cum.groupBy(*keys).agg(*aggs)
+    out = [F.col(k) for k in by] + [F.col("n")]
+    for k in range(len(qs)):
         lo, hi, g = F.col(f"_lo{k}"), F.col(f"_hi{k}"), F.col(f"_g{k}")
         out.append(F.when(g >= 0.5, hi - (hi - lo) * (1 - g)).otherwise(lo + (hi - lo) * g)
                    .alias(f"{prefix}{k}"))
-    return agg.select(*out)
+    res = agg.select(*out)
+    if not by:
+        # one row even for empty input
+        empty = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"),
+                                                *[F.lit(None).cast("double").alias(f"{prefix}{k}")
+                                                  for k in range(len(qs))])
+        res = res.unionByName(empty).agg(
+            F.max("n").alias("n"), *[F.max(f"{prefix}{k}").alias(f"{prefix}{k}") for k in range(len(qs))])
+    return res
 
 
 def tertile_edges(df: DataFrame, col: str, method: str = "reference", buckets: int = 64) -> DataFrame:

@@ -56,8 +56,9 @@ def clean(spark: SparkSession, sf: str, cfg: RestockConfig = PREDICT, cols=None)
 
 def features(spark: SparkSession, sf: str, cfg: RestockConfig = PREDICT) -> DataFrame:
     src = source(spark, sf)
-    cols = SALES_COLS_RESTOCK + (["Description"] if cfg.descriptions == "fanout" and False else [])
-    c = clean_sales(src.sales(cols), cfg)
+    # the star source answers description questions from `part`, so the
+    # line scan needs no Description column (no join before the reduction)
+    c = clean_sales(src.sales(SALES_COLS_RESTOCK), cfg)
     pairs = src.description_pairs() if cfg.descriptions == "fanout" else None
     return engineer_features(c, cfg, description_pairs=pairs)
 
@@ -78,3 +79,379 @@ def q_restock_recommendations(spark, sf):
 @query
 def q_restock_training(spark, sf):
     return rounded(restock(spark, sf, TRAINING), ["avg_price", "estimated_cost"])
+
+
+# --- sources and data checks ----------------------------------------------
+
+from stockcast.operators import clean as C  # noqa: E402
+from stockcast.operators import explore as EX  # noqa: E402
+from stockcast.operators import features as FE  # noqa: E402
+from stockcast.operators import report as RP  # noqa: E402
+from stockcast.operators import restock as RS  # noqa: E402
+from stockcast.operators import sample as SM  # noqa: E402
+from stockcast.functions.columns import format_invoice_date, parse_invoice_date  # noqa: E402
+from stockcast.functions.quantiles import tertile_edges  # noqa: E402
+from stockcast.sources import quality as QU  # noqa: E402
+
+
+@query
+def q_malformed_invoices(spark, sf):
+    return QU.malformed_invoices(source(spark, sf).sales())
+
+
+@query
+def q_dataset_shape(spark, sf):
+    return QU.dataset_shape(source(spark, sf).sales()).select(
+        F.col("rows").alias("n_rows"), F.col("columns").alias("n_columns"))
+
+
+# --- P1-P6 -----------------------------------------------------------------
+
+@query
+def q_parse_invoice_date(spark, sf):
+    s = source(spark, sf).sales(["Invoice", "StockCode", "InvoiceDate"])
+    t = s.select("Invoice", "StockCode", format_invoice_date("InvoiceDate").alias("InvoiceText"))
+    return t.withColumn("Parsed", parse_invoice_date("InvoiceText"))
+
+
+@query
+def q_date_parts(spark, sf):
+    s = source(spark, sf).sales(["Invoice", "StockCode", "InvoiceDate"])
+    return C.with_date_parts(s)
+
+
+@query
+def q_total_price(spark, sf):
+    s = source(spark, sf).sales(["Invoice", "StockCode", "Quantity", "Price"])
+    return C.with_total_price(s)
+
+
+@query
+def q_drop_returns(spark, sf):
+    return C.drop_returns(source(spark, sf).sales(["Invoice", "StockCode", "Quantity"]))
+
+
+@query
+def q_drop_cancelled(spark, sf):
+    return C.drop_cancelled(source(spark, sf).sales(["Invoice", "StockCode", "Quantity"]))
+
+
+@query
+def q_numeric_customer(spark, sf):
+    return C.numeric_customer(source(spark, sf).sales(["Invoice", "StockCode", "Customer ID"]))
+
+
+@query
+def q_clean_sales(spark, sf):
+    return clean(spark, sf, TRAINING)
+
+
+# --- A3-A7 -----------------------------------------------------------------
+
+@query
+def q_describe_sales(spark, sf):
+    d = EX.describe_sales(clean(spark, sf, PREDICT, SALES_COLS_RESTOCK))
+    return rounded(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+@query
+def q_top_products(spark, sf):
+    return EX.top_products(clean(spark, sf, PREDICT, SALES_COLS_RESTOCK))
+
+
+@query
+def q_sales_by_country(spark, sf):
+    return rounded(EX.sales_by_country(clean(spark, sf)), ["TotalPrice"], r4)
+
+
+@query
+def q_monthly_sales(spark, sf):
+    return rounded(EX.monthly_sales(clean(spark, sf, PREDICT, SALES_COLS_RESTOCK)), ["TotalPrice"], r4)
+
+
+@query
+def q_weekday_sales(spark, sf):
+    return rounded(EX.weekday_sales(clean(spark, sf, PREDICT, SALES_COLS_RESTOCK)), ["TotalPrice"], r4)
+
+
+# --- features ----------------------------------------------------------------
+
+def _daily(spark, sf):
+    return FE.product_daily(clean(spark, sf, PREDICT, SALES_COLS_RESTOCK))
+
+
+@query
+def q_product_daily(spark, sf):
+    return rounded(rounded(_daily(spark, sf), ["Price"]), ["TotalPrice"], r4)
+
+
+@query
+def q_lag1(spark, sf):
+    return FE.with_lag_and_rolling(_daily(spark, sf)).select("StockCode", "Date", "Lag1_Quantity")
+
+
+@query
+def q_rolling7(spark, sf):
+    return rounded(FE.with_lag_and_rolling(_daily(spark, sf)).select("StockCode", "Date", "Rolling7_Quantity"),
+                   ["Rolling7_Quantity"])
+
+
+def _feat_out(df):
+    return rounded(rounded(df, ["Price", "Rolling7_Quantity"]), ["TotalPrice"], r4)
+
+
+@query
+def q_features_predict(spark, sf):
+    return _feat_out(features(spark, sf, PREDICT))
+
+
+@query
+def q_features_training(spark, sf):
+    return _feat_out(features(spark, sf, TRAINING))
+
+
+@query
+def q_attach_descriptions(spark, sf):
+    daily = _daily(spark, sf).select("StockCode", "Date", "Quantity")
+    return FE.attach_descriptions(daily, source(spark, sf).description_pairs())
+
+
+@query
+def q_distinct_descriptions(spark, sf):
+    return FE.distinct_descriptions(clean(spark, sf, PREDICT, SALES_COLS_RESTOCK + ["Description"]))
+
+
+@query
+def q_first_description(spark, sf):
+    return FE.first_description(source(spark, sf).sales(SALES_COLS_RESTOCK + ["Description"]))
+
+
+# --- restock steps -------------------------------------------------------------
+
+@query
+def q_latest_date(spark, sf):
+    f = features(spark, sf, PREDICT)
+    return f.agg(F.max("Date").alias("latest"))
+
+
+@query
+def q_recent_window(spark, sf):
+    return RS.recent_window(features(spark, sf, PREDICT)).select("StockCode", "Date", "Quantity")
+
+
+@query
+def q_product_stats(spark, sf):
+    return rounded(RS.product_stats(features(spark, sf, PREDICT)),
+                   ["Avg_Daily_Quantity", "Std_Daily_Quantity", "Avg_Price"])
+
+
+def _profile(spark, sf, cfg=PREDICT):
+    return RS.product_profile(features(spark, sf, cfg), cfg)
+
+
+@query
+def q_enough_history(spark, sf):
+    return RS.enough_history(_profile(spark, sf), PREDICT.min_rows).select("StockCode", "n_rows")
+
+
+@query
+def q_latest_row(spark, sf):
+    return _profile(spark, sf).select("StockCode", "Last_Date", "Last_Quantity")
+
+
+@query
+def q_active_products(spark, sf):
+    return RS.active_products(features(spark, sf, PREDICT), PREDICT).select("StockCode", "n_rows", "n_recent")
+
+
+def _grid(spark, sf):
+    f = features(spark, sf, PREDICT)
+    return RS.forecast_grid(RS.active_products(f, PREDICT), RS.latest_date(f), PREDICT.horizon)
+
+
+@query
+def q_forecast_grid(spark, sf):
+    return _grid(spark, sf).select("StockCode", "ForecastDate")
+
+
+@query
+def q_forecast_inputs(spark, sf):
+    g = RS.forecast_inputs(_grid(spark, sf))
+    return rounded(g.select("StockCode", "ForecastDate", "Lag1_Quantity", "Rolling7_Quantity",
+                            "Month", "Day", "DayOfWeek"), ["Rolling7_Quantity"])
+
+
+def _demand(spark, sf):
+    return RS.weekly_demand(RS.baseline_scorer(RS.forecast_inputs(_grid(spark, sf))))
+
+
+@query
+def q_weekly_demand(spark, sf):
+    return rounded(_demand(spark, sf).select("StockCode", "predicted_weekly_demand"),
+                   ["predicted_weekly_demand"])
+
+
+@query
+def q_safety_stock(spark, sf):
+    d = _demand(spark, sf)
+    return rounded(d.select("StockCode", RS.safety_stock(TRAINING).alias("safety_stock")), ["safety_stock"])
+
+
+@query
+def q_safety_fallback(spark, sf):
+    d = _demand(spark, sf)
+    return rounded(d.select("StockCode", RS.safety_stock(PREDICT).alias("safety_stock")), ["safety_stock"])
+
+
+@query
+def q_estimated_cost(spark, sf):
+    f = features(spark, sf, PREDICT)
+    p = RS.restock_numbers(f, PREDICT).select("StockCode", F.col("estimated_cost").alias("cost_predict"))
+    t = RS.restock_numbers(f, PREDICT.with_(cost="rounded")).select(
+        "StockCode", F.col("estimated_cost").alias("cost_training"))
+    return rounded(p.join(t, "StockCode"), ["cost_training"])
+
+
+@query
+def q_priority_tertiles(spark, sf):
+    nums = RS.restock_numbers(features(spark, sf, PREDICT), PREDICT)
+    return tertile_edges(nums, "recommended_restock")
+
+
+# --- report tables -------------------------------------------------------------
+
+def _res(spark, sf):
+    return rounded(restock(spark, sf, PREDICT), ["avg_price"])
+
+
+def _feat(spark, sf):
+    return features(spark, sf, PREDICT)
+
+
+@query
+def q_priority_summary(spark, sf):
+    return rounded(RP.priority_summary(_res(spark, sf)), ["total_cost"], r4)
+
+
+@query
+def q_restock_kpis(spark, sf):
+    return RP.restock_kpis(_res(spark, sf))
+
+
+@query
+def q_restock_ranges(spark, sf):
+    return rounded(RP.restock_ranges(_res(spark, sf)), ["share_pct"])
+
+
+@query
+def q_restock_histogram(spark, sf):
+    return RP.restock_histogram(_res(spark, sf))
+
+
+@query
+def q_priority_counts(spark, sf):
+    return RP.priority_counts(_res(spark, sf))
+
+
+@query
+def q_top_restock(spark, sf):
+    return RP.top_restock(_res(spark, sf), 10)
+
+
+@query
+def q_restock_by_priority(spark, sf):
+    return RP.restock_by_priority(_res(spark, sf), (5, 5, 5))
+
+
+@query
+def q_urgent_flag(spark, sf):
+    return RP.urgent_flag(_res(spark, sf))
+
+
+SEARCH_TERM = "Gear"
+
+
+@query
+def q_search_restock(spark, sf):
+    return RP.search_restock(_res(spark, sf), SEARCH_TERM)
+
+
+@query
+def q_sort_restock(spark, sf):
+    return RP.sort_restock(_res(spark, sf), "safety_stock", ascending=True)
+
+
+@query
+def q_dashboard_records(spark, sf):
+    return RP.dashboard_records(_res(spark, sf))
+
+
+@query
+def q_display_name(spark, sf):
+    return RP.with_display_name(_res(spark, sf)).select("StockCode", "display_name")
+
+
+@query
+def q_truncate_label(spark, sf):
+    return RP.with_labels(_res(spark, sf))
+
+
+@query
+def q_product_trend(spark, sf):
+    return rounded(RP.product_trend(_feat(spark, sf)), ["avg_quantity", "recent_quantity"])
+
+
+@query
+def q_trend_extremes(spark, sf):
+    return RP.trend_extremes(_feat(spark, sf))
+
+
+@query
+def q_product_history(spark, sf):
+    h = RP.product_history(_feat(spark, sf), RP.trend_picks(_res(spark, sf)))
+    return _feat_out(h)
+
+
+@query
+def q_chart_product_series(spark, sf):
+    return RP.chart_product_series(_feat(spark, sf), RP.trend_picks(_res(spark, sf)))
+
+
+@query
+def q_report_picks(spark, sf):
+    return rounded(RP.report_picks(_res(spark, sf), _feat(spark, sf)), ["avg_quantity", "recent_quantity"])
+
+
+@query
+def q_chart_top_restock(spark, sf):
+    return rounded(RP.chart_top_restock(_res(spark, sf)), ["fill"])
+
+
+@query
+def q_summary_text(spark, sf):
+    return RP.summary_text(_res(spark, sf))
+
+
+@query
+def q_product_text(spark, sf):
+    return RP.product_text(_res(spark, sf), _feat(spark, sf))
+
+
+# --- sampling, split, metrics ------------------------------------------------------
+
+@query
+def q_sample_rows(spark, sf):
+    return SM.sample_rows(source(spark, sf).sales())
+
+
+@query
+def q_train_test_split(spark, sf):
+    return SM.train_test_split(features(spark, sf, TRAINING)).select("StockCode", "Date", "Quantity", "split")
+
+
+@query
+def q_regression_metrics(spark, sf):
+    from stockcast.operators.model import regression_metrics
+    s = SM.train_test_split(features(spark, sf, TRAINING))
+    test = s.where(F.col("split") == "test").select("Quantity", F.col("Lag1_Quantity").alias("prediction"))
+    return rounded(regression_metrics(test), ["mse", "mae", "r2"])
