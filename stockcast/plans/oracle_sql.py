@@ -262,3 +262,6 @@ sql("regression_metrics", FT + f""", te AS (SELECT "Quantity" AS y, "Lag1_Quanti
 SELECT {r6('avg((y - yhat) * (y - yhat))')} AS mse, {r6('avg(abs(y - yhat))')} AS mae,
   {r6('1.0 - sum((y - yhat) * (y - yhat)) / sum((y - (SELECT avg(y) FROM te)) * (y - (SELECT avg(y) FROM te)))')} AS r2,
   count(*) AS n FROM te""")
+
+# the round trip gives back the sales lines unchanged
+sql("csv_round_trip", S + f"SELECT {SALES_COLS} FROM sales")

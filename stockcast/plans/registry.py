@@ -455,3 +455,67 @@ def q_regression_metrics(spark, sf):
     s = SM.train_test_split(features(spark, sf, TRAINING))
     test = s.where(F.col("split") == "test").select("Quantity", F.col("Lag1_Quantity").alias("prediction"))
     return rounded(regression_metrics(test), ["mse", "mae", "r2"])
+
+
+# --- sinks -----------------------------------------------------------------------
+
+@query
+def q_csv_round_trip(spark, sf):
+    """S7/S10 + S1: sales lines to CSV in the input layout, read back and parsed."""
+    import uuid
+
+    from stockcast.session import ensure_checkpoint_dir
+    from stockcast.sources.csv_sales import read_sales
+    from stockcast.sources.sinks import write_sales_csv
+
+    path = f"{ensure_checkpoint_dir(spark)}/csv_round_trip/{uuid.uuid4().hex}"
+    write_sales_csv(source(spark, sf).sales(), path)
+    back = C.with_invoice_timestamp(read_sales(spark, path, mode="strict"))
+    return back
+
+
+# --- models (rows-only checks: fitted values depend on the learner) ------------------
+
+def _model_test_predictions(spark, sf, name):
+    from stockcast.operators import model as MD
+    train, test = MD.split_frames(features(spark, sf, TRAINING))
+    m = MD.fit(name, train)
+    return m.transform(test).select("StockCode", "Date", "Quantity", "prediction")
+
+
+@query
+def q_linear_regression(spark, sf):
+    return _model_test_predictions(spark, sf, "Linear Regression")
+
+
+@query
+def q_random_forest(spark, sf):
+    return _model_test_predictions(spark, sf, "Random Forest")
+
+
+@query
+def q_gradient_boosting(spark, sf):
+    return _model_test_predictions(spark, sf, "Gradient Boosting")
+
+
+@query
+def q_compare_models(spark, sf):
+    from stockcast.operators import model as MD
+    return MD.compare_models(features(spark, sf, TRAINING))[0]
+
+
+@query
+def q_best_model(spark, sf):
+    from stockcast.operators import model as MD
+    return MD.best_model(MD.compare_models(features(spark, sf, TRAINING))[0])
+
+
+@query
+def q_score(spark, sf):
+    """M7 inside R5: the predict-variant restock table scored by a fitted linear model."""
+    from stockcast.operators import model as MD
+    train, _ = MD.split_frames(features(spark, sf, TRAINING))
+    m = MD.fit("Linear Regression", train)
+    src = source(spark, sf)
+    return restock_recommendations(features(spark, sf, PREDICT), PREDICT, scorer=MD.model_scorer(m),
+                                   descriptions=src.first_descriptions())
