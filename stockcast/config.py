@@ -116,3 +116,46 @@ TRAINING = RestockConfig(
     cost="rounded",
     coerce_customer=True,
 )
+
+# ---------------------------------------------------------------------------
+# Prompt texts of the insight step (indentation removed). The
+# table of prompts is built for a later batch job; no model is called here.
+# ---------------------------------------------------------------------------
+PROMPT_OVERALL = """As an inventory management AI assistant, analyze the following restocking data:
+
+Total products requiring restock: %s
+Urgent restock needed (above average): %s
+
+Top 5 products to restock:
+%s
+
+Generate a concise executive summary of the inventory situation, including:
+1. Key trends and patterns in the restocking needs
+2. Specific recommendations for inventory managers
+3. Potential cost implications
+4. Any anomalies that require attention
+
+Format the response in clear paragraphs with appropriate headings."""
+
+PROMPT_TREND = """As an inventory analyst, explain the sales trends for product "%s" with these metrics:
+- Average daily quantity sold: %s
+- Maximum daily quantity sold: %s
+- Recent trend: %s
+
+Provide a short paragraph explaining what these numbers mean for inventory management.
+Consider seasonality, potential causes, and recommendations."""
+
+PROMPT_REASONING = """Explain the reasoning behind this restock recommendation in 2-3 sentences:
+Product: %s
+Predicted weekly demand: %s
+Safety stock: %s
+Recommended restock quantity: %s"""
+
+PROMPT_FORECAST = """Based on the following inventory prediction data:
+- Product: %s
+- Current Average Daily Demand: %s
+- Recommended Restock Amount: %s
+- Forecast Period: %s days
+
+Provide a natural language summary of the inventory recommendation.
+Include insights about the demand patterns and suggested actions."""

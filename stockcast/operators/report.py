@@ -308,3 +308,44 @@ def product_text(res: DataFrame, features: DataFrame) -> DataFrame:
         F.format_string(TREND_TEXT, F.col("display_name"), two_places(F.col("avg_quantity")),
                         F.col("trend")).alias("trend_text"),
         F.lit(REASONING_TEXT).alias("reasoning_text"))
+
+
+def _json_text(c: Column) -> Column:
+    """A JSON string literal of c (quotes and backslashes escaped), or null."""
+    esc = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', '\\\\"')
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), esc, F.lit('"')))
+
+
+def prompt_table(res: DataFrame, features: DataFrame, horizon: int = 7, k: int = 5) -> DataFrame:
+    """(kind, StockCode, prompt): one overall prompt, and per product a trend,
+    a reasoning and a forecast prompt. Numbers print like Python's str()."""
+    from stockcast.config import PROMPT_FORECAST, PROMPT_OVERALL, PROMPT_REASONING, PROMPT_TREND
+
+    kpis = restock_kpis(res)
+    item = F.format_string('  {\n    "Description": %s,\n    "recommended_restock": %s\n  }',
+                           _json_text(F.col("Description")), F.col(X).cast("string"))
+    top = top_restock(res, k).agg(F.sort_array(F.collect_list(F.struct("position", item.alias("j")))).alias("t"))
+    items = top.select(F.concat(F.lit("[\n"), F.array_join(F.transform("t", lambda s: s.getField("j")), ",\n"),
+                                F.lit("\n]")).alias("x")).scalar()
+    overall = kpis.select(F.lit("overall_summary").alias("kind"), F.lit(None).cast("string").alias("StockCode"),
+                          F.format_string(PROMPT_OVERALL, F.col("total_items").cast("string"),
+                                          F.col("urgent_items").cast("string"), items).alias("prompt"))
+    trend = product_trend(features)
+    named = with_display_name(res).join(trend, "StockCode", "inner")
+    per = named.select(
+        "StockCode",
+        F.format_string(PROMPT_TREND, F.col("display_name"), two_places(F.col("avg_quantity")),
+                        F.col("max_quantity").cast("string"), F.col("trend")).alias("p_trend"),
+        F.format_string(PROMPT_REASONING, F.coalesce(F.col("Description"), F.lit("nan")),
+                        demand_column(named).cast("string"), F.col("safety_stock").cast("string"),
+                        F.col(X).cast("string")).alias("p_reason"),
+        F.format_string(PROMPT_FORECAST, F.coalesce(F.col("Description"), F.lit("nan")),
+                        two_places(F.col("avg_quantity")), F.col(X).cast("string"),
+                        F.lit(str(horizon))).alias("p_forecast"),
+    )
+    long = per.select("StockCode", F.explode(F.array(
+        F.struct(F.lit("product_trend").alias("kind"), F.col("p_trend").alias("prompt")),
+        F.struct(F.lit("restock_reasoning").alias("kind"), F.col("p_reason").alias("prompt")),
+        F.struct(F.lit("product_forecast").alias("kind"), F.col("p_forecast").alias("prompt")),
+    )).alias("r")).select("r.kind", "StockCode", "r.prompt")
+    return overall.unionByName(long)

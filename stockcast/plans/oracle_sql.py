@@ -265,3 +265,38 @@ SELECT {r6('avg((y - yhat) * (y - yhat))')} AS mse, {r6('avg(abs(y - yhat))')} A
 
 # the round trip gives back the sales lines unchanged
 sql("csv_round_trip", S + f"SELECT {SALES_COLS} FROM sales")
+
+# --- N6 prompt table -----------------------------------------------------------------
+from stockcast.config import PROMPT_FORECAST, PROMPT_OVERALL, PROMPT_REASONING, PROMPT_TREND  # noqa: E402
+
+
+def lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_ITEM = lit('  {\n    "Description": %s,\n    "recommended_restock": %s\n  }')
+_JSON_DESC = """CASE WHEN "Description" IS NULL THEN 'null'
+  ELSE '"' || replace(replace("Description", '\\', '\\\\'), '"', '\\"') || '"' END"""
+_TWO = "printf('%.2f', round_even(t.avg_quantity * 100.0, 0) / 100.0)"
+_RDESC = """coalesce(r."Description", 'nan')"""
+_RDISPLAY = DISPLAY.replace('"Description"', 'r."Description"').replace('"StockCode"', 'r."StockCode"')
+
+sql("prompt_table", RES + TREND.format(src="feat") + f""",
+kp AS (SELECT count(*) AS total_items,
+  count(*) FILTER (WHERE recommended_restock > (SELECT avg(recommended_restock) FROM res)) AS urgent_items FROM res),
+items AS (SELECT '[' || chr(10) || string_agg(printf({_ITEM}, {_JSON_DESC}, CAST(recommended_restock AS VARCHAR)),
+                 ',' || chr(10) ORDER BY position) || chr(10) || ']' AS x FROM ranked WHERE position <= 5),
+per AS (SELECT r.*, t.avg_quantity, t.max_quantity, t.trend FROM res r JOIN trend2 t ON r."StockCode" = t."StockCode")
+SELECT 'overall_summary' AS kind, CAST(NULL AS VARCHAR) AS "StockCode",
+       printf({lit(PROMPT_OVERALL)}, CAST(total_items AS VARCHAR), CAST(urgent_items AS VARCHAR), x) AS prompt
+FROM kp, items
+UNION ALL
+SELECT 'product_trend', r."StockCode", printf({lit(PROMPT_TREND)}, {_RDISPLAY}, {_TWO}, CAST(t.max_quantity AS VARCHAR), t.trend)
+FROM per r, (SELECT 1) d, LATERAL (SELECT r.avg_quantity AS avg_quantity, r.max_quantity AS max_quantity, r.trend AS trend) t
+UNION ALL
+SELECT 'restock_reasoning', r."StockCode", printf({lit(PROMPT_REASONING)}, {_RDESC}, CAST(r.predicted_weekly_demand AS VARCHAR),
+       CAST(r.safety_stock AS VARCHAR), CAST(r.recommended_restock AS VARCHAR)) FROM per r
+UNION ALL
+SELECT 'product_forecast', r."StockCode", printf({lit(PROMPT_FORECAST)}, {_RDESC},
+       printf('%.2f', round_even(r.avg_quantity * 100.0, 0) / 100.0), CAST(r.recommended_restock AS VARCHAR), '7')
+FROM per r""")

@@ -519,3 +519,8 @@ def q_score(spark, sf):
     src = source(spark, sf)
     return restock_recommendations(features(spark, sf, PREDICT), PREDICT, scorer=MD.model_scorer(m),
                                    descriptions=src.first_descriptions())
+
+
+@query
+def q_prompt_table(spark, sf):
+    return RP.prompt_table(_res(spark, sf), _feat(spark, sf))

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The forecasting and restock flow this package rebuilds is batch only: it has
+no event-time windows, watermarks, state or late data, so no Structured
+Streaming operator is defined. A new day of sales is handled by running the
+batch ``predict`` job again on the new input.
+"""

@@ -51,7 +51,7 @@ def test_every_query_has_a_callable_and_oracles_have_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
     rows_only = set(E.queries()) - set(E.oracle_sql())
     assert rows_only == {"linear_regression", "random_forest", "gradient_boosting", "compare_models",
-                         "best_model", "score", "prompt_table"} - ({"prompt_table"} - set(E.queries()))
+                         "best_model", "score"}
 
 
 def test_entry_runs(spark):
