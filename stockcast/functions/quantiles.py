@@ -14,6 +14,11 @@ counting:
 
 No task holds more than one bucket of distinct values of one group, or
 ``buckets`` rows. A hot value is one row after step 1, whatever its count.
+
+When the distinct values of every group are few (checked first with an HLL
+estimate against ``max_in_row``), the sorted (value, count) pairs of a group
+are gathered into one row and walked once with ``aggregate``: one shuffle
+instead of five, memory bounded by the checked distinct count.
 The interpolation between x[i] and x[i+1] is NumPy's two-sided linear form,
 so results equal pandas; ``pandas_scaled`` reproduces how pandas passes q
 through percent (q*100/100), which decides tertile ties.
@@ -31,16 +36,62 @@ def _q_scaled(q: float, pandas_scaled: bool) -> float:
     return (q * 100) / 100 if pandas_scaled else q
 
 
+def _lerp(lo: Column, hi: Column, g: Column) -> Column:
+    return F.when(g >= 0.5, hi - (hi - lo) * (1 - g)).otherwise(lo + (hi - lo) * g)
+
+
+def _ranks(q: float, pandas_scaled: bool) -> tuple[Column, Column, Column]:
+    p = (F.col("n") - 1).cast("double") * F.lit(_q_scaled(q, pandas_scaled))
+    i = F.floor(p)
+    return i, F.least(i + 1, F.col("n") - 1), p - i
+
+
+def _step(i: Column, j: Column):
+    """Running count over sorted (x, c): remember the first x past rank i and past rank j."""
+    def step(acc, s):
+        run = acc["run"] + s["c"]
+        return F.struct(run.alias("run"),
+                        F.when(acc["lo"].isNull() & (run > i), s["x"]).otherwise(acc["lo"]).alias("lo"),
+                        F.when(acc["hi"].isNull() & (run > j), s["x"]).otherwise(acc["hi"]).alias("hi"))
+    return step
+
+
+def _in_row(vc: DataFrame, keys: list[str], by: Sequence[str], qs: Sequence[float],
+            pandas_scaled: bool, prefix: str) -> DataFrame:
+    arr = vc.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("x", "c"))).alias("a"),
+                                F.sum("c").alias("n"))
+    out = [F.col(k) for k in by] + [F.col("n")]
+    for k, q in enumerate(qs):
+        i, j, g = _ranks(q, pandas_scaled)
+        init = F.struct(F.lit(0).cast("long").alias("run"), F.lit(None).cast("double").alias("lo"),
+                        F.lit(None).cast("double").alias("hi"))
+
+        walk = F.aggregate("a", init, _step(i, j))
+        out.append(_lerp(walk["lo"], walk["hi"], g).alias(f"{prefix}{k}"))
+    return arr.select(*out)
+
+
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
                     buckets: int = 64, pandas_scaled: bool = False, prefix: str = "q",
-                    accuracy: int = 10000) -> DataFrame:
-    """Per group of ``by`` (or one row): ``n`` and ``{prefix}{k}`` per q."""
+                    accuracy: int = 10000, method: str = "auto",
+                    max_in_row: int = 2_000_000) -> DataFrame:
+    """Per group of ``by`` (or one row): ``n`` and ``{prefix}{k}`` per q.
+
+    ``method``: 'counting' (always distributed), 'in_row' (gather each group's
+    distinct values), 'auto' (in_row when an HLL estimate of the largest
+    group's distinct count is under ``max_in_row``; one small job decides).
+    """
     keys = list(by) or ["_g"]
     x = df.select(*[F.col(k) for k in by], F.col(col).cast("double").alias("x"))
     if not by:
         x = x.withColumn("_g", F.lit(0))
     x = x.where(F.col("x").isNotNull() & ~F.isnan("x"))
     vc = x.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    if method == "auto":
+        est = x.groupBy(*keys).agg(F.approx_count_distinct("x", 0.02).alias("d")).agg(F.max("d")).first()[0]
+        method = "in_row" if (est or 0) <= 0.8 * max_in_row else "counting"
+    if method == "in_row":
+        return _with_empty_row(df, _in_row(vc, keys, by, qs, pandas_scaled, prefix), by, qs, prefix)
     fr = [i / buckets for i in range(1, buckets)]
     bounds = vc.groupBy(*keys).agg(F.percentile_approx("x", fr, accuracy).alias("b"))
     # position of x among the sorted distinct bounds: monotone in x, so each
@@ -64,19 +115,19 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
 
     aggs = [F.max("n").alias("n")]
     for k, q in enumerate(qs):
-        p = (F.col("n") - 1).cast("double") * F.lit(_q_scaled(q, pandas_scaled))
-        i = F.floor(p)
-        j = F.least(i + 1, F.col("n") - 1)
+        i, j, g = _ranks(q, pandas_scaled)
         aggs.append(F.min(F.when(F.col("cum") > i, F.col("x"))).alias(f"_lo{k}"))
         aggs.append(F.min(F.when(F.col("cum") > j, F.col("x"))).alias(f"_hi{k}"))
-        aggs.append(F.max(p - i).alias(f"_g{k}"))
+        aggs.append(F.max(g).alias(f"_g{k}"))
     agg = cum.groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in by] + [F.col("n")]
     for k in range(len(qs)):
-        lo, hi, g = F.col(f"_lo{k}"), F.col(f"_hi{k}"), F.col(f"_g{k}")
-        out.append(F.when(g >= 0.5, hi - (hi - lo) * (1 - g)).otherwise(lo + (hi - lo) * g)
-                   .alias(f"{prefix}{k}"))
-    res = agg.select(*out)
+        out.append(_lerp(F.col(f"_lo{k}"), F.col(f"_hi{k}"), F.col(f"_g{k}")).alias(f"{prefix}{k}"))
+    return _with_empty_row(df, agg.select(*out), by, qs, prefix)
+
+
+def _with_empty_row(df: DataFrame, res: DataFrame, by: Sequence[str], qs: Sequence[float],
+                    prefix: str) -> DataFrame:
     if not by:
         # one row even for empty input
         empty = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"),
@@ -87,7 +138,8 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     return res
 
 
-def tertile_edges(df: DataFrame, col: str, method: str = "reference", buckets: int = 64) -> DataFrame:
+def tertile_edges(df: DataFrame, col: str, method: str = "reference", buckets: int = 64,
+                  quantile_method: str = "auto") -> DataFrame:
     """One row (n, e1, e2): the 1/3 and 2/3 edges of ``col``."""
     if method == "percentile":
         # exact, but the final merge holds every distinct value in one task
@@ -95,7 +147,8 @@ def tertile_edges(df: DataFrame, col: str, method: str = "reference", buckets: i
             F.count(col).alias("n"),
             F.percentile(F.col(col), [1 / 3, 2 / 3]).alias("_e"),
         ).select("n", F.col("_e")[0].alias("e1"), F.col("_e")[1].alias("e2"))
-    q = exact_quantiles(df, col, [1 / 3, 2 / 3], buckets=buckets, pandas_scaled=True, prefix="e")
+    q = exact_quantiles(df, col, [1 / 3, 2 / 3], buckets=buckets, pandas_scaled=True, prefix="e",
+                        method=quantile_method)
     return q.select("n", F.col("e0").alias("e1"), F.col("e1").alias("e2"))
 
 

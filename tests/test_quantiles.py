@@ -6,8 +6,9 @@ import pytest
 from stockcast.functions.quantiles import exact_quantiles
 
 
+@pytest.mark.parametrize("method", ["counting", "in_row", "auto"])
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_grouped_quantiles_match_numpy(spark, seed):
+def test_grouped_quantiles_match_numpy(spark, seed, method):
     rng = np.random.default_rng(seed)
     rows = []
     for g in range(4):
@@ -17,7 +18,7 @@ def test_grouped_quantiles_match_numpy(spark, seed):
     rows += [("g0", None)]
     df = spark.createDataFrame(rows, "g string, x double")
     qs = [0.25, 0.5, 0.75, 1 / 3]
-    got = {r.g: r for r in exact_quantiles(df, "x", qs, by=["g"], buckets=8).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "x", qs, by=["g"], buckets=8, method=method).collect()}
     for g in got:
         vals = np.array([v for k, v in rows if k == g and v is not None])
         assert got[g].n == len(vals)
@@ -25,18 +26,20 @@ def test_grouped_quantiles_match_numpy(spark, seed):
             assert got[g][f"q{k}"] == pytest.approx(float(np.percentile(vals, q * 100)), rel=1e-12, abs=1e-9)
 
 
-def test_global_quantiles_empty_and_single(spark):
+@pytest.mark.parametrize("method", ["counting", "in_row"])
+def test_global_quantiles_empty_and_single(spark, method):
     empty = spark.createDataFrame([], "x double")
-    r = exact_quantiles(empty, "x", [0.5]).first()
+    r = exact_quantiles(empty, "x", [0.5], method=method).first()
     assert r.n == 0 and r.q0 is None
     one = spark.createDataFrame([(7.0,)], "x double")
-    assert exact_quantiles(one, "x", [0.1, 0.9]).first().asDict() == {"n": 1, "q0": 7.0, "q1": 7.0}
+    assert exact_quantiles(one, "x", [0.1, 0.9], method=method).first().asDict() == {"n": 1, "q0": 7.0, "q1": 7.0}
 
 
-def test_hot_value_is_one_row(spark):
+@pytest.mark.parametrize("method", ["counting", "in_row"])
+def test_hot_value_is_one_row(spark, method):
     # a third of the rows share one value: still exact
     vals = [5.0] * 300 + [float(i) for i in range(600)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    r = exact_quantiles(df, "x", [1 / 3, 2 / 3]).first()
+    r = exact_quantiles(df, "x", [1 / 3, 2 / 3], method=method).first()
     assert r.q0 == pytest.approx(float(np.percentile(vals, 100 / 3)))
     assert r.q1 == pytest.approx(float(np.percentile(vals, 200 / 3)))
