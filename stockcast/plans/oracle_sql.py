@@ -300,3 +300,20 @@ UNION ALL
 SELECT 'product_forecast', r."StockCode", printf({lit(PROMPT_FORECAST)}, {_RDESC},
        printf('%.2f', round_even(r.avg_quantity * 100.0, 0) / 100.0), CAST(r.recommended_restock AS VARCHAR), '7')
 FROM per r""")
+
+sql("schema_report", S + """
+SELECT * FROM (VALUES ('Invoice', 'expected'), ('StockCode', 'expected'), ('Description', 'expected'),
+  ('Quantity', 'expected'), ('InvoiceDate', 'expected'), ('Price', 'expected'), ('Customer ID', 'expected'),
+  ('Country', 'expected')) v("column", status)
+JOIN (UNPIVOT (SELECT count("Invoice") AS "Invoice", count("StockCode") AS "StockCode",
+  count("Description") AS "Description", count("Quantity") AS "Quantity", count("InvoiceDate") AS "InvoiceDate",
+  count("Price") AS "Price", count("Customer ID") AS "Customer ID", count("Country") AS "Country" FROM sales)
+  ON COLUMNS(*) INTO NAME "column" VALUE non_null_rows) c USING ("column")""")
+
+sql("to_int", RES + """SELECT "StockCode", CAST(predicted_weekly_demand AS BIGINT) AS predicted_weekly_demand,
+  CAST(safety_stock AS BIGINT) AS safety_stock, CAST(recommended_restock AS BIGINT) AS recommended_restock,
+  avg_price, estimated_cost, "Description", priority FROM res""")
+sql("by_priority", RES + f"SELECT {RES_COLS} FROM res WHERE priority = 'High'")
+sql("lookup_description", RP_ + """SELECT nb."StockCode", coalesce(fd."Description", 'Unknown') AS "Description"
+FROM numbers nb LEFT JOIN first_desc fd ON nb."StockCode" = fd."StockCode" """)
+sql("concat_priorities", RES + picks_sql(5, 4, 3, None))

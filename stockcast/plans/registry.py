@@ -524,3 +524,38 @@ def q_score(spark, sf):
 @query
 def q_prompt_table(spark, sf):
     return RP.prompt_table(_res(spark, sf), _feat(spark, sf))
+
+
+@query
+def q_schema_report(spark, sf):
+    return QU.column_report(source(spark, sf).sales())
+
+
+@query
+def q_to_int(spark, sf):
+    """The output table with demand, safety and restock as integers."""
+    r = _res(spark, sf)
+    return r.withColumns({c: F.col(c).cast("long") for c in
+                          ("predicted_weekly_demand", "safety_stock", "recommended_restock")})
+
+
+@query
+def q_by_priority(spark, sf):
+    """The High rows (what the per-priority file holds)."""
+    return RP.by_priority(_res(spark, sf), "High")
+
+
+@query
+def q_lookup_description(spark, sf):
+    """Restock products with their first description, "Unknown" when none."""
+    f = features(spark, sf, PREDICT)
+    nums = RS.restock_numbers(f, PREDICT).select("StockCode")
+    return RS.with_descriptions(nums.withColumns({c: F.lit(None).cast("double") for c in (
+        "predicted_weekly_demand", "safety_stock", "recommended_restock", "avg_price", "estimated_cost")}),
+        PREDICT, source(spark, sf).first_descriptions()).select("StockCode", "Description")
+
+
+@query
+def q_concat_priorities(spark, sf):
+    """The report's picks (High 5, Medium 4, Low 3) in one table, High first."""
+    return RP.restock_by_priority(_res(spark, sf), (5, 4, 3), fallback=None)

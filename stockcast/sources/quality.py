@@ -19,6 +19,21 @@ def schema_report(spark: SparkSession, sales: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column string, status string")
 
 
+def column_report(sales: DataFrame) -> DataFrame:
+    """S4 with counts: (column, status, non_null_rows) for the expected and the
+    unexpected columns, in one aggregation over the table."""
+    have = list(sales.columns)
+    names = list(EXPECTED_COLUMNS) + [c for c in have if c not in EXPECTED_COLUMNS]
+    agg = sales.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(names) if c in have])
+    rows = []
+    for i, c in enumerate(names):
+        status = "expected" if c in EXPECTED_COLUMNS and c in have else \
+            ("missing" if c in EXPECTED_COLUMNS else "unexpected")
+        cnt = F.col(f"_{i}") if c in have else F.lit(None).cast("long")
+        rows.append(F.struct(F.lit(c).alias("column"), F.lit(status).alias("status"), cnt.alias("non_null_rows")))
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def malformed_invoices(sales: DataFrame) -> DataFrame:
     """Lines whose Invoice is not digits and 'C' only; a missing one counts."""
     return sales.where(~F.coalesce(F.col("Invoice").cast("string"), F.lit("nan"))
