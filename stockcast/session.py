@@ -38,3 +38,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 * MB,
+                   shuffle_share: float = 0.3) -> dict[str, str]:
+    """SQL settings sized for an input of ``input_bytes`` on ``total_cores`` task slots.
+
+    Scan splits of ``partition_bytes``; shuffle partitions so that the
+    exchanged data (``shuffle_share`` of the input after column pruning and
+    map-side aggregation) lands at about ``partition_bytes`` per task, never
+    fewer than 2 per core; AQE coalesces small ones and splits skewed ones at
+    run time. For 100 TB on 8,000 cores this gives ~120k shuffle partitions.
+    """
+    shuffle = max(2 * total_cores, int(input_bytes * shuffle_share // partition_bytes) + 1)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, total_cores: int | None = None) -> dict[str, str]:
+    """Set ``scale_settings`` on the session (SQL settings only, changeable at run time)."""
+    conf = scale_settings(input_bytes, total_cores or spark.sparkContext.defaultParallelism)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
