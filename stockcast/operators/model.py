@@ -74,6 +74,14 @@ def regression_metrics(pred: DataFrame, label: str = TARGET_COLUMN, prediction:
     )
 
 
+def model_base(features: DataFrame, seed: int = SEED, partitions: int | None = None) -> DataFrame:
+    """M1 applied once: model columns + split, persisted (see ``split_frames``)."""
+    spark = features.sparkSession
+    n = partitions or spark.sparkContext.defaultParallelism
+    return train_test_split(model_frame(features), seed).repartition(n, "StockCode", "Date") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def split_frames(features: DataFrame, seed: int = SEED,
                  partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M1 applied: (train, test) over one persisted frame.
@@ -83,10 +91,7 @@ def split_frames(features: DataFrame, seed: int = SEED,
     have coalesced the feature table into a few partitions) and a recomputed
     block lands in the same partition.
     """
-    spark = features.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
-    base = train_test_split(model_frame(features), seed).repartition(n, "StockCode", "Date") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    base = model_base(features, seed, partitions)
     return (base.where(F.col("split") == "train").drop("split"),
             base.where(F.col("split") == "test").drop("split"))
 
@@ -100,7 +105,9 @@ def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(
                    names=MODEL_ORDER) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """M5: fit each model on the train part, A18 on the test part -> one row per model."""
     spark = features.sparkSession
-    train, test = split_frames(features, settings.seed)
+    base = model_base(features, settings.seed)
+    train = base.where(F.col("split") == "train").drop("split")
+    test = base.where(F.col("split") == "test").drop("split")
 
     def one(pos_name):
         pos, name = pos_name
@@ -111,7 +118,7 @@ def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(
     # independent fits run as concurrent Spark jobs; only 3 metric rows come back
     with ThreadPoolExecutor(max_workers=max(1, settings.parallel_fits)) as pool:
         done = list(pool.map(one, enumerate(names)))
-    train.unpersist()
+    base.unpersist()
     models = {name: m for name, m, _ in done}
     rows = [row for _, _, row in done]
     result = spark.createDataFrame(rows, "model string, position int, mse double, mae double, r2 double, n long")
