@@ -73,16 +73,37 @@ def overlong_lines(spark: SparkSession, path: str, encoding: str = "UTF-8",
     return raw.where(F.col(_EXTRA).isNotNull())
 
 
+def detect_format(spark: SparkSession, path: str, sample_lines: int = 1000) -> tuple[str, str]:
+    """S2 trigger: (encoding, delimiter). Spark does not fail on bytes that are not
+    UTF-8, it replaces them; a replacement character in the first lines (a
+    bounded sample) switches to Latin-1, and the delimiter is sniffed."""
+    lines = [r[0] for r in spark.read.text(path).limit(sample_lines).collect()]
+    if not lines:
+        raise ValueError(f"empty input: {path}")
+    encoding = "ISO-8859-1" if any("\ufffd" in ln for ln in lines) else "UTF-8"
+    header = lines[0] if encoding == "UTF-8" else _header_line(spark, path, encoding)
+    return encoding, sniff_delimiter(header.lstrip("\ufeff"))
+
+
+def read_sales_auto(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
+    """S1 with the S2 fallback: detect encoding and delimiter, then read."""
+    encoding, sep = detect_format(spark, path)
+    return read_sales(spark, path, mode=mode, encoding=encoding, sep=sep)
+
+
 class CsvSales:
     """Sales lines from CSV; descriptions come from the lines themselves."""
 
     def __init__(self, spark: SparkSession, path: str, mode: str = "lenient",
-                 encoding: str = "UTF-8", sep: str | None = None):
+                 encoding: str = "auto", sep: str | None = None):
         self.spark, self.path = spark, path
         self.mode, self.encoding, self.sep = mode, encoding, sep
 
     def sales(self, columns=None) -> DataFrame:
-        df = read_sales(self.spark, self.path, self.mode, self.encoding, self.sep)
+        if self.encoding == "auto":
+            df = read_sales_auto(self.spark, self.path, self.mode)
+        else:
+            df = read_sales(self.spark, self.path, self.mode, self.encoding, self.sep)
         return df if columns is None else df.select(*[c for c in columns if c in df.columns])
 
     def first_descriptions(self, clean: DataFrame | None = None) -> DataFrame:

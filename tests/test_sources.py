@@ -43,3 +43,14 @@ def test_write_by_priority(spark, f2, tmpdir_path):
     import os
     assert sorted(d for d in os.listdir(f"{tmpdir_path}/bp") if d.startswith("priority=")) == \
         ["priority=High", "priority=Low"]
+
+
+def test_auto_detects_latin1_and_semicolon(spark, tmpdir_path):
+    from stockcast.sources.csv_sales import detect_format
+    p = f"{tmpdir_path}/auto.csv"
+    with open(p, "wb") as fh:
+        fh.write("Invoice;StockCode;Description;Quantity;InvoiceDate;Price;Customer ID;Country\n".encode("latin-1"))
+        fh.write("1;A;CRÈME JAR;2;01/12/09 07:45;1.5;10;France\n".encode("latin-1"))
+    assert detect_format(spark, p) == ("ISO-8859-1", ";")
+    r = CsvSales(spark, p).sales().first()
+    assert r.Description == "CRÈME JAR" and r.Price == 1.5 and r.Quantity == 2.0
