@@ -54,3 +54,19 @@ def write_sales_csv(sales: DataFrame, path: str) -> str:
     if dict(s.dtypes).get("InvoiceDate") not in (None, "string"):
         s = s.withColumn("InvoiceDate", F.date_format("InvoiceDate", INVOICE_DATE_TEXT_FORMAT))
     return write_csv(s, path)
+
+
+def write_features(features: DataFrame, path: str) -> str:
+    """The daily feature table as Parquet partitioned by Year and Month, so readers
+    of a date window (the 30-day stats, a trend period) prune whole folders."""
+    features.write.mode("overwrite").partitionBy("Year", "Month").parquet(path)
+    return path
+
+
+def read_features_since(spark, path: str, start_date) -> DataFrame:
+    """Rows on or after ``start_date``; the Year/Month filter reaches the folder
+    listing (partition pruning), the Date filter the Parquet row groups."""
+    d = F.lit(start_date).cast("date")
+    df = spark.read.parquet(path)
+    ym = F.col("Year") * 100 + F.col("Month")
+    return df.where((ym >= F.year(d) * 100 + F.month(d)) & (F.col("Date") >= d))

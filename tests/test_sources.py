@@ -54,3 +54,17 @@ def test_auto_detects_latin1_and_semicolon(spark, tmpdir_path):
     assert detect_format(spark, p) == ("ISO-8859-1", ";")
     r = CsvSales(spark, p).sales().first()
     assert r.Description == "CRÈME JAR" and r.Price == 1.5 and r.Quantity == 2.0
+
+
+def test_features_partitioned_and_pruned(spark, tmpdir_path):
+    import datetime as dt
+
+    from stockcast.plans import registry as R
+    from stockcast.sources.sinks import read_features_since, write_features
+    f = R.features(spark, "/root/testdata/sf0.001", R.TRAINING)
+    write_features(f, f"{tmpdir_path}/feat")
+    start = dt.date(2001, 6, 1)
+    back = read_features_since(spark, f"{tmpdir_path}/feat", start)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Year" in plan or "PartitionFilters: [" in plan and "Year" in plan
+    assert back.count() == f.where(f.Date >= start).count()
