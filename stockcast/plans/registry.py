@@ -161,7 +161,8 @@ def q_top_products(spark, sf):
 
 @query
 def q_sales_by_country(spark, sf):
-    return rounded(EX.sales_by_country(clean(spark, sf)), ["TotalPrice"], r4)
+    cols = ["Invoice", "Quantity", "InvoiceDate", "Price", "Country"]
+    return rounded(EX.sales_by_country(clean(spark, sf, PREDICT, cols)), ["TotalPrice"], r4)
 
 
 @query
