@@ -148,7 +148,7 @@ WHERE position <= {fallback} AND NOT EXISTS (SELECT 1 FROM res WHERE priority IS
 sql("priority_summary", RES + f""", pr(priority, position) AS (VALUES ('Low', 0), ('Medium', 1), ('High', 2))
 SELECT pr.priority, CAST(pr.position AS INTEGER) AS position,
        count(r.recommended_restock) AS item_count,
-       coalesce(sum(CAST(trunc(r.recommended_restock) AS BIGINT)), 0) AS total_units,
+       CAST(coalesce(sum(CAST(trunc(r.recommended_restock) AS BIGINT)), 0) AS BIGINT) AS total_units,
        {r4('coalesce(sum(r.estimated_cost), 0.0)')} AS total_cost
 FROM pr LEFT JOIN res r ON r.priority = pr.priority GROUP BY pr.priority, pr.position""")
 
