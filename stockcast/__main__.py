@@ -50,10 +50,15 @@ def main(argv=None) -> None:
         r = jobs.train(spark, _source(spark, a.file_path, a.star), out_dir=a.out, sample_size=a.sample_size)
         r.metrics.show(truncate=False)
         print(f"best model: {r.best}; saved to {r.model_path}")
+        for name, df in jobs.console_tables(r.restock).items():
+            print(name)
+            df.show(15, truncate=False)
     elif a.cmd == "predict":
         res = jobs.predict(spark, _source(spark, a.data_path, a.star), a.model_path, out_dir=a.out,
                            detailed=a.detailed_output)
-        res.show(15, truncate=False)
+        for name, df in jobs.console_tables(res).items():
+            print(name)
+            df.show(15, truncate=False)
     else:
         print(jobs.sample(spark, _source(spark, a.input, a.star), a.output, a.samples, a.seed))
 

@@ -88,6 +88,31 @@ def reports(res: DataFrame, features: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def save_reports(res: DataFrame, features: DataFrame, out_dir: str) -> dict[str, str]:
+    """Write every report table (CSV folders, written in parallel)."""
+    paths = {}
+    for name, df in reports(res, features).items():
+        paths[name] = sinks.write_csv(df, os.path.join(out_dir, name))
+    return paths
+
+
+def console_tables(res: DataFrame) -> dict[str, DataFrame]:
+    """The console view: top 5 per priority with 37-character labels, and the
+    High-first summary with cost = restock x price."""
+    from pyspark.sql import functions as F
+
+    from stockcast.config import LABEL_WIDTH_CONSOLE
+    from stockcast.functions.columns import display_name, truncate_label
+    picks = RP.restock_by_priority(res, (5, 5, 5), fallback=None)
+    label = truncate_label(display_name("Description", "StockCode", unknown_too=False), LABEL_WIDTH_CONSOLE, pad=True)
+    table = picks.select("priority", "group_order", "rank", "StockCode", label.alias("Description"),
+                         F.col("predicted_weekly_demand").cast("long").alias("Weekly Demand"),
+                         F.col("recommended_restock").cast("long").alias("Restock Amt"),
+                         (F.col("avg_price") * F.col("recommended_restock")).alias("Est. Cost"))
+    return {"by_priority": table.orderBy("group_order", "rank"),
+            "summary": RP.priority_summary(res, style="console")}
+
+
 def sample(spark: SparkSession, source, out_path: str, n: int = 500, seed: int = 42) -> str:
     """The sampler: n seeded rows to CSV."""
     return sinks.write_sample(source.sales(), out_path, n, seed)

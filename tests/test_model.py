@@ -35,3 +35,16 @@ def test_load_missing_model(spark, tmpdir_path):
     import pytest
     with pytest.raises(FileNotFoundError):
         MD.load_model(spark, f"{tmpdir_path}/nothing")
+
+
+def test_reports_and_console(spark, tmpdir_path):
+    import os
+
+    from stockcast.plans import registry as R
+    res = R.restock(spark, SF_SMALL, PREDICT)
+    paths = jobs.save_reports(res, R.features(spark, SF_SMALL, PREDICT), f"{tmpdir_path}/rep")
+    assert all(os.path.exists(os.path.join(p, "_SUCCESS")) for p in paths.values())
+    tables = jobs.console_tables(res)
+    rows = tables["by_priority"].collect()
+    assert len(rows) <= 15 and all(len(r.Description) >= 37 for r in rows)
+    assert [r.priority for r in tables["summary"].collect()] == ["High", "Medium", "Low"]
