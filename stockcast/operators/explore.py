@@ -13,11 +13,14 @@ from stockcast.functions.quantiles import exact_quantiles
 DESCRIBE_COLUMNS = ("Quantity", "Price", "TotalPrice")
 
 
-def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS) -> DataFrame:
+def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
+                   approx_accuracy: int | None = None) -> DataFrame:
     """A3: count, mean, std, min, 25/50/75 %, max per column; one row per column.
 
-    Moments come from one aggregation over the wide rows; the exact quartiles
-    from the long (column, value) form, counted per column without gathering.
+    Moments come from one aggregation; the exact quartiles from the long
+    (column, value) form, counted per column without gathering. With
+    ``approx_accuracy`` the quartiles come from a bounded sketch instead (one
+    stage, no shuffle of the values) for inputs where exact is not needed.
     """
     long = clean.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), nan_to_null(c).cast("double").alias("value"))
@@ -26,9 +29,13 @@ def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS)
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quart = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], pandas_scaled=True,
-                            prefix="p").select("column", F.col("p0").alias("p25"),
-                                               F.col("p1").alias("p50"), F.col("p2").alias("p75"))
+    if approx_accuracy:
+        q = long.groupBy("column").agg(F.percentile_approx("value", [0.25, 0.5, 0.75], approx_accuracy).alias("q"))
+        quart = q.select("column", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
+    else:
+        quart = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], pandas_scaled=True,
+                                prefix="p").select("column", F.col("p0").alias("p25"),
+                                                   F.col("p1").alias("p50"), F.col("p2").alias("p75"))
     return moments.join(quart, "column", "left").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 

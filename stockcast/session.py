@@ -31,10 +31,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only when unset (tests)."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local master (tests, single machine) gets a scratch folder when the
+    setting is unset; on a cluster a machine-local folder would be wrong, so
+    the setting is required there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                               "(the restock plan cuts lineage with reliable checkpoints)")
         current = tempfile.mkdtemp(prefix="stockcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -43,3 +43,14 @@ def test_hot_value_is_one_row(spark, method):
     r = exact_quantiles(df, "x", [1 / 3, 2 / 3], method=method).first()
     assert r.q0 == pytest.approx(float(np.percentile(vals, 100 / 3)))
     assert r.q1 == pytest.approx(float(np.percentile(vals, 200 / 3)))
+
+
+def test_describe_approx_close_to_exact(spark):
+    from stockcast.operators.explore import describe_sales
+    from stockcast.plans import registry as R
+    c = R.clean(spark, "/root/testdata/sf0.001", R.PREDICT, R.SALES_COLS_RESTOCK)
+    ex = {r.column: r for r in describe_sales(c).collect()}
+    ap = {r.column: r for r in describe_sales(c, approx_accuracy=100000).collect()}
+    for col in ex:
+        assert ex[col]["count"] == ap[col]["count"]
+        assert abs(ex[col].p50 - ap[col].p50) <= max(1.0, 0.01 * abs(ex[col].p50))
