@@ -82,7 +82,7 @@ class RestockConfig:
                       'keep': stays NULL, so restock and priority are NULL
     ``cost``          'unrounded_2dp': unrounded restock * price, 2 places (predict);
                       'rounded': rounded restock * price, not rounded (training)
-    ``edges``         'reference': tertile edges by the reference interpolation;
+    ``edges``         'pandas': tertile edges by pandas' interpolation (qcut);
                       'percentile': Spark's exact percentile
     """
 
@@ -98,7 +98,7 @@ class RestockConfig:
     safety_factor: float = 1.5
     lead_time: int = 7
     coerce_customer: bool = False
-    edges: str = "reference"
+    edges: str = "pandas"
     strict_edges: bool = False
     quantile_buckets: int = 64
 

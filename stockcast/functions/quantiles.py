@@ -138,7 +138,7 @@ def _with_empty_row(df: DataFrame, res: DataFrame, by: Sequence[str], qs: Sequen
     return res
 
 
-def tertile_edges(df: DataFrame, col: str, method: str = "reference", buckets: int = 64,
+def tertile_edges(df: DataFrame, col: str, method: str = "pandas", buckets: int = 64,
                   quantile_method: str = "auto") -> DataFrame:
     """One row (n, e1, e2): the 1/3 and 2/3 edges of ``col``."""
     if method == "percentile":
