@@ -68,3 +68,25 @@ def test_features_partitioned_and_pruned(spark, tmpdir_path):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Year" in plan or "PartitionFilters: [" in plan and "Year" in plan
     assert back.count() == f.where(f.Date >= start).count()
+
+
+def test_csv_source_gives_the_same_restock_table(spark, tmpdir_path):
+    from stockcast.config import PREDICT, TRAINING
+    from stockcast.operators.clean import clean_sales
+    from stockcast.operators.features import engineer_features
+    from stockcast.operators.restock import restock_recommendations
+    from stockcast.plans import registry as R
+    from stockcast.sources.star import StarSales
+
+    star = StarSales(spark, "/root/testdata/sf0.001")
+    write_sales_csv(star.sales(), f"{tmpdir_path}/lines")
+    csv = CsvSales(spark, f"{tmpdir_path}/lines")
+    for cfg in (PREDICT, TRAINING):
+        clean = clean_sales(csv.sales(), cfg)
+        pairs = csv.description_pairs(clean) if cfg.descriptions == "fanout" else None
+        feats = engineer_features(clean, cfg, description_pairs=pairs)
+        descs = csv.first_descriptions(clean if cfg.variant == "training" else None)
+        got = restock_recommendations(feats, cfg, descriptions=descs).collect()
+        exp = R.restock(spark, "/root/testdata/sf0.001", cfg).collect()
+        key = lambda r: tuple("" if v is None else str(v) for v in r)
+        assert sorted(map(key, got)) == sorted(map(key, exp))
