@@ -10,11 +10,12 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
 from stockcast.plans import jobs
-from stockcast.session import ensure_checkpoint_dir
+from stockcast.session import ensure_checkpoint_dir, local_session
 from stockcast.sources import CsvSales, StarSales
 
 
@@ -44,7 +45,11 @@ def main(argv=None) -> None:
     s.add_argument("--seed", type=int, default=42)
     a = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("stockcast").getOrCreate()
+    # under spark-submit the cluster's settings apply; plain `python -m` runs locally
+    if os.environ.get("SPARK_ENV_LOADED"):
+        spark = SparkSession.builder.appName("stockcast").getOrCreate()
+    else:
+        spark = local_session(app="stockcast")
     ensure_checkpoint_dir(spark)
     if a.cmd == "train":
         r = jobs.train(spark, _source(spark, a.file_path, a.star), out_dir=a.out, sample_size=a.sample_size)

@@ -32,9 +32,10 @@ class ModelSettings:
     gbt_depth: int = 3
     gbt_step: float = 0.1
     seed: int = SEED
-    # execution only (same model): node ids cached between levels, bigger node batches
+    # execution only (same model): node ids cached between levels, node batch size
+    # per task (None: sized from the heap and task slots, see tree_memory_mb)
     cache_node_ids: bool = True
-    tree_memory_mb: int = 1024
+    tree_memory_mb: int | None = None
     parallel_fits: int = 3      # models fitted concurrently (independent Spark jobs)
 
 
@@ -43,18 +44,44 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="skip")
 
 
-def estimators(s: ModelSettings = ModelSettings()) -> dict:
+def tree_memory_mb(spark: SparkSession | None = None) -> int:
+    """Node-statistics memory per task: half the heap spread over the task slots
+    that share it, between Spark's default-ish 128 MB and 1 GB."""
+    try:
+        sc = spark.sparkContext
+        if sc.master.startswith("local"):
+            heap_mb = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2 ** 20
+            slots = sc.defaultParallelism
+        else:
+            conf = sc.getConf()
+            heap_mb = _to_mb(conf.get("spark.executor.memory", "1g"))
+            slots = int(conf.get("spark.executor.cores", "1"))
+        return int(min(1024, max(128, heap_mb / (2 * max(1, slots)))))
+    except Exception:  # noqa: BLE001
+        return 256
+
+
+def _to_mb(text: str) -> float:
+    t = text.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 ** 2}
+    if t[-1] == "b":
+        t = t[:-1]
+    return float(t[:-1]) * units[t[-1]] if t[-1] in units else float(t)  # bare number: MiB
+
+
+def estimators(s: ModelSettings = ModelSettings(), spark: SparkSession | None = None) -> dict:
     label = TARGET_COLUMN
+    mem = s.tree_memory_mb or tree_memory_mb(spark or SparkSession.getActiveSession())
     return {
         "Linear Regression": LinearRegression(featuresCol="features", labelCol=label, solver="normal",
                                               regParam=0.0, fitIntercept=True),
         "Random Forest": RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=s.rf_trees,
                                                maxDepth=s.rf_depth, featureSubsetStrategy="all",
                                                seed=s.seed, cacheNodeIds=s.cache_node_ids,
-                                               maxMemoryInMB=s.tree_memory_mb),
+                                               maxMemoryInMB=mem),
         "Gradient Boosting": GBTRegressor(featuresCol="features", labelCol=label, maxIter=s.gbt_rounds,
                                           maxDepth=s.gbt_depth, stepSize=s.gbt_step, seed=s.seed,
-                                          cacheNodeIds=s.cache_node_ids, maxMemoryInMB=s.tree_memory_mb),
+                                          cacheNodeIds=s.cache_node_ids, maxMemoryInMB=mem),
     }
 
 
@@ -98,7 +125,7 @@ def split_frames(features: DataFrame, seed: int = SEED,
 
 def fit(name: str, train: DataFrame, settings: ModelSettings = ModelSettings()) -> PipelineModel:
     """M2-M4: one regressor behind the assembler."""
-    return Pipeline(stages=[assembler(), estimators(settings)[name]]).fit(train)
+    return Pipeline(stages=[assembler(), estimators(settings, train.sparkSession)[name]]).fit(train)
 
 
 def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(),
