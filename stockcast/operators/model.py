@@ -46,7 +46,8 @@ def assembler() -> VectorAssembler:
 
 def tree_memory_mb(spark: SparkSession | None = None) -> int:
     """Node-statistics memory per task: half the heap spread over the task slots
-    that share it, between Spark's default-ish 128 MB and 1 GB."""
+    that share it (at most 1 GB, at least 16 MB): a small heap gets smaller node
+    batches (more passes), never more than it holds."""
     try:
         sc = spark.sparkContext
         if sc.master.startswith("local"):
@@ -56,7 +57,7 @@ def tree_memory_mb(spark: SparkSession | None = None) -> int:
             conf = sc.getConf()
             heap_mb = _to_mb(conf.get("spark.executor.memory", "1g"))
             slots = int(conf.get("spark.executor.cores", "1"))
-        return int(min(1024, max(128, heap_mb / (2 * max(1, slots)))))
+        return int(min(1024, max(16, heap_mb / (2 * max(1, slots)))))
     except Exception:  # noqa: BLE001
         return 256
 
