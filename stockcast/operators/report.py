@@ -192,8 +192,8 @@ def sort_restock(res: DataFrame, column: str, ascending: bool = True, k: int = T
 def dashboard_records(res: DataFrame, k: int = TOP_DASHBOARD) -> DataFrame:
     """The first k rows as JSON records (the code kept in the record)."""
     top = dashboard_table(res, k)
-    cols = [c for c in res.columns]
-    return top.select("position", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("record"))
+    record = F.to_json(F.struct(*res.columns), {"ignoreNullFields": "false"})
+    return top.select("position", record.alias("record"))
 
 
 # --- P15, P16 --------------------------------------------------------------
