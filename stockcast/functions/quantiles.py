@@ -32,6 +32,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_IN_ROW = 2_000_000  # distinct values one group may gather into one row
+
+
 def _q_scaled(q: float, pandas_scaled: bool) -> float:
     return (q * 100) / 100 if pandas_scaled else q
 
@@ -74,7 +77,7 @@ def _in_row(vc: DataFrame, keys: list[str], by: Sequence[str], qs: Sequence[floa
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
                     buckets: int = 64, pandas_scaled: bool = False, prefix: str = "q",
                     accuracy: int = 10000, method: str = "auto",
-                    max_in_row: int = 2_000_000) -> DataFrame:
+                    max_in_row: int = MAX_IN_ROW) -> DataFrame:
     """Per group of ``by`` (or one row): ``n`` and ``{prefix}{k}`` per q.
 
     ``method``: 'counting' (always distributed), 'in_row' (gather each group's

@@ -183,9 +183,16 @@ def restock_unranked(features: DataFrame, config: RestockConfig = PREDICT,
 
 
 def with_priority(res: DataFrame, config: RestockConfig = PREDICT) -> DataFrame:
-    """Low / Medium / High by tertile edges of the rounded restock."""
+    """Low / Medium / High by tertile edges of the rounded restock.
+
+    ``res`` has one row per product (materialized by the caller), so its row
+    count is an exact bound on the distinct values: under the in-row limit the
+    edges gather each distinct value once, above it they are counted.
+    """
+    from stockcast.functions.quantiles import MAX_IN_ROW
+    quantile_method = "in_row" if res.count() <= MAX_IN_ROW else "counting"
     edges = tertile_edges(res, "recommended_restock", method=config.edges,
-                          buckets=config.quantile_buckets)
+                          buckets=config.quantile_buckets, quantile_method=quantile_method)
     if config.strict_edges:
         row = edges.first()
         if row["n"] and (row["e1"] is None or row["e2"] is None or
