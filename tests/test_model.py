@@ -48,3 +48,11 @@ def test_reports_and_console(spark, tmpdir_path):
     rows = tables["by_priority"].collect()
     assert len(rows) <= 15 and all(len(r.Description) >= 37 for r in rows)
     assert [r.priority for r in tables["summary"].collect()] == ["High", "Medium", "Low"]
+
+
+def test_tree_memory_sizing(spark):
+    assert MD._to_mb("4g") == 4096 and MD._to_mb("512m") == 512 and MD._to_mb("1024") == 1024
+    heap_mb = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2 ** 20
+    mem = MD.tree_memory_mb(spark)
+    assert 16 <= mem <= 1024
+    assert mem * spark.sparkContext.defaultParallelism <= max(heap_mb / 2, 16 * spark.sparkContext.defaultParallelism) + 1
