@@ -68,3 +68,48 @@ def test_restock_equals_loop(spark):
     assert np.allclose(got.loc[exp.index, "estimated_cost"].values, exp.estimated_cost.values, atol=0.011)
     # R4 relation on rounded parts
     assert (abs(got.recommended_restock - got.predicted_weekly_demand - got.safety_stock) <= 1).all()
+
+
+def _loop_restock_training(sales: pd.DataFrame) -> pd.DataFrame:
+    d = sales[(sales.Quantity > 0) & ~sales.Invoice.astype(str).str.startswith("C")].copy()
+    d["Date"] = pd.to_datetime(d.InvoiceDate).dt.normalize()
+    d["TotalPrice"] = d.Quantity * d.Price
+    daily = d.groupby(["StockCode", "Date"]).agg(Quantity=("Quantity", "sum"),
+                                                 Price=("Price", "mean")).reset_index()
+    daily = daily.sort_values(["StockCode", "Date"])
+    daily["Lag1"] = daily.groupby("StockCode").Quantity.shift(1)
+    daily["Roll7"] = daily.groupby("StockCode").Quantity.transform(lambda x: x.rolling(7, min_periods=1).mean())
+    feat = daily.dropna(subset=["Lag1"])
+    latest = feat.Date.max()
+    recent = feat[feat.Date >= latest - pd.Timedelta(days=30)]
+    stats = recent.groupby("StockCode").agg(avg=("Quantity", "mean"), std=("Quantity", "std"), price=("Price", "mean"))
+    w = BASELINE_WEIGHTS
+    out = {}
+    for code in stats.index:
+        g = feat[feat.StockCode == code]
+        if len(g) < 10:
+            continue
+        last_q = g.sort_values("Date").Quantity.iloc[-1]
+        days = [latest + pd.Timedelta(days=i) for i in range(1, 8)]
+        demand = sum(w["Rolling7_Quantity"] * stats.loc[code, "avg"] + w["Lag1_Quantity"] * last_q
+                     + w["DayOfWeek"] * (day.dayofweek - 3) for day in days)
+        safety = 1.5 * stats.loc[code, "std"] * np.sqrt(7)
+        out[code] = dict(predicted_weekly_demand=np.round(demand), safety_stock=np.round(safety),
+                         recommended_restock=np.round(demand + safety), price=stats.loc[code, "price"])
+    res = pd.DataFrame.from_dict(out, orient="index")
+    res["estimated_cost"] = res.recommended_restock * res.price
+    res["priority"] = pd.qcut(res.recommended_restock, 3, labels=["Low", "Medium", "High"]).astype(object)
+    return res
+
+
+def test_training_restock_equals_loop(spark):
+    import __spark_entry__ as E
+    exp = _loop_restock_training(_sales())
+    got = E.queries()["restock_training"](spark, SF_SMALL).toPandas().set_index("StockCode")
+    assert set(got.index) == set(exp.index)
+    g = got.loc[exp.index]
+    for c in ("predicted_weekly_demand", "safety_stock", "recommended_restock"):
+        assert ((g[c].isna() & exp[c].isna()) | (g[c] == exp[c])).all(), c
+    pe = exp.priority.where(exp.priority.notna(), None)
+    assert [a if isinstance(a, str) else None for a in g.priority] == [b if isinstance(b, str) else None for b in pe]
+    assert np.allclose(g.estimated_cost.astype(float), exp.estimated_cost.astype(float), equal_nan=True, rtol=1e-9)
