@@ -113,3 +113,33 @@ def test_training_restock_equals_loop(spark):
     pe = exp.priority.where(exp.priority.notna(), None)
     assert [a if isinstance(a, str) else None for a in g.priority] == [b if isinstance(b, str) else None for b in pe]
     assert np.allclose(g.estimated_cost.astype(float), exp.estimated_cost.astype(float), equal_nan=True, rtol=1e-9)
+
+
+def test_hot_product_third_of_rows(spark):
+    """One product holds a third of all lines: results stay whole and exact."""
+    from stockcast.config import PREDICT
+    from stockcast.operators.clean import clean_sales
+    from stockcast.operators.features import engineer_features
+    from stockcast.operators.restock import restock_recommendations
+
+    rng = np.random.default_rng(7)
+    rows = []
+    start = pd.Timestamp("2024-01-01")
+    for i in range(1200):  # hot product: many lines per day
+        day = start + pd.Timedelta(days=int(rng.integers(0, 60)))
+        rows.append((f"{i}", "HOT", "hot item", float(rng.integers(1, 20)), day, 2.5, "1", "X"))
+    for p in range(48):
+        for j in range(50):
+            day = start + pd.Timedelta(days=int(rng.integers(0, 60)))
+            inv = ("C" if j % 17 == 0 else "") + f"{p}{j}"
+            rows.append((inv, f"P{p:02d}", f"item {p}", float(rng.integers(-3, 30)), day, 1.0 + p, "2", "Y"))
+    pdf = pd.DataFrame(rows, columns=["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
+                                      "Customer ID", "Country"])
+    exp = _loop_restock(pdf)
+    sdf = spark.createDataFrame(pdf.assign(InvoiceDate=pdf.InvoiceDate.dt.to_pydatetime()))
+    sdf = sdf.withColumn("InvoiceDate", sdf.InvoiceDate.cast("timestamp_ntz"))
+    feats = engineer_features(clean_sales(sdf, PREDICT), PREDICT)
+    got = restock_recommendations(feats, PREDICT).toPandas().set_index("StockCode")
+    assert set(got.index) == set(exp.index) and "HOT" in got.index
+    for c in ("predicted_weekly_demand", "safety_stock", "recommended_restock", "priority"):
+        assert (got.loc[exp.index, c].values == exp[c].values).all(), c
