@@ -49,7 +49,9 @@ def cut(df: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver share, as a URI without a trailing slash."""
     path = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return (path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path)).rstrip("/")
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
+    return (path if "://" in path else "file://" + os.path.abspath(path)).rstrip("/")
 
 
 def slices(spark: SparkSession) -> int:

@@ -6,18 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import chat
+from stockcast.llm import chat, packing, warc
 from stockcast.llm.common import table
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 1024, 2)
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op7(spark, table(spark, sf_dir, "conversations"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark), 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op7_chat_formatting": op7_chat_formatting,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
     "op7_chat_formatting": chat.OP7_SQL,
+    "op10_warc": warc.OP10_SQL,
 }
