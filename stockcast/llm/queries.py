@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import chat, packing, warc
+from stockcast.llm import chat, linededup, packing, simhash, warc
 from stockcast.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 1024, 2)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 2)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op7(spark, table(spark, sf_dir, "conversations"))
 
@@ -30,6 +38,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_simhash": op4_simhash,
+    "op5_line_dedup": op5_line_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op10_warc": op10_warc,
 }
