@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import chat, linededup, packing, simhash, warc
+from stockcast.llm import bpe, chat, linededup, packing, simhash, tokencount, warc
 from stockcast.llm.common import table
 
 
@@ -32,6 +32,14 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op7(spark, table(spark, sf_dir, "conversations"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2048)
+
+
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark), 0))
 
@@ -41,6 +49,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_token_counts": op8_token_counts,
+    "op9_bpe_codec": op9_bpe_codec,
     "op10_warc": op10_warc,
 }
 
