@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import bpe, chat, linededup, packing, simhash, tokencount, warc
+from stockcast.llm import balltree, bpe, chat, linededup, lsh, packing, simhash, tokencount, warc
 from stockcast.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 1024, 2)
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 2)
 
@@ -28,6 +32,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op7(spark, table(spark, sf_dir, "conversations"))
 
@@ -46,8 +54,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_exact_topk": op2_exact_topk,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_codec": op9_bpe_codec,
@@ -55,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_exact_topk": balltree.OP2_SQL,
     "op7_chat_formatting": chat.OP7_SQL,
     "op10_warc": warc.OP10_SQL,
 }
