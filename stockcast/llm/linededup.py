@@ -154,3 +154,10 @@ def delete_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text (after deletion), n_lines, n_deleted: one row per row of ``documents``."""
     return delete_lines(documents, min_words).select(F.col("row.doc_id").cast("long").alias("doc_id"), "text", "n_lines", "n_deleted")
+
+
+def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``documents`` with all columns, texts without the deleted lines; a document that lost all its text goes."""
+    out = delete_lines(documents, min_words).filter((F.col("n_deleted") == 0) | (F.trim("text") != ""))
+    text = F.when(F.col("n_deleted") == 0, F.col("row.text")).otherwise(F.col("text"))
+    return out.select(F.col("row").withField("text", text).alias("row")).select("row.*")

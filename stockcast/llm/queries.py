@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import balltree, bpe, chat, linededup, lsh, packing, simhash, tokencount, warc
+from stockcast.llm import balltree, bpe, chat, langid, linededup, lsh, packing, simhash, tokencount, warc
 from stockcast.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return langid.identify(documents, langid.model_of(documents))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 2)
 
@@ -55,6 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_topk": op2_exact_topk,
+    "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op6_nearest_neighbours": op6_nearest_neighbours,

@@ -69,17 +69,18 @@ def fingerprint(text: str | None, width: int) -> int:
 
 
 def fingerprints(documents: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of whole texts."""
+    """doc_id, text_hash, fp (the 64 bits as a signed long) of whole texts."""
     ship_package(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in some(batch):
                 fps = np.array([fingerprint(t, width) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fps.view(np.int64))],
+                                                 names=["doc_id", "text_hash", "fp"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def blocks(budget: int) -> list[tuple[int, int]]:
@@ -258,13 +259,35 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(documents: DataFrame, width: int = 3, budget: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id linked to the document, itself included."""
+def _classes(documents: DataFrame, width: int, budget: int) -> tuple[DataFrame, DataFrame]:
+    """(fingerprints of all rows; fp, root, least of each distinct fingerprint).
+
+    least: struct<none, doc_id, text_hash> of the fingerprint's first document,
+    by doc_id with null ones last, then by text hash.
+    """
     fps = cut(fingerprints(documents, width))
-    classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(classes.select("fp"), budget))
-    named = classes.join(roots, classes["fp"] == roots["node"], "left").select(
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    distinct = cut(fps.groupBy("fp").agg(first.alias("least")))
+    roots = components(links(distinct.select("fp"), budget))
+    return fps, distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+
+
+def near_duplicates(documents: DataFrame, width: int = 3, budget: int = 2) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id linked to the document, itself included."""
+    fps, named = _classes(documents, width, budget)
+    least = named.groupBy("root").agg(F.min("least.doc_id").alias("component_id"))
     table = named.join(least, "root").select("fp", "component_id")
     return fps.join(table, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame, width: int = 3, budget: int = 2) -> DataFrame:
+    """The first document of each class (smallest doc_id, then text hash), with all columns of ``documents``."""
+    _, named = _classes(documents, width, budget)
+    kept = named.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("kept_id"), F.col("least.text_hash").alias("kept_hash"))
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")).select(
+        "row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("row.text").cast("string")).alias("text_hash"))
+    found = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["text_hash"] == kept["kept_hash"]), "left_semi")
+    # rows that repeat a kept document's id and text are one document
+    return found.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
