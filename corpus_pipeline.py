@@ -20,6 +20,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockcast.llm import langid, linededup, packing, simhash
 from stockcast.llm.common import shared_dir, table
@@ -33,7 +34,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.without_repeats(docs)
+    kept = linededup.without_repeats(docs)
+    if "n_chars" in kept.columns:  # it describes the text, which may be shorter now
+        kept = kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    return kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
