@@ -111,7 +111,7 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     holders = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = lines.join(holders.filter("first < last").select("line", "first"), "line")
     docs_ = cut(shared.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("i", "line", "long"))).alias("lines"),
+        F.sort_array(F.collect_set(F.struct("i", "line", "long"))).alias("lines"),  # a set: rows may repeat
         F.collect_set(F.when(F.col("long") & (F.col("first") < F.col("doc_id")), F.col("first"))).alias("partners")))
     pairs = docs_.select("doc_id", "text_hash", "lines", F.explode("partners").alias("partner"))
     earlier = docs_.select(F.col("doc_id").alias("partner"), F.col("lines").alias("theirs"))
