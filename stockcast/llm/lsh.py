@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Largest inner product becomes nearest Euclidean neighbour by one more
-component, sqrt(M^2 - |x|^2), with M the largest norm of all rows. Each of
-``tables`` hash tables cuts ``functions`` random Gaussian projections into
-slots of width ``width`` times the root mean square norm. A query visits, in
+Largest inner product becomes nearest Euclidean neighbour on the unit sphere:
+rows are divided by M, the largest norm of all rows, and get one more
+component that fills them up to norm 1; queries are divided by their own norm.
+Each of ``tables`` hash tables cuts ``functions`` random Gaussian projections
+into slots of width ``width``. A query visits, in
 every table, the ``probes`` buckets with the best estimated success: moving a
 slot down or up costs the squared distance to that slot's edge, and buckets
 are taken in order of total cost. Candidates of all tables are merged, scored
@@ -40,18 +41,20 @@ SCORES = 4_000_000  # scores held at once
 class Hashes:
     """The projections of all tables for one dimension."""
 
-    def __init__(self, dim: int, top: float, rms: float, tables: int, functions: int, width: float):
+    def __init__(self, dim: int, top: float, tables: int, functions: int, width: float):
         rng = np.random.default_rng([SEED, dim])
         self.a = rng.normal(size=(tables, dim + 1, functions))
-        self.width = width * rms
-        self.b = rng.uniform(0, self.width, size=(tables, functions))
+        self.width = width
+        self.b = rng.uniform(0, width, size=(tables, functions))
         self.mix = rng.integers(1, 2 ** 62, size=functions, dtype=np.int64) * 2 + 1
         self.top = top
         self.moves = np.array(list(product((0, -1, 1), repeat=functions)), np.int64)
 
     def places(self, table: int, v: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
         """(slot, place inside the slot from 0 to 1) of every projection."""
-        extra = np.zeros(len(v)) if query else np.sqrt(np.maximum(0.0, self.top - (v * v).sum(axis=1)))
+        square = (v * v).sum(axis=1)
+        v = v / (np.sqrt(square)[:, None] if query else self.top ** 0.5)
+        extra = np.zeros(len(v)) if query else np.sqrt(np.maximum(0.0, 1.0 - square / self.top))
         p = (np.column_stack([v, extra]) @ self.a[table] + self.b[table]) / self.width
         slot = np.floor(p)
         return slot.astype(np.int64), p - slot
@@ -100,8 +103,8 @@ def search(shard: dict, ids: np.ndarray, q: np.ndarray, hashes: Hashes, probes:
             bucket = where[who, nth]
             by = np.argsort(bucket, kind="stable")
             who, bucket = who[by], bucket[by]
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 rows = order[edge[bucket[a]]:edge[bucket[a] + 1]]
                 score[np.ix_(who[a:b], rows)] = part[who[a:b]] @ v[rows].T
         for i in range(len(part)):
@@ -132,12 +135,11 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, tables: int = T
     """query_id, rank, vec_id, score for the rows whose vec_id is divisible by ``every``."""
     rows = vectors(embeddings, lambda x: x, nonzero=True)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    norms = rows.agg(F.max(square).alias("top"), F.avg(square).alias("mean")).first()
-    top, rms = norms["top"] or 1.0, (norms["mean"] or 1.0) ** 0.5
+    top = rows.agg(F.max(square).alias("top")).first()["top"] or 1.0
     dealt, queries, shards, blocks = deal(rows, every)
 
     def hashes(dim: int) -> Hashes:
-        return Hashes(dim, top, rms, tables, functions, width)
+        return Hashes(dim, top, tables, functions, width)
 
     index = pack_shards(dealt, lambda ids, v: build(ids, v, hashes(v.shape[1]), k + 1), "float64")
     queries = queries.withColumn("shards", F.sequence(F.lit(0), F.lit(shards - 1)))
