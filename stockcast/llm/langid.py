@@ -35,7 +35,7 @@ SEGMENT = 64
 HIDDEN = 8
 DOCS_PER_LANGUAGE = 256
 SEGMENTS_PER_DOC = 8
-EPOCHS = 8
+STEPS = 256
 BATCH = 256
 AT_ONCE = 2048
 UNKNOWN = "und"
@@ -131,7 +131,7 @@ def gradients(p: dict, x: np.ndarray, label: np.ndarray) -> tuple[float, dict]:
     return loss, grad
 
 
-def train(rows: list[tuple[bytes, str]], epochs: int = EPOCHS, seed: int = 7) -> dict:
+def train(rows: list[tuple[bytes, str]], steps: int = STEPS, seed: int = 7) -> dict:
     """{"languages": [...], "weights": {...}} from (segment, language) rows; no rows give no languages."""
     languages = sorted({lang for _, lang in rows})
     rng = np.random.default_rng(seed)
@@ -140,14 +140,14 @@ def train(rows: list[tuple[bytes, str]], epochs: int = EPOCHS, seed: int = 7) ->
         x = np.concatenate([segments(s) for s, _ in rows])
         y = np.array([languages.index(lang) for _, lang in rows])
         first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-        step, total = 0, epochs * -(-len(x) // BATCH)
-        for _ in range(epochs):
+        step = 0
+        while step < steps:
             order = rng.permutation(len(x))
-            for at in range(0, len(x), BATCH):
+            for at in range(0, len(x), BATCH)[:steps - step]:
                 part = order[at:at + BATCH]
                 _, grad = gradients(p, np.ascontiguousarray(x[part].T), y[part])
                 step += 1
-                rate = 0.03 * (1 - 0.9 * step / total)
+                rate = 0.03 * (1 - 0.9 * step / steps)
                 norm = max(1.0, float(np.sqrt(sum((g * g).sum() for g in grad.values()))) / 1.0)
                 for k, g in grad.items():
                     g = g / norm
