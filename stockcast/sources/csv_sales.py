@@ -1,23 +1,41 @@
 """Sales lines from CSV files.
 
-The header decides the column names; every field is read as text and the
-numeric columns are converted afterwards (a value that is not a number becomes
-NULL instead of failing the job). One spare column catches lines with more
-fields than the header: ``lenient`` drops them (``overlong_lines`` counts
-them), ``strict`` raises. Short lines are padded with NULL and kept.
+One job looks at every line of every file: it finds each file's header line
+and whether any byte is not UTF-8 (S2: such a file is read as Latin-1). Files
+are then grouped by encoding, delimiter and column names; each group is read
+with its own names and the groups are united by name, so files may order their
+columns differently.
+
+Every field is read as text and the numeric columns are converted afterwards.
+One spare column catches lines with more fields than the header. ``strict``
+raises on such a line and on a number that cannot be read; ``lenient`` drops
+the line, makes the number NULL, and ``read_report`` counts both. Short lines
+are padded with NULL and kept. The texts in ``MISSING_TEXT`` are missing
+values. Line breaks inside quotes need ``multiline=True`` (files are then not
+split between tasks).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stockcast.operators.clean import with_invoice_timestamp
 from stockcast.operators.features import distinct_descriptions, first_description
 
 _EXTRA = "_extra"
 _DELIMITERS = (",", ";", "\t", "|")
 _NUMERIC = ("Quantity", "Price")
+UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
+
+# The texts that the original's reader takes for a missing value.
+MISSING_TEXT = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def sniff_delimiter(header: str) -> str:
@@ -27,91 +45,141 @@ def sniff_delimiter(header: str) -> str:
     return best if counts[best] > 0 else ","
 
 
-def _header_line(spark: SparkSession, path: str, encoding: str) -> str:
-    # one line of one file: bounded, read on the driver on purpose
-    row = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    if not row:
+def _split_header(header: str, sep: str) -> tuple[str, ...]:
+    return tuple(h.strip().strip('"') for h in header.lstrip("﻿").split(sep))
+
+
+def file_facts(spark: SparkSession, path: str | Sequence[str], encoding: str = UTF8) -> list[tuple[str, str, bool]]:
+    """(file, header line, holds bytes outside the encoding) of every file that has a line.
+
+    All lines are looked at on the executors; one row per file comes back, as
+    many as the file listing that planning a read needs anyway.
+    """
+    # the text source hands over a line's bytes as they are
+    value = F.col("value") if encoding == UTF8 else F.decode(F.col("value").cast("binary"), encoding)
+    lines = spark.read.text(path).select(
+        value.alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nth"))
+    # ids grow in reading order inside a task, and a file's first block is read by one task
+    top = F.when(F.col("block") == 0, F.col("nth"))
+    facts = lines.groupBy("file").agg(F.min_by("value", top).alias("header"),
+                                      F.max(~F.is_valid_utf8("value")).alias("bad"))
+    return sorted((r["file"], r["header"] or "", bool(r["bad"])) for r in facts.collect())
+
+
+def _groups(spark: SparkSession, path: str, encoding: str, sep: str | None) -> dict[tuple, list[str]]:
+    """(encoding, delimiter, names) -> files."""
+    if encoding == "auto":
+        seen = file_facts(spark, path)
+        facts = [(f, h, UTF8) for f, h, bad in seen if not bad]
+        other = [f for f, _, bad in seen if bad]
+        if other:
+            facts += [(f, h, LATIN1) for f, h, _ in file_facts(spark, other, LATIN1)]
+    else:
+        facts = file_facts(spark, path, encoding)
+        if bad := [f for f, _, b in facts if b]:
+            raise ValueError(f"bytes that are not {encoding} in {bad[:3]}; name the encoding or use 'auto'")
+        facts = [(f, h, encoding) for f, h, _ in facts]
+    if not facts:
         raise ValueError(f"empty input: {path}")
-    return row[0][0].lstrip("﻿")
+    out: dict[tuple, list[str]] = {}
+    for file, header, enc in facts:
+        delim = sep or sniff_delimiter(header)
+        out.setdefault((enc, delim, _split_header(header, delim)), []).append(file)
+    return out
+
+
+def _raw(spark: SparkSession, path: str, encoding: str, sep: str | None, multiline: bool) -> DataFrame:
+    """All lines as text columns plus the spare one; the files' groups united by name."""
+    parts = []
+    for (enc, delim, names), files in _groups(spark, path, encoding, sep).items():
+        schema = StructType([StructField(n, StringType(), True) for n in (*names, _EXTRA)])
+        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+              .option("encoding", enc).option("sep", delim).option("quote", '"').option("escape", '"')
+              .option("multiLine", multiline).csv(files))
+        parts.append(df.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TEXT), F.col(f"`{n}`")).alias(n) for n in names],
+                               F.col(_EXTRA).isNotNull().alias(_EXTRA)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def _unreadable(c: str) -> Column:
+    return F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
+
+
+def _must(bad: Column, message: str) -> Column:
+    """True for good rows; raises on a bad one when the row is read."""
+    return F.when(bad, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
+
+
+def read_sales(spark: SparkSession, path: str, mode: str = "lenient", encoding: str = UTF8,
+               sep: str | None = None, multiline: bool = False) -> DataFrame:
+    """S1 (lenient) / S3 (strict) / S2 (encoding 'auto' or 'ISO-8859-1', sep=None sniffs)."""
+    raw = _raw(spark, path, encoding, sep, multiline)
+    numeric = [c for c in _NUMERIC if c in raw.columns]
+    if mode == "strict":
+        raw = raw.where(_must(F.col(_EXTRA), f"{path}: a line has more fields than the header"))
+        for c in numeric:
+            raw = raw.where(_must(_unreadable(c), f"{path}: a {c} that is not a number"))
+    else:
+        raw = raw.where(~F.col(_EXTRA))
+    return raw.drop(_EXTRA).withColumns({c: F.col(c).try_cast("double") for c in numeric})
 
 
-def _split_header(header: str, sep: str) -> list[str]:
-    return [h.strip().strip('"') for h in header.split(sep)]
+def overlong_lines(spark: SparkSession, path: str, encoding: str = UTF8, sep: str | None = None,
+                   multiline: bool = False) -> DataFrame:
+    """Lines with more fields than the header (what lenient mode drops)."""
+    return _raw(spark, path, encoding, sep, multiline).where(F.col(_EXTRA)).drop(_EXTRA)
 
 
-def read_sales(spark: SparkSession, path: str, mode: str = "lenient",
-               encoding: str = "UTF-8", sep: str | None = None) -> DataFrame:
-    """S1 (lenient) / S3 (strict) / S2 (encoding='ISO-8859-1', sep=None sniffs)."""
-    header = _header_line(spark, path, encoding)
-    delim = sep or sniff_delimiter(header)
-    names = _split_header(header, delim)
-    schema = StructType([StructField(n, StringType(), True) for n in names]
-                        + [StructField(_EXTRA, StringType(), True)])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("encoding", encoding).option("sep", delim).option("quote", '"')
-           .option("escape", '"').csv(path))
-    if mode == "strict":
-        if raw.where(F.col(_EXTRA).isNotNull()).limit(1).count() > 0:
-            raise ValueError(f"{path}: a line has more fields than the header")
-    typed = raw.where(F.col(_EXTRA).isNull()).drop(_EXTRA)
-    for c in _NUMERIC:
-        if c in typed.columns:
-            typed = typed.withColumn(c, F.col(c).try_cast("double"))
-    return typed
-
-
-def overlong_lines(spark: SparkSession, path: str, encoding: str = "UTF-8",
-                   sep: str | None = None) -> DataFrame:
-    """Lines with more fields than the header (what lenient mode skips)."""
-    header = _header_line(spark, path, encoding)
-    delim = sep or sniff_delimiter(header)
-    names = _split_header(header, delim)
-    schema = StructType([StructField(n, StringType(), True) for n in names]
-                        + [StructField(_EXTRA, StringType(), True)])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("encoding", encoding).option("sep", delim).csv(path))
-    return raw.where(F.col(_EXTRA).isNotNull())
-
-
-def detect_format(spark: SparkSession, path: str, sample_lines: int = 1000) -> tuple[str, str]:
-    """S2 trigger: (encoding, delimiter). Spark does not fail on bytes that are not
-    UTF-8, it replaces them; a replacement character in the first lines (a
-    bounded sample) switches to Latin-1, and the delimiter is sniffed."""
-    lines = [r[0] for r in spark.read.text(path).limit(sample_lines).collect()]
-    if not lines:
-        raise ValueError(f"empty input: {path}")
-    encoding = "ISO-8859-1" if any("\ufffd" in ln for ln in lines) else "UTF-8"
-    header = lines[0] if encoding == "UTF-8" else _header_line(spark, path, encoding)
-    return encoding, sniff_delimiter(header.lstrip("\ufeff"))
+def read_report(spark: SparkSession, path: str, encoding: str = "auto", sep: str | None = None,
+                multiline: bool = False) -> DataFrame:
+    """One row: lines, overlong_lines, and unreadable_<column> per numeric column; what lenient mode loses."""
+    raw = _raw(spark, path, encoding, sep, multiline)
+    return raw.agg(F.count("*").alias("lines"), F.count(F.when(F.col(_EXTRA), 1)).alias("overlong_lines"),
+                   *[F.count(F.when(~F.col(_EXTRA) & _unreadable(c), 1)).alias(f"unreadable_{c}")
+                     for c in _NUMERIC if c in raw.columns])
+
 
+def detect_format(spark: SparkSession, path: str) -> tuple[str, str]:
+    """S2 trigger: (encoding, delimiter) of the input, from all lines; raises if its files differ."""
+    found = {(enc, delim) for enc, delim, _ in _groups(spark, path, "auto", None)}
+    if len(found) > 1:
+        raise ValueError(f"files of different formats: {sorted(found)}")
+    return found.pop()
 
-def read_sales_auto(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    """S1 with the S2 fallback: detect encoding and delimiter, then read."""
-    encoding, sep = detect_format(spark, path)
-    return read_sales(spark, path, mode=mode, encoding=encoding, sep=sep)
+
+def read_sales_auto(spark: SparkSession, path: str, mode: str = "lenient", multiline: bool = False) -> DataFrame:
+    """S1 with the S2 fallback: each file's encoding and delimiter, then read."""
+    return read_sales(spark, path, mode=mode, encoding="auto", multiline=multiline)
 
 
 class CsvSales:
     """Sales lines from CSV; descriptions come from the lines themselves."""
 
     def __init__(self, spark: SparkSession, path: str, mode: str = "lenient",
-                 encoding: str = "auto", sep: str | None = None):
+                 encoding: str = "auto", sep: str | None = None, multiline: bool = False):
         self.spark, self.path = spark, path
-        self.mode, self.encoding, self.sep = mode, encoding, sep
+        self.mode, self.encoding, self.sep, self.multiline = mode, encoding, sep, multiline
+        self._lines: DataFrame | None = None  # the plan, so that the files are looked at once
 
     def sales(self, columns=None) -> DataFrame:
-        if self.encoding == "auto":
-            df = read_sales_auto(self.spark, self.path, self.mode)
-        else:
-            df = read_sales(self.spark, self.path, self.mode, self.encoding, self.sep)
+        if self._lines is None:
+            self._lines = read_sales(self.spark, self.path, self.mode, self.encoding, self.sep, self.multiline)
+        df = self._lines
         return df if columns is None else df.select(*[c for c in columns if c in df.columns])
 
+    def report(self) -> DataFrame:
+        return read_report(self.spark, self.path, self.encoding, self.sep, self.multiline)
+
     def first_descriptions(self, clean: DataFrame | None = None) -> DataFrame:
         """First description per code (all raw lines unless ``clean`` is given)."""
         src = clean if clean is not None else self.sales()
         if "Description" not in src.columns:
             return self.spark.createDataFrame([], "StockCode string, Description string, n_described long")
-        return first_description(src)
+        return first_description(with_invoice_timestamp(src, strict=False))
 
     def description_pairs(self, clean: DataFrame) -> DataFrame:
         return distinct_descriptions(clean)

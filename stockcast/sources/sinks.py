@@ -10,13 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.config import INVOICE_DATE_TEXT_FORMAT
+from stockcast.config import INVOICE_DATE_TEXT_FORMAT, PRIORITY_LABELS
 from stockcast.operators.report import priority_summary
 from stockcast.operators.sample import sample_rows
 
 
+def _csv(df: DataFrame, mode: str = "overwrite"):
+    """A CSV writer whose files ``csv_sales`` reads back unchanged: quotes doubled, blanks kept."""
+    return (df.write.option("header", True).option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode(mode))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.option("header", True).mode(mode).csv(path)
+    _csv(df, mode).csv(path)
     return path
 
 
@@ -30,8 +36,8 @@ def write_restock(res: DataFrame, path: str, as_integers: bool = True) -> str:
 
 
 def write_by_priority(res: DataFrame, path: str) -> str:
-    """One folder per priority (priority=High/...), written in one job."""
-    res.write.option("header", True).mode("overwrite").partitionBy("priority").csv(path)
+    """One folder per priority (priority=High/...), written in one job; rows without one are in none."""
+    _csv(res.where(F.col("priority").isin(*PRIORITY_LABELS))).partitionBy("priority").csv(path)
     return path
 
 
