@@ -19,8 +19,8 @@ from functools import lru_cache
 
 import numpy as np
 
-TABLE_BITS = 21
-TABLE_WORDS = 800_000
+TABLE_BITS = 20
+TABLE_WORDS = 500_000
 LONG_WORDS = 50_000
 KEY_BYTES = 24
 
@@ -139,7 +139,7 @@ class WordTable:
         self.slot = np.full(size, -1, np.int32)
         self.at = np.zeros(TABLE_WORDS, np.int64)    # where a word's ids start in the pool
         self.many = np.zeros(TABLE_WORDS, np.int32)  # how many ids it has
-        self.pool = np.zeros(1 << 21, np.uint32)
+        self.pool = np.zeros(1 << 20, np.uint32)
         self.words = self.used = 0
         self.long: dict[bytes, list[int]] = {}
 
@@ -310,7 +310,7 @@ def byte_bpe(path: str) -> BatchEncoder:
     return BatchEncoder(spaced_words, word_ids, lambda t: lib.encode(t, add_special_tokens=False).ids, vocab.added)
 
 
-def some(batch, rows: int = 1000, chars: int = 4_000_000, text: int = 1):
+def some(batch, rows: int = 1000, chars: int = 2_000_000, text: int = 1):
     """Slices of an Arrow batch of at most ``rows`` rows and, but for single rows, about ``chars`` bytes of text."""
     import pyarrow.compute as pc
 
