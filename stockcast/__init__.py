@@ -7,7 +7,6 @@ Layout
 ``operators``  clean, explore, features, restock, report, sample, model
 ``plans``      end-to-end jobs (train, predict, reports, sample) and the
                registry of checked queries
-``streaming``  nothing: the forecasting flow is batch only
 """
 
 from stockcast.config import RestockConfig, PREDICT, TRAINING

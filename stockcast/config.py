@@ -83,7 +83,7 @@ class RestockConfig:
     ``cost``          'unrounded_2dp': unrounded restock * price, 2 places (predict);
                       'rounded': rounded restock * price, not rounded (training)
     ``edges``         'pandas': tertile edges by pandas' interpolation (qcut);
-                      'percentile': Spark's exact percentile
+                      'percentile': the same with q as it is (Spark's percentile)
     """
 
     variant: str = "predict"
@@ -100,7 +100,6 @@ class RestockConfig:
     coerce_customer: bool = False
     edges: str = "pandas"
     strict_edges: bool = False
-    quantile_buckets: int = 64
 
     def with_(self, **kw) -> "RestockConfig":
         return replace(self, **kw)

@@ -1,27 +1,20 @@
 """Exact quantiles without gathering a column into one task.
 
 The order statistics x[r] (0-based, NULLs removed) of each group are found by
-counting:
+counting over range-partitioned distinct values:
 
 1. distinct (group, value) pairs with their counts (partial aggregation),
-2. per group, values spread over ``buckets`` ranges cut at approximate
-   quantiles of the distinct values (a bounded sketch per group),
-3. per (group, bucket) totals -> running offsets over at most ``buckets``
-   rows per group,
-4. a running count inside each bucket plus its offset gives, for every
-   distinct value, how many elements of its group are <= it,
-5. x[r] is the smallest value whose running count exceeds r.
-
-No task holds more than one bucket of distinct values of one group, or
-``buckets`` rows. A hot value is one row after step 1, whatever its count.
-
-When the distinct values of every group are few (checked first with an HLL
-estimate against ``max_in_row``), the sorted (value, count) pairs of a group
-are gathered into one row and walked once with ``aggregate``: one shuffle
-instead of five, memory bounded by the checked distinct count.
-The interpolation between x[i] and x[i+1] is NumPy's two-sided linear form,
-so results equal pandas; ``pandas_scaled`` reproduces how pandas passes q
-through percent (q*100/100), which decides tertile ties.
+2. range-partitioned by (group, value) over the normal shuffle partitions and
+   written once with the number of their partition,
+3. totals per (group, partition), running offsets over them,
+4. only the partitions that hold a wanted rank are read again; a running count
+   inside them plus their offset gives x[r].
+
+No task holds more than one range partition or one total per partition; a hot
+value is one row after step 1, whatever its count. There is one path for every
+size. The interpolation between x[i] and x[i+1] is NumPy's two-sided linear
+form, so results equal pandas; ``pandas_scaled`` reproduces how pandas passes
+q through percent (q*100/100), which decides tertile ties.
 """
 
 from __future__ import annotations
@@ -31,8 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_IN_ROW = 2_000_000  # distinct values one group may gather into one row
+from stockcast.functions.materialize import materialize
 
 
 def _q_scaled(q: float, pandas_scaled: bool) -> float:
@@ -49,110 +41,54 @@ def _ranks(q: float, pandas_scaled: bool) -> tuple[Column, Column, Column]:
     return i, F.least(i + 1, F.col("n") - 1), p - i
 
 
-def _step(i: Column, j: Column):
-    """Running count over sorted (x, c): remember the first x past rank i and past rank j."""
-    def step(acc, s):
-        run = acc["run"] + s["c"]
-        return F.struct(run.alias("run"),
-                        F.when(acc["lo"].isNull() & (run > i), s["x"]).otherwise(acc["lo"]).alias("lo"),
-                        F.when(acc["hi"].isNull() & (run > j), s["x"]).otherwise(acc["hi"]).alias("hi"))
-    return step
-
-
-def _in_row(vc: DataFrame, keys: list[str], by: Sequence[str], qs: Sequence[float],
-            pandas_scaled: bool, prefix: str) -> DataFrame:
-    arr = vc.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("x", "c"))).alias("a"),
-                                F.sum("c").alias("n"))
-    out = [F.col(k) for k in by] + [F.col("n")]
+def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., x, c): distinct values without NULL and NaN, and how often they occur."""
+    x = df.select(*[F.col(k) for k in by], F.col(col).cast("double").alias("x"))
+    return x.where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy(*by, "x").agg(F.count(F.lit(1)).alias("c"))
+
+
+def quantiles_of_counts(vc: DataFrame, qs: Sequence[float], by: Sequence[str] = (),
+                        pandas_scaled: bool = False, prefix: str = "q") -> DataFrame:
+    """Per group of ``by`` (or one row): ``n`` and ``{prefix}{k}`` per q, from ``value_counts``."""
+    by = list(by)
+    ranged = vc.repartitionByRange(*by, "x").withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged, "checkpoint")
+    totals = ranged.groupBy(*by, "part").agg(F.sum("c").alias("t"))
+    # one row per group and range partition: bounded by the number of partitions
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    before = F.sum("t").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select(*by, "part", "t", F.coalesce(before, F.lit(0)).alias("offset"), F.sum("t").over(group).alias("n"))
+    wanted = F.array(*[r for q in qs for r in _ranks(q, pandas_scaled)[:2]])
+    inside = F.exists(wanted, lambda r: (r >= F.col("offset")) & (r < F.col("offset") + F.col("t")))
+    held = totals.where(inside).select(*by, "part", "offset", "n")
+    running = F.sum("c").over(Window.partitionBy(*by, "part").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+    cum = ranged.join(held, [*by, "part"]).select(
+        *by, "x", "n", (F.col("offset") + running).alias("cum"), (F.col("offset") + running - F.col("c")).alias("low"))
+    aggs = [F.max("n").alias("n")]
     for k, q in enumerate(qs):
         i, j, g = _ranks(q, pandas_scaled)
-        init = F.struct(F.lit(0).cast("long").alias("run"), F.lit(None).cast("double").alias("lo"),
-                        F.lit(None).cast("double").alias("hi"))
-
-        walk = F.aggregate("a", init, _step(i, j))
-        out.append(_lerp(walk["lo"], walk["hi"], g).alias(f"{prefix}{k}"))
-    return arr.select(*out)
+        aggs.append(F.max(F.when((F.col("low") <= i) & (i < F.col("cum")), F.col("x"))).alias(f"_lo{k}"))
+        aggs.append(F.max(F.when((F.col("low") <= j) & (j < F.col("cum")), F.col("x"))).alias(f"_hi{k}"))
+        aggs.append(F.max(g).alias(f"_g{k}"))
+    agg = cum.groupBy(*by).agg(*aggs)
+    return agg.select(*by, F.coalesce("n", F.lit(0)).cast("long").alias("n"), *[
+        _lerp(F.col(f"_lo{k}"), F.col(f"_hi{k}"), F.col(f"_g{k}")).alias(f"{prefix}{k}") for k in range(len(qs))])
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                    buckets: int = 64, pandas_scaled: bool = False, prefix: str = "q",
-                    accuracy: int = 10000, method: str = "auto",
-                    max_in_row: int = MAX_IN_ROW) -> DataFrame:
-    """Per group of ``by`` (or one row): ``n`` and ``{prefix}{k}`` per q.
-
-    ``method``: 'counting' (always distributed), 'in_row' (gather each group's
-    distinct values), 'auto' (in_row when an HLL estimate of the largest
-    group's distinct count is under ``max_in_row``; one small job decides).
-    """
-    keys = list(by) or ["_g"]
-    x = df.select(*[F.col(k) for k in by], F.col(col).cast("double").alias("x"))
-    if not by:
-        x = x.withColumn("_g", F.lit(0))
-    x = x.where(F.col("x").isNotNull() & ~F.isnan("x"))
-    vc = x.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
-    if method == "auto":
-        est = x.groupBy(*keys).agg(F.approx_count_distinct("x", 0.02).alias("d")).agg(F.max("d")).first()[0]
-        method = "in_row" if (est or 0) <= 0.8 * max_in_row else "counting"
-    if method == "in_row":
-        return _with_empty_row(df, _in_row(vc, keys, by, qs, pandas_scaled, prefix), by, qs, prefix)
-    fr = [i / buckets for i in range(1, buckets)]
-    bounds = vc.groupBy(*keys).agg(F.percentile_approx("x", fr, accuracy).alias("b"))
-    # position of x among the sorted distinct bounds: monotone in x, so each
-    # bucket is one value range of its group
-    vb = vc.join(bounds, keys).select(
-        *keys, "x", "c",
-        F.array_position(F.sort_array(F.array_union("b", F.array(F.col("x")))), F.col("x")).alias("bucket"),
-    )
-    totals = vb.groupBy(*keys, "bucket").agg(F.sum("c").alias("bc"))
-    by_bucket = Window.partitionBy(*keys).orderBy("bucket")
-    totals = totals.select(
-        *keys, "bucket",
-        F.coalesce(F.sum("bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("offset"),
-        F.sum("bc").over(Window.partitionBy(*keys)).alias("n"),
-    )
-    running = F.sum("c").over(Window.partitionBy(*keys, "bucket").orderBy("x")
-                              .rowsBetween(Window.unboundedPreceding, 0))
-    cum = vb.join(totals, keys + ["bucket"]).select(
-        *keys, "x", "n", (F.col("offset") + running).alias("cum"))
+                    pandas_scaled: bool = False, prefix: str = "q") -> DataFrame:
+    """Per group of ``by``: ``n`` and ``{prefix}{k}`` per q; without ``by`` one row, also for empty input."""
+    return quantiles_of_counts(value_counts(df, col, by), qs, by, pandas_scaled, prefix)
 
-    aggs = [F.max("n").alias("n")]
-    for k, q in enumerate(qs):
-        i, j, g = _ranks(q, pandas_scaled)
-        aggs.append(F.min(F.when(F.col("cum") > i, F.col("x"))).alias(f"_lo{k}"))
-        aggs.append(F.min(F.when(F.col("cum") > j, F.col("x"))).alias(f"_hi{k}"))
-        aggs.append(F.max(g).alias(f"_g{k}"))
-    agg = cum.groupBy(*keys).agg(*aggs)
-    out = [F.col(k) for k in by] + [F.col("n")]
-    for k in range(len(qs)):
-        out.append(_lerp(F.col(f"_lo{k}"), F.col(f"_hi{k}"), F.col(f"_g{k}")).alias(f"{prefix}{k}"))
-    return _with_empty_row(df, agg.select(*out), by, qs, prefix)
-
-
-def _with_empty_row(df: DataFrame, res: DataFrame, by: Sequence[str], qs: Sequence[float],
-                    prefix: str) -> DataFrame:
-    if not by:
-        # one row even for empty input
-        empty = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"),
-                                                *[F.lit(None).cast("double").alias(f"{prefix}{k}")
-                                                  for k in range(len(qs))])
-        res = res.unionByName(empty).agg(
-            F.max("n").alias("n"), *[F.max(f"{prefix}{k}").alias(f"{prefix}{k}") for k in range(len(qs))])
-    return res
-
-
-def tertile_edges(df: DataFrame, col: str, method: str = "pandas", buckets: int = 64,
-                  quantile_method: str = "auto") -> DataFrame:
-    """One row (n, e1, e2): the 1/3 and 2/3 edges of ``col``."""
-    if method == "percentile":
-        # exact, but the final merge holds every distinct value in one task
-        return df.where(F.col(col).isNotNull()).agg(
-            F.count(col).alias("n"),
-            F.percentile(F.col(col), [1 / 3, 2 / 3]).alias("_e"),
-        ).select("n", F.col("_e")[0].alias("e1"), F.col("_e")[1].alias("e2"))
-    q = exact_quantiles(df, col, [1 / 3, 2 / 3], buckets=buckets, pandas_scaled=True, prefix="e",
-                        method=quantile_method)
-    return q.select("n", F.col("e0").alias("e1"), F.col("e1").alias("e2"))
+
+def tertile_edges(df: DataFrame, col: str, method: str = "pandas") -> DataFrame:
+    """One row (n, e1, e2, lowest, highest): the 1/3 and 2/3 edges of ``col`` and its ends.
+
+    ``pandas`` passes q through percent as pandas does; ``percentile`` uses q as it is.
+    """
+    q = exact_quantiles(df, col, [1 / 3, 2 / 3, 0.0, 1.0], pandas_scaled=method == "pandas", prefix="e")
+    return q.select("n", F.col("e0").alias("e1"), F.col("e1").alias("e2"),
+                    F.col("e2").alias("lowest"), F.col("e3").alias("highest"))
 
 
 def tertile_label(x: Column, edges: Column, labels: tuple[str, str, str]) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.functions.columns import nan_to_null
-from stockcast.functions.quantiles import exact_quantiles
+from stockcast.functions.materialize import materialize
+from stockcast.functions.quantiles import quantiles_of_counts, value_counts
 
 DESCRIBE_COLUMNS = ("Quantity", "Price", "TotalPrice")
 
@@ -17,27 +18,39 @@ def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
                    approx_accuracy: int | None = None) -> DataFrame:
     """A3: count, mean, std, min, 25/50/75 %, max per column; one row per column.
 
-    Moments come from one aggregation; the exact quartiles from the long
-    (column, value) form, counted per column without gathering. With
-    ``approx_accuracy`` the quartiles come from a bounded sketch instead (one
-    stage, no shuffle of the values) for inputs where exact is not needed.
+    One pass over the lines reduces them to distinct (column, value) counts;
+    moments and exact quartiles are both read from those. With
+    ``approx_accuracy`` one aggregation with a bounded sketch gives all of it
+    instead, for inputs where exact quartiles are not needed.
     """
+    if approx_accuracy:
+        rows = []
+        aggs = []
+        for c in columns:
+            v = nan_to_null(c).cast("double")
+            aggs += [F.count(v).alias(f"{c}_n"), F.avg(v).alias(f"{c}_m"), F.stddev_samp(v).alias(f"{c}_s"),
+                     F.min(v).alias(f"{c}_lo"), F.max(v).alias(f"{c}_hi"),
+                     F.percentile_approx(v, [0.25, 0.5, 0.75], approx_accuracy).alias(f"{c}_q")]
+            q = F.col(f"{c}_q")
+            rows.append(F.struct(F.lit(c).alias("column"), F.col(f"{c}_n").alias("count"), F.col(f"{c}_m").alias("mean"),
+                                 F.col(f"{c}_s").alias("std"), F.col(f"{c}_lo").alias("min"), q[0].alias("p25"),
+                                 q[1].alias("p50"), q[2].alias("p75"), F.col(f"{c}_hi").alias("max")))
+        return clean.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     long = clean.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), nan_to_null(c).cast("double").alias("value"))
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
         for c in columns])).alias("kv")).select("kv.column", "kv.value")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    if approx_accuracy:
-        q = long.groupBy("column").agg(F.percentile_approx("value", [0.25, 0.5, 0.75], approx_accuracy).alias("q"))
-        quart = q.select("column", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
-    else:
-        quart = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], pandas_scaled=True,
-                                prefix="p").select("column", F.col("p0").alias("p25"),
-                                                   F.col("p1").alias("p50"), F.col("p2").alias("p75"))
-    return moments.join(quart, "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    counts = materialize(value_counts(long, "value", ["column"]), "checkpoint")
+    x, c = F.col("x"), F.col("c")
+    totals = counts.groupBy("column").agg(F.sum("c").alias("count"), (F.sum(x * c) / F.sum("c")).alias("mean"),
+                                          F.min("x").alias("min"), F.max("x").alias("max"))
+    # one row per described column, so a broadcast of fixed size
+    spread = counts.join(F.broadcast(totals.select("column", "mean")), "column").groupBy("column").agg(
+        F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("ss"))
+    quart = quantiles_of_counts(counts, [0.25, 0.5, 0.75], ["column"], pandas_scaled=True, prefix="p")
+    std = F.sqrt(F.try_divide(F.col("ss"), F.col("count") - 1))
+    return totals.join(spread, "column").join(quart.drop("n"), "column").select(
+        "column", "count", "mean", std.alias("std"), "min", F.col("p0").alias("p25"), F.col("p1").alias("p50"),
+        F.col("p2").alias("p75"), "max")
 
 
 def _top_by(clean: DataFrame, key: str, value: str, out: str, k: int) -> DataFrame:

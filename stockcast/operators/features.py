@@ -72,20 +72,25 @@ def first_description(sales: DataFrame) -> DataFrame:
           F.count("Description").alias("n_described"))
 
 
-def engineer_features(clean: DataFrame, config: RestockConfig = PREDICT,
-                      description_pairs: DataFrame | None = None,
-                      rolling_excludes_current: bool = False) -> DataFrame:
-    """Daily features for either variant.
+def feature_rows(lagged: DataFrame, config: RestockConfig, description_pairs: DataFrame | None = None) -> DataFrame:
+    """P9 (and J1) on the lag table: the rows and columns of one variant.
 
     training: fan-out join of description pairs, drop rows without a lag.
     predict:  no descriptions, drop rows with any NULL.
     """
-    feats = with_lag_and_rolling(product_daily(clean), rolling_excludes_current)
     if config.descriptions == "fanout":
-        pairs = description_pairs if description_pairs is not None else distinct_descriptions(clean)
-        feats = attach_descriptions(feats, pairs)
-        return feats.where(F.col("Lag1_Quantity").isNotNull())
-    feats = feats.drop("DayOfWeek")
+        return attach_descriptions(lagged, description_pairs).where(F.col("Lag1_Quantity").isNotNull())
+    feats = lagged.drop("DayOfWeek")
     if config.drop_any_null:
         return feats.dropna(how="any")
     return feats.where(F.col("Lag1_Quantity").isNotNull())
+
+
+def engineer_features(clean: DataFrame, config: RestockConfig = PREDICT,
+                      description_pairs: DataFrame | None = None,
+                      rolling_excludes_current: bool = False) -> DataFrame:
+    """Daily features for either variant (see ``feature_rows``)."""
+    pairs = description_pairs
+    if config.descriptions == "fanout" and pairs is None:
+        pairs = distinct_descriptions(clean)
+    return feature_rows(with_lag_and_rolling(product_daily(clean), rolling_excludes_current), config, pairs)

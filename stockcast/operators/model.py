@@ -1,7 +1,7 @@
 """Demand models (P11, M1-M7, A18, S12) with Spark ML.
 
-Training reads the feature table once into a persisted, assembled frame
-(executors that are lost recompute their blocks from lineage); each
+Training reads the feature table once and writes the model columns to the
+shared checkpoint folder, which lost executors do not take with them; each
 regressor is a distributed Spark ML fit, and scoring is one batch
 ``transform`` over the whole forecast grid.
 """
@@ -11,7 +11,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockcast.config import FEATURE_COLUMNS, SEED, TARGET_COLUMN
+from stockcast.functions.materialize import materialize
 from stockcast.operators.sample import train_test_split
 
 MODEL_ORDER = ("Linear Regression", "Random Forest", "Gradient Boosting")
@@ -27,7 +27,8 @@ MODEL_ORDER = ("Linear Regression", "Random Forest", "Gradient Boosting")
 @dataclass(frozen=True)
 class ModelSettings:
     rf_trees: int = 100
-    rf_depth: int = 10          # the original grows unbounded trees; Spark's limit is 30
+    rf_depth: int = 30          # the original grows unbounded trees; 30 is Spark's limit
+    max_bins: int = 32          # split candidates per feature (Spark's default; the original tries all)
     gbt_rounds: int = 100
     gbt_depth: int = 3
     gbt_step: float = 0.1
@@ -40,8 +41,8 @@ class ModelSettings:
 
 
 def assembler() -> VectorAssembler:
-    """The five features as one vector."""
-    return VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="skip")
+    """The five features as one vector; a missing feature is an error, never a dropped row."""
+    return VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="error")
 
 
 def tree_memory_mb(spark: SparkSession | None = None) -> int:
@@ -79,17 +80,16 @@ def estimators(s: ModelSettings = ModelSettings(), spark: SparkSession | None =
         "Random Forest": RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=s.rf_trees,
                                                maxDepth=s.rf_depth, featureSubsetStrategy="all",
                                                seed=s.seed, cacheNodeIds=s.cache_node_ids,
-                                               maxMemoryInMB=mem),
+                                               maxMemoryInMB=mem, maxBins=s.max_bins),
         "Gradient Boosting": GBTRegressor(featuresCol="features", labelCol=label, maxIter=s.gbt_rounds,
                                           maxDepth=s.gbt_depth, stepSize=s.gbt_step, seed=s.seed,
-                                          cacheNodeIds=s.cache_node_ids, maxMemoryInMB=mem),
+                                          cacheNodeIds=s.cache_node_ids, maxMemoryInMB=mem, maxBins=s.max_bins),
     }
 
 
 def model_frame(features: DataFrame) -> DataFrame:
-    """The columns a model needs, rows with a complete feature set."""
-    cols = ["StockCode", "Date", *FEATURE_COLUMNS, TARGET_COLUMN]
-    return features.select(*[F.col(c) for c in cols]).dropna(subset=list(FEATURE_COLUMNS) + [TARGET_COLUMN])
+    """The columns a model and its split need; every row is kept."""
+    return features.select("StockCode", "Date", *FEATURE_COLUMNS, TARGET_COLUMN)
 
 
 def regression_metrics(pred: DataFrame, label: str = TARGET_COLUMN, prediction: str = "prediction") -> DataFrame:
@@ -102,24 +102,21 @@ def regression_metrics(pred: DataFrame, label: str = TARGET_COLUMN, prediction:
     )
 
 
-def model_base(features: DataFrame, seed: int = SEED, partitions: int | None = None) -> DataFrame:
-    """M1 applied once: model columns + split, persisted (see ``split_frames``)."""
-    spark = features.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
-    return train_test_split(model_frame(features), seed).repartition(n, "StockCode", "Date") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+def model_base(features: DataFrame, seed: int = SEED, keys: bool = True) -> DataFrame:
+    """M1 applied once: model columns + split, written once to the shared checkpoint folder.
 
+    Dealt out by (StockCode, Date) over the session's shuffle partitions, which
+    are sized to the data. Every fit reads this table; the tree learners keep
+    their own binned copy of it. ``keys``: keep StockCode and Date.
+    """
+    n = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = train_test_split(model_frame(features), seed).repartition(n, "StockCode", "Date")
+    return materialize(base if keys else base.drop("StockCode", "Date"))
 
-def split_frames(features: DataFrame, seed: int = SEED,
-                 partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """M1 applied: (train, test) over one persisted frame.
 
-    The frame is hash-partitioned on (StockCode, Date) into as many partitions
-    as there are task slots, so every fit uses the whole cluster (AQE may
-    have coalesced the feature table into a few partitions) and a recomputed
-    block lands in the same partition.
-    """
-    base = model_base(features, seed, partitions)
+def split_frames(features: DataFrame, seed: int = SEED, keys: bool = True) -> tuple[DataFrame, DataFrame]:
+    """M1 applied: (train, test) over one materialized frame; nothing stays cached."""
+    base = model_base(features, seed, keys)
     return (base.where(F.col("split") == "train").drop("split"),
             base.where(F.col("split") == "test").drop("split"))
 
@@ -133,9 +130,7 @@ def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(
                    names=MODEL_ORDER) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """M5: fit each model on the train part, A18 on the test part -> one row per model."""
     spark = features.sparkSession
-    base = model_base(features, settings.seed)
-    train = base.where(F.col("split") == "train").drop("split")
-    test = base.where(F.col("split") == "test").drop("split")
+    train, test = split_frames(features, settings.seed, keys=False)
 
     def one(pos_name):
         pos, name = pos_name
@@ -146,7 +141,6 @@ def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(
     # independent fits run as concurrent Spark jobs; only 3 metric rows come back
     with ThreadPoolExecutor(max_workers=max(1, settings.parallel_fits)) as pool:
         done = list(pool.map(one, enumerate(names)))
-    base.unpersist()
     models = {name: m for name, m, _ in done}
     rows = [row for _, _, row in done]
     result = spark.createDataFrame(rows, "model string, position int, mse double, mae double, r2 double, n long")

@@ -169,9 +169,12 @@ def dashboard_table(res: DataFrame, k: int = TOP_DASHBOARD) -> DataFrame:
 
 
 def search_restock(res: DataFrame, term: str, k: int = TOP_DASHBOARD) -> DataFrame:
-    """In the dashboard rows, description contains term (any case) or code contains it."""
-    t = F.lit(term)
-    hit = F.contains(F.lower(F.col("Description")), F.lower(t)) | F.contains(F.col("StockCode").cast("string"), t)
+    """In the dashboard rows, description (in lower case) or code (as it is) contains the lower-cased term.
+
+    As in the original, a code with capital letters is found only by its digits.
+    """
+    t = F.lit(term.lower())
+    hit = F.contains(F.lower(F.col("Description")), t) | F.contains(F.col("StockCode").cast("string"), t)
     return dashboard_table(res, k).where(F.coalesce(hit, F.lit(False)))
 
 
@@ -282,8 +285,24 @@ def chart_top_restock(res: DataFrame, ks: Sequence[int] = PICKS_CHART) -> DataFr
 # --- N4-N6 ---------------------------------------------------------------------
 
 def two_places(c: Column) -> Column:
-    """Python's '{:.2f}' on a double: round half to even on x * 100, then print."""
-    return F.format_string("%.2f", half_even(c, 2))
+    """Python's '{:.2f}' on a double: its exact binary value rounded to 2 places, ties to even.
+
+    The fraction is cut into its upper 26 bits and the rest; both times 100 are
+    exact in a double, so the comparison with one half is exact too.
+    """
+    x = F.abs(c)
+    whole = F.floor(x)
+    frac = x - whole
+    upper = F.floor(frac * 67108864.0) / 67108864.0  # 2^26
+    hundred, rest = upper * 100.0, (frac - upper) * 100.0
+    cents = F.floor(hundred)
+    over = (hundred - cents - 0.5) + rest
+    up = (over > 0) | ((over == 0) & (cents % 2 == 1))
+    cents = cents + F.when(up, 1).otherwise(0)
+    sign = F.when((c < 0) | F.startswith(c.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    return F.when(c.isNotNull(), F.concat(
+        sign, (whole + F.when(cents == 100, 1).otherwise(0)).cast("string"), F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0")))
 
 
 def summary_text(res: DataFrame, k: int = TOP_SUMMARY) -> DataFrame:
@@ -311,9 +330,11 @@ def product_text(res: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def _json_text(c: Column) -> Column:
-    """A JSON string literal of c (quotes and backslashes escaped), or null."""
-    esc = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', '\\\\"')
-    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), esc, F.lit('"')))
+    """A JSON string literal of c, or null. Control characters, quotes and backslashes are escaped;
+    other characters stay as they are (the original writes non-ASCII as \\u escapes)."""
+    # an array of one is valid JSON around any text; its brackets are cut off again
+    one = F.to_json(F.array(c.cast("string")))
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.regexp_replace(one, r"(?s)^\[(.*)\]$", "$1"))
 
 
 def prompt_table(res: DataFrame, features: DataFrame, horizon: int = 7, k: int = 5) -> DataFrame:

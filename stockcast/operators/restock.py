@@ -29,6 +29,9 @@ from stockcast.functions.quantiles import tertile_edges, tertile_label
 
 Scorer = Callable[[DataFrame], DataFrame]
 
+#: What the restock steps read of the feature table.
+RESTOCK_COLUMNS = ("StockCode", "Date", "Quantity", "Price")
+
 
 def latest_date(features: DataFrame) -> Column:
     """The latest feature date over all products, as a scalar subquery."""
@@ -132,26 +135,30 @@ def description_for_result(config: RestockConfig) -> Column:
     return F.coalesce(F.col("Description"), F.lit(UNKNOWN_DESCRIPTION))
 
 
-def restock_numbers(features: DataFrame, config: RestockConfig = PREDICT,
-                    scorer: Scorer = baseline_scorer) -> DataFrame:
-    """One row per product with the rounded figures and cost."""
-    latest = latest_date(features)
+def restock_raw(features: DataFrame, config: RestockConfig, scorer: Scorer) -> DataFrame:
+    """R1-R4 before rounding: demand, safety stock and their sum per product."""
     active = active_products(features, config)
-    scored = scorer(forecast_inputs(forecast_grid(active, latest, config.horizon)))
-    demand = weekly_demand(scored)
-    raw = demand.withColumn("safety_stock", safety_stock(config))
-    raw = raw.withColumn("recommended_restock", F.col(DEMAND_COLUMN) + F.col("safety_stock"))
+    scored = scorer(forecast_inputs(forecast_grid(active, latest_date(features), config.horizon)))
+    raw = weekly_demand(scored).withColumn("safety_stock", safety_stock(config))
+    return raw.withColumn("recommended_restock", F.col(DEMAND_COLUMN) + F.col("safety_stock"))
+
+
+def estimated_cost(config: RestockConfig) -> Column:
+    """P13 on ``restock_raw``: unrounded restock x price to 2 places, or rounded restock x price."""
     if config.cost == "unrounded_2dp":
-        cost = half_even(F.col("recommended_restock") * F.col("Avg_Price"), 2)
-    else:
-        cost = half_even("recommended_restock") * F.col("Avg_Price")
-    return raw.select(
+        return half_even(F.col("recommended_restock") * F.col("Avg_Price"), 2)
+    return half_even("recommended_restock") * F.col("Avg_Price")
+
+
+def restock_numbers(features: DataFrame, config: RestockConfig, scorer: Scorer) -> DataFrame:
+    """One row per product with the rounded figures and cost."""
+    return restock_raw(features, config, scorer).select(
         "StockCode",
         half_even(DEMAND_COLUMN).alias(DEMAND_COLUMN),
         half_even("safety_stock").alias("safety_stock"),
         half_even("recommended_restock").alias("recommended_restock"),
         F.col("Avg_Price").alias("avg_price"),
-        cost.alias("estimated_cost"),
+        estimated_cost(config).alias("estimated_cost"),
     )
 
 
@@ -175,8 +182,7 @@ def with_descriptions(res: DataFrame, config: RestockConfig = PREDICT,
                       "avg_price", "estimated_cost", "Description", *tail)
 
 
-def restock_unranked(features: DataFrame, config: RestockConfig = PREDICT,
-                     scorer: Scorer = baseline_scorer,
+def restock_unranked(features: DataFrame, config: RestockConfig, scorer: Scorer,
                      descriptions: DataFrame | None = None) -> DataFrame:
     """R5 before priority and order."""
     return with_descriptions(restock_numbers(features, config, scorer), config, descriptions)
@@ -185,19 +191,15 @@ def restock_unranked(features: DataFrame, config: RestockConfig = PREDICT,
 def with_priority(res: DataFrame, config: RestockConfig = PREDICT) -> DataFrame:
     """Low / Medium / High by tertile edges of the rounded restock.
 
-    ``res`` has one row per product (materialized by the caller), so its row
-    count is an exact bound on the distinct values: under the in-row limit the
-    edges gather each distinct value once, above it they are counted.
+    ``config.strict_edges`` raises when any two of the four bin edges (smallest,
+    1/3, 2/3, largest) are equal, as the original's binning does.
     """
-    from stockcast.functions.quantiles import MAX_IN_ROW
-    quantile_method = "in_row" if res.count() <= MAX_IN_ROW else "counting"
-    edges = tertile_edges(res, "recommended_restock", method=config.edges,
-                          buckets=config.quantile_buckets, quantile_method=quantile_method)
+    edges = materialize(tertile_edges(res, "recommended_restock", method=config.edges), "checkpoint")
     if config.strict_edges:
         row = edges.first()
-        if row["n"] and (row["e1"] is None or row["e2"] is None or
-                         len({row["e1"], row["e2"]}) < 2):
-            raise ValueError(f"tertile edges are not unique: {row}")
+        ends = [row[c] for c in ("lowest", "e1", "e2", "highest")]
+        if row["n"] and len(set(ends)) < 4:
+            raise ValueError(f"tertile edges are not unique: {ends}")
     e = edges.select(F.struct("e1", "e2")).scalar()
     return res.withColumn("priority", tertile_label(F.col("recommended_restock"), e, PRIORITY_LABELS))
 
@@ -207,18 +209,21 @@ def restock_order(res: DataFrame) -> DataFrame:
     return res.orderBy(F.col("recommended_restock").desc_nulls_last(), F.col("StockCode"))
 
 
-def restock_recommendations(features: DataFrame, config: RestockConfig = PREDICT,
-                            scorer: Scorer = baseline_scorer,
+def restock_recommendations(features: DataFrame, config: RestockConfig, scorer: Scorer,
                             descriptions: DataFrame | None = None,
                             ordered: bool = True, materialize_as: str = "checkpoint") -> DataFrame:
     """The full restock table for either variant.
 
-    The feature table and the per-product figures are each written once
-    (``materialize_as``), so the latest-date and tertile subqueries read them
-    back instead of re-running the scan, aggregation and window.
+    Of the features only ``RESTOCK_COLUMNS`` are read. They and the per-product
+    figures are each written once (``materialize_as``), so the latest-date and
+    tertile subqueries read them back instead of re-running the scan,
+    aggregation and window. ``materialize_as='ready'`` says that ``features``
+    is materialized already.
     """
-    feats = materialize(features, materialize_as)
-    numbers = materialize(restock_numbers(feats, config, scorer), materialize_as)
+    ready = materialize_as == "ready"
+    feats = features.select(*RESTOCK_COLUMNS)
+    feats = feats if ready else materialize(feats, materialize_as)
+    numbers = materialize(restock_numbers(feats, config, scorer), "checkpoint" if ready else materialize_as)
     res = with_descriptions(with_priority(numbers, config), config, descriptions)
     return restock_order(res) if ordered else res
 

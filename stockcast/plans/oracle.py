@@ -108,7 +108,7 @@ def scorer_sql() -> str:
             f'CAST({w["DayOfWeek"]!r} AS DOUBLE) * CAST("DayOfWeek" - 3 AS DOUBLE)')
 
 
-def restock_pieces(cfg: RestockConfig) -> list[str]:
+def restock_pieces(cfg: RestockConfig, scored: str | None = None) -> list[str]:
     """latest -> profile -> active -> grid -> scored -> numbers -> edges -> result."""
     n = cfg.last_n_days
     safety = f'CAST({cfg.safety_factor!r} AS DOUBLE) * "Std_Daily_Quantity" * CAST({math.sqrt(cfg.lead_time)!r} AS DOUBLE)'
@@ -149,7 +149,7 @@ inputs AS (
          {dow('"ForecastDate"')} AS "DayOfWeek"
   FROM grid
 ),
-scored AS (SELECT *, {scorer_sql()} AS prediction FROM inputs),
+scored AS ({scored or f'SELECT *, {scorer_sql()} AS prediction FROM inputs'}),
 demand AS (
   SELECT "StockCode", sum(prediction) AS d, any_value("Std_Daily_Quantity") AS "Std_Daily_Quantity",
          any_value("Avg_Price") AS "Avg_Price"
@@ -205,3 +205,37 @@ def restock_with(cfg: RestockConfig = PREDICT) -> str:
 
 RESTOCK_PREDICT = restock_with(PREDICT)
 RESTOCK_TRAINING = restock_with(TRAINING)
+
+
+LINEAR_FEATURES = ("Lag1_Quantity", "Rolling7_Quantity", "Month", "Day", "DayOfWeek")
+
+
+def linear_sql(train: str) -> str:
+    """CTEs up to ``w`` (w0 intercept, w1..w5): least squares of Quantity on the five features over ``train``.
+
+    Normal equations on centred columns, solved by elimination written out step by step.
+    """
+    n = len(LINEAR_FEATURES)
+    rng = range(1, n + 1)
+    x = {i: f'"{c}"' for i, c in enumerate(LINEAR_FEATURES, 1)}
+    mean = ", ".join([f"avg({x[i]}) AS m{i}" for i in rng] + ['avg("Quantity") AS m0'])
+    sums = [f"sum(({x[i]} - m{i}) * ({x[j]} - m{j})) AS a{i}{j}" for i in rng for j in rng if i <= j]
+    sums += [f'sum(({x[i]} - m{i}) * ("Quantity" - m0)) AS b{i}' for i in rng]
+    out = [f"mean AS (SELECT {mean} FROM {train})", f"e0 AS (SELECT {', '.join(sums)} FROM {train}, mean)"]
+    for k in rng:
+        new = [f"a{i}{j} - a{k}{i} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in rng for j in rng if k < i <= j]
+        new += [f"b{i} - a{k}{i} * b{k} / a{k}{k} AS b{i}" for i in rng if i > k]
+        old = [f"a{i}{j}" for i in rng for j in rng if i <= j and i <= k] + [f"b{i}" for i in rng if i <= k]
+        out.append(f"e{k} AS (SELECT {', '.join(old + new)} FROM e{k - 1})")
+    last = f"e{n}"
+    for k in reversed(rng):
+        rest = "".join(f" - a{k}{j} * w{j}" for j in rng if j > k)
+        out.append(f"s{k} AS (SELECT *, (b{k}{rest}) / a{k}{k} AS w{k} FROM {last})")
+        last = f"s{k}"
+    weights = ", ".join(f"w{i}" for i in rng)
+    out.append(f"w AS (SELECT {weights}, m0 - {' - '.join(f'w{i} * m{i}' for i in rng)} AS w0 FROM {last}, mean)")
+    return ",\n".join(out)
+
+
+def linear_value() -> str:
+    return "w0 + " + " + ".join(f'w{i} * "{c}"' for i, c in enumerate(LINEAR_FEATURES, 1))

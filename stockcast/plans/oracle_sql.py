@@ -247,7 +247,7 @@ FROM res""")
 sql("product_text", RES + TREND.format(src="feat") + f"""SELECT r."StockCode",
   printf('Analysis for %s: Sales averaging %s units daily, with a %s trend.',
          {DISPLAY.replace('"Description"', 'r."Description"').replace('"StockCode"', 'r."StockCode"')},
-         printf('%.2f', round_even(t.avg_quantity * 100.0, 0) / 100.0), t.trend) AS trend_text,
+         printf('%.2f', t.avg_quantity), t.trend) AS trend_text,
   'Recommendation based on historical demand patterns and safety stock calculations.' AS reasoning_text
 FROM res r JOIN trend2 t ON r."StockCode" = t."StockCode" """)
 
@@ -277,7 +277,7 @@ def lit(text: str) -> str:
 _ITEM = lit('  {\n    "Description": %s,\n    "recommended_restock": %s\n  }')
 _JSON_DESC = """CASE WHEN "Description" IS NULL THEN 'null'
   ELSE '"' || replace(replace("Description", '\\', '\\\\'), '"', '\\"') || '"' END"""
-_TWO = "printf('%.2f', round_even(t.avg_quantity * 100.0, 0) / 100.0)"
+_TWO = "printf('%.2f', t.avg_quantity)"
 _RDESC = """coalesce(r."Description", 'nan')"""
 _RDISPLAY = DISPLAY.replace('"Description"', 'r."Description"').replace('"StockCode"', 'r."StockCode"')
 
@@ -298,7 +298,7 @@ SELECT 'restock_reasoning', r."StockCode", printf({lit(PROMPT_REASONING)}, {_RDE
        CAST(r.safety_stock AS VARCHAR), CAST(r.recommended_restock AS VARCHAR)) FROM per r
 UNION ALL
 SELECT 'product_forecast', r."StockCode", printf({lit(PROMPT_FORECAST)}, {_RDESC},
-       printf('%.2f', round_even(r.avg_quantity * 100.0, 0) / 100.0), CAST(r.recommended_restock AS VARCHAR), '7')
+       printf('%.2f', r.avg_quantity), CAST(r.recommended_restock AS VARCHAR), '7')
 FROM per r""")
 
 sql("schema_report", S + """
@@ -317,3 +317,57 @@ sql("by_priority", RES + f"SELECT {RES_COLS} FROM res WHERE priority = 'High'")
 sql("lookup_description", RP_ + """SELECT nb."StockCode", coalesce(fd."Description", 'Unknown') AS "Description"
 FROM numbers nb LEFT JOIN first_desc fd ON nb."StockCode" = fd."StockCode" """)
 sql("concat_priorities", RES + picks_sql(5, 4, 3, None))
+
+
+# --- the closed-form model (M2, M5, M7): least squares by normal equations --------------
+from stockcast.config import PREDICT  # noqa: E402
+from stockcast.plans.oracle import linear_sql, linear_value, restock_pieces  # noqa: E402
+
+
+def r3(x: str) -> str:
+    return f"(floor(({x}) * 1e3 + 0.5) / 1e3)"
+
+
+LINEAR = FT + f""", parts AS (SELECT *, {SPLIT} AS split FROM feat), tr AS (SELECT * FROM parts WHERE split = 'train'),
+{linear_sql('tr')},
+te AS (SELECT "StockCode", "Date", "Quantity", {linear_value()} AS prediction FROM parts, w WHERE split = 'test')
+"""
+sql("linear_regression", LINEAR + f'SELECT "StockCode", "Date", "Quantity", {r3("prediction")} AS prediction FROM te')
+sql("linear_metrics", LINEAR + f"""
+SELECT 'Linear Regression' AS model, CAST(0 AS INTEGER) AS position,
+  {r4('avg(("Quantity" - prediction) * ("Quantity" - prediction))')} AS mse,
+  {r4('avg(abs("Quantity" - prediction))')} AS mae,
+  {r4('1.0 - sum(("Quantity" - prediction) * ("Quantity" - prediction)) / sum(("Quantity" - (SELECT avg("Quantity") FROM te)) * ("Quantity" - (SELECT avg("Quantity") FROM te)))')} AS r2,
+  count(*) AS n FROM te""")
+sql("score", with_(*base(False), f"""
+tf AS (SELECT * FROM feat_all WHERE "Lag1_Quantity" IS NOT NULL),
+tr AS (SELECT * FROM tf WHERE {SPLIT} = 'train'),
+{linear_sql('tr')}""", *restock_pieces(PREDICT, f"SELECT inputs.*, {linear_value()} AS prediction FROM inputs, w")) + f"""
+SELECT "StockCode", predicted_weekly_demand, safety_stock, recommended_restock,
+       {r6('avg_price')} AS avg_price, estimated_cost, "Description", priority FROM restock""")
+
+# --- sources and sinks on derived lines -------------------------------------------------
+AWKWARD = """CASE l_linenumber WHEN 1 THEN '12" ' || p_name || ', RED' WHEN 2 THEN 'back\\' || p_name || ' "q", z'
+  WHEN 3 THEN '  ' || p_name || '  ' WHEN 4 THEN 'CAFÉ ' || p_name WHEN 5 THEN 'SAY "HI"' WHEN 6 THEN NULL ELSE p_name END"""
+LINES = with_(SALES_SQL.replace("WITH ", ""), f"""
+lines AS (
+  SELECT CASE WHEN l.l_linenumber = 3 THEN NULL WHEN l.l_linenumber = 4 THEN 'A' ELSE '' END || CAST(l.l_orderkey AS VARCHAR) AS "Invoice",
+         CAST(l.l_partkey AS VARCHAR) AS "StockCode", {AWKWARD} AS "Description",
+         CAST(l.l_quantity AS DOUBLE) AS "Quantity", l.l_shipdate AS "InvoiceDate", l.l_linenumber AS line
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+)""")
+sql("malformed_lines", LINES + """SELECT "Invoice", "StockCode", "Description", "Quantity", "InvoiceDate" FROM lines
+WHERE NOT regexp_full_match(coalesce("Invoice", 'nan'), '^[0-9C]+$')""")
+sql("awkward_round_trip", LINES + """SELECT "Invoice", "StockCode", "Description", "Quantity", "InvoiceDate" FROM lines""")
+sql("csv_first_description", LINES + """
+SELECT "StockCode", first("Description" ORDER BY "InvoiceDate", "Invoice" NULLS FIRST, "Description" NULLS FIRST) AS "Description",
+       count("Description") AS n_described FROM lines WHERE "StockCode" IS NOT NULL GROUP BY 1""")
+sql("fanout_descriptions", LINES + """
+, named AS (SELECT DISTINCT "StockCode", "Description" FROM lines),
+days AS (SELECT DISTINCT "StockCode", CAST("InvoiceDate" AS DATE) AS "Date" FROM lines)
+SELECT d."StockCode", d."Date", n."Description" FROM days d LEFT JOIN named n ON d."StockCode" = n."StockCode" """)
+sql("write_restock_round_trip", RP_ + """
+SELECT "StockCode", CAST(predicted_weekly_demand AS BIGINT) AS predicted_weekly_demand, CAST(safety_stock AS BIGINT) AS safety_stock,
+       CAST(recommended_restock AS BIGINT) AS recommended_restock, "Description", priority FROM restock""")
+sql("by_priority_round_trip", RESTOCK_TRAINING + """
+SELECT "StockCode", recommended_restock, priority FROM restock WHERE priority IS NOT NULL""")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from stockcast.config import PREDICT, TRAINING, RestockConfig
 from stockcast.operators.clean import clean_sales
 from stockcast.operators.features import engineer_features
-from stockcast.operators.restock import restock_recommendations
+from stockcast.functions.materialize import materialize
+from stockcast.operators.restock import RESTOCK_COLUMNS, baseline_scorer, restock_recommendations
 from stockcast.sources.star import StarSales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,11 @@ def r4(c: Column | str) -> Column:
     return F.floor(col * F.lit(1e4) + F.lit(0.5)) / F.lit(1e4)
 
 
+def r3(c: Column | str) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    return F.floor(col * F.lit(1e3) + F.lit(0.5)) / F.lit(1e3)
+
+
 def rounded(df: DataFrame, cols: list[str], f=r6) -> DataFrame:
     return df.withColumns({c: f(c) for c in cols})
 
@@ -63,10 +69,19 @@ def features(spark: SparkSession, sf: str, cfg: RestockConfig = PREDICT) -> Data
     return engineer_features(c, cfg, description_pairs=pairs)
 
 
-def restock(spark: SparkSession, sf: str, cfg: RestockConfig = PREDICT, **kw) -> DataFrame:
-    src = source(spark, sf)
-    return restock_recommendations(features(spark, sf, cfg), cfg,
-                                   descriptions=src.first_descriptions(), **kw)
+def ready_features(spark: SparkSession, sf: str, cfg: RestockConfig = PREDICT, columns=None) -> DataFrame:
+    """The feature table written once, so that every step of a query reads it and the lines are scanned once."""
+    f = features(spark, sf, cfg)
+    return materialize(f.select(*columns) if columns else f)
+
+
+def restock(spark: SparkSession, sf: str, cfg: RestockConfig = PREDICT, feats: DataFrame | None = None, **kw) -> DataFrame:
+    """R5 with the fixed-weight scorer, which SQL can check; ``feats``: materialized features."""
+    kw.setdefault("scorer", baseline_scorer)
+    if feats is not None:
+        kw["materialize_as"] = "ready"
+    return restock_recommendations(features(spark, sf, cfg) if feats is None else feats, cfg,
+                                   descriptions=source(spark, sf).first_descriptions(), **kw)
 
 
 # --- restock ---------------------------------------------------------------
@@ -101,7 +116,9 @@ def q_malformed_invoices(spark, sf):
 
 @query
 def q_dataset_shape(spark, sf):
-    return QU.dataset_shape(source(spark, sf).sales()).select(
+    # the row count needs one column of the lines; the column count is the schema's
+    sales = source(spark, sf).sales()
+    return QU.dataset_shape(source(spark, sf).sales(["Quantity"]), len(sales.columns)).select(
         F.col("rows").alias("n_rows"), F.col("columns").alias("n_columns"))
 
 
@@ -229,25 +246,29 @@ def q_first_description(spark, sf):
 
 # --- restock steps -------------------------------------------------------------
 
+def _steps(spark, sf, cfg=PREDICT):
+    return ready_features(spark, sf, cfg, RESTOCK_COLUMNS)
+
+
 @query
 def q_latest_date(spark, sf):
-    f = features(spark, sf, PREDICT)
+    f = _steps(spark, sf)
     return f.agg(F.max("Date").alias("latest"))
 
 
 @query
 def q_recent_window(spark, sf):
-    return RS.recent_window(features(spark, sf, PREDICT)).select("StockCode", "Date", "Quantity")
+    return RS.recent_window(_steps(spark, sf)).select("StockCode", "Date", "Quantity")
 
 
 @query
 def q_product_stats(spark, sf):
-    return rounded(RS.product_stats(features(spark, sf, PREDICT)),
+    return rounded(RS.product_stats(_steps(spark, sf)),
                    ["Avg_Daily_Quantity", "Std_Daily_Quantity", "Avg_Price"])
 
 
 def _profile(spark, sf, cfg=PREDICT):
-    return RS.product_profile(features(spark, sf, cfg), cfg)
+    return RS.product_profile(_steps(spark, sf, cfg), cfg)
 
 
 @query
@@ -262,11 +283,11 @@ def q_latest_row(spark, sf):
 
 @query
 def q_active_products(spark, sf):
-    return RS.active_products(features(spark, sf, PREDICT), PREDICT).select("StockCode", "n_rows", "n_recent")
+    return RS.active_products(_steps(spark, sf), PREDICT).select("StockCode", "n_rows", "n_recent")
 
 
 def _grid(spark, sf):
-    f = features(spark, sf, PREDICT)
+    f = _steps(spark, sf)
     return RS.forecast_grid(RS.active_products(f, PREDICT), RS.latest_date(f), PREDICT.horizon)
 
 
@@ -306,27 +327,26 @@ def q_safety_fallback(spark, sf):
 
 @query
 def q_estimated_cost(spark, sf):
-    f = features(spark, sf, PREDICT)
-    p = RS.restock_numbers(f, PREDICT).select("StockCode", F.col("estimated_cost").alias("cost_predict"))
-    t = RS.restock_numbers(f, PREDICT.with_(cost="rounded")).select(
-        "StockCode", F.col("estimated_cost").alias("cost_training"))
-    return rounded(p.join(t, "StockCode"), ["cost_training"])
+    """P13 both ways from one pass over the figures."""
+    d = RS.restock_raw(_steps(spark, sf), PREDICT, baseline_scorer)
+    return rounded(d.select("StockCode", RS.estimated_cost(PREDICT).alias("cost_predict"),
+                            RS.estimated_cost(TRAINING).alias("cost_training")), ["cost_training"])
 
 
 @query
 def q_priority_tertiles(spark, sf):
-    nums = RS.restock_numbers(features(spark, sf, PREDICT), PREDICT)
-    return tertile_edges(nums, "recommended_restock")
+    nums = RS.restock_numbers(_steps(spark, sf), PREDICT, baseline_scorer)
+    return tertile_edges(nums, "recommended_restock").select("n", "e1", "e2")
 
 
 # --- report tables -------------------------------------------------------------
 
-def _res(spark, sf):
-    return rounded(restock(spark, sf, PREDICT), ["avg_price"])
+def _res(spark, sf, feats=None):
+    return rounded(restock(spark, sf, PREDICT, feats), ["avg_price"])
 
 
 def _feat(spark, sf):
-    return features(spark, sf, PREDICT)
+    return ready_features(spark, sf, PREDICT)
 
 
 @query
@@ -409,18 +429,20 @@ def q_trend_extremes(spark, sf):
 
 @query
 def q_product_history(spark, sf):
-    h = RP.product_history(_feat(spark, sf), RP.trend_picks(_res(spark, sf)))
-    return _feat_out(h)
+    f = _feat(spark, sf)
+    return _feat_out(RP.product_history(f, RP.trend_picks(_res(spark, sf, f))))
 
 
 @query
 def q_chart_product_series(spark, sf):
-    return RP.chart_product_series(_feat(spark, sf), RP.trend_picks(_res(spark, sf)))
+    f = _feat(spark, sf)
+    return RP.chart_product_series(f, RP.trend_picks(_res(spark, sf, f)))
 
 
 @query
 def q_report_picks(spark, sf):
-    return rounded(RP.report_picks(_res(spark, sf), _feat(spark, sf)), ["avg_quantity", "recent_quantity"])
+    f = _feat(spark, sf)
+    return rounded(RP.report_picks(_res(spark, sf, f), f), ["avg_quantity", "recent_quantity"])
 
 
 @query
@@ -435,7 +457,8 @@ def q_summary_text(spark, sf):
 
 @query
 def q_product_text(spark, sf):
-    return RP.product_text(_res(spark, sf), _feat(spark, sf))
+    f = _feat(spark, sf)
+    return RP.product_text(_res(spark, sf, f), f)
 
 
 # --- sampling, split, metrics ------------------------------------------------------
@@ -475,18 +498,105 @@ def q_csv_round_trip(spark, sf):
     return back
 
 
+def _shared_path(spark, name):
+    import uuid
+
+    from stockcast.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}/{uuid.uuid4().hex}"
+
+
+def _awkward_lines(spark, sf):
+    """Lines with quotes, commas, backslashes, outer blanks, non-ASCII text, missing and lettered invoices."""
+    src = source(spark, sf)
+    li = src.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+    part = src.table("part").select("p_partkey", "p_name")
+    line, name = F.col("l_linenumber"), F.col("p_name")
+    text = (F.when(line == 1, F.concat(F.lit('12" '), name, F.lit(", RED")))
+            .when(line == 2, F.concat(F.lit("back\\"), name, F.lit(' "q", z')))
+            .when(line == 3, F.concat(F.lit("  "), name, F.lit("  ")))
+            .when(line == 4, F.concat(F.lit("CAFÉ "), name)).when(line == 5, F.lit('SAY "HI"'))
+            .when(line == 6, F.lit(None)).otherwise(name))
+    mark = F.when(line == 3, F.lit(None)).when(line == 4, F.lit("A")).otherwise(F.lit(""))
+    return li.join(part, li.l_partkey == part.p_partkey, "left").select(
+        F.concat(mark, F.col("l_orderkey").cast("string")).alias("Invoice"),
+        F.col("l_partkey").cast("string").alias("StockCode"), text.alias("Description"),
+        F.col("l_quantity").cast("double").alias("Quantity"), F.col("l_shipdate").alias("InvoiceDate"))
+
+
+@query
+def q_malformed_lines(spark, sf):
+    """S5 on lines with missing and lettered invoices."""
+    return QU.malformed_invoices(_awkward_lines(spark, sf))
+
+
+@query
+def q_awkward_round_trip(spark, sf):
+    """S10 + S1-S3: awkward texts to CSV and back, strict."""
+    from stockcast.sources.csv_sales import CsvSales
+    from stockcast.sources.sinks import write_sales_csv
+    path = write_sales_csv(_awkward_lines(spark, sf), _shared_path(spark, "awkward"))
+    return C.with_invoice_timestamp(CsvSales(spark, path, mode="strict").sales())
+
+
+@query
+def q_csv_first_description(spark, sf):
+    """The first description by date of lines read from CSV, codes with several names."""
+    from stockcast.sources.csv_sales import CsvSales
+    from stockcast.sources.sinks import write_sales_csv
+    path = write_sales_csv(_awkward_lines(spark, sf), _shared_path(spark, "first"))
+    return CsvSales(spark, path).first_descriptions()
+
+
+@query
+def q_fanout_descriptions(spark, sf):
+    """J1 where codes have several descriptions: every (code, description) pair joins every day."""
+    lines = _awkward_lines(spark, sf)
+    days = lines.select("StockCode", F.to_date("InvoiceDate").alias("Date")).distinct()
+    return FE.attach_descriptions(days, FE.distinct_descriptions(lines))
+
+
+@query
+def q_write_restock_round_trip(spark, sf):
+    """S7 + P14: the restock file read back."""
+    from stockcast.sources.csv_sales import _raw
+    from stockcast.sources.sinks import write_restock
+    path = write_restock(_res(spark, sf), _shared_path(spark, "restock"))
+    back = _raw(spark, path, "UTF-8", ",", False)
+    return back.select("StockCode", *[F.col(c).cast("long").alias(c) for c in (
+        "predicted_weekly_demand", "safety_stock", "recommended_restock")], "Description", "priority")
+
+
+@query
+def q_by_priority_round_trip(spark, sf):
+    """S8 on the training variant, where most rows have no priority: the three folders read back."""
+    from stockcast.sources.sinks import write_by_priority
+    path = write_by_priority(restock(spark, sf, TRAINING).select("StockCode", "recommended_restock", "priority"),
+                             _shared_path(spark, "by_priority"))
+    return spark.read.option("header", True).schema("StockCode string, recommended_restock double, priority string").csv(path)
+
+
 # --- models (rows-only checks: fitted values depend on the learner) ------------------
 
+#: Depth 10 instead of the default 30 keeps these checks short; ``jobs.train`` uses the default.
+CHECK_FOREST_DEPTH = 10
+
+
+def _settings():
+    from stockcast.operators import model as MD
+    return MD.ModelSettings(rf_depth=CHECK_FOREST_DEPTH)
+
+
 def _model_test_predictions(spark, sf, name):
     from stockcast.operators import model as MD
     train, test = MD.split_frames(features(spark, sf, TRAINING))
-    m = MD.fit(name, train)
+    m = MD.fit(name, train, _settings())
     return m.transform(test).select("StockCode", "Date", "Quantity", "prediction")
 
 
 @query
 def q_linear_regression(spark, sf):
-    return _model_test_predictions(spark, sf, "Linear Regression")
+    """M2 on the test part; predictions to 3 places (two solvers agree to about 1e-9)."""
+    return rounded(_model_test_predictions(spark, sf, "Linear Regression"), ["prediction"], r3)
 
 
 @query
@@ -499,32 +609,46 @@ def q_gradient_boosting(spark, sf):
     return _model_test_predictions(spark, sf, "Gradient Boosting")
 
 
+@query
+def q_linear_metrics(spark, sf):
+    """M5 + A18: the linear row of the model comparison."""
+    from stockcast.operators import model as MD
+    r = MD.compare_models(features(spark, sf, TRAINING), _settings(), names=("Linear Regression",))[0]
+    return rounded(r, ["mse", "mae", "r2"], r4)
+
+
 @query
 def q_compare_models(spark, sf):
     from stockcast.operators import model as MD
-    return MD.compare_models(features(spark, sf, TRAINING))[0]
+    return MD.compare_models(features(spark, sf, TRAINING), _settings())[0]
 
 
 @query
 def q_best_model(spark, sf):
     from stockcast.operators import model as MD
-    return MD.best_model(MD.compare_models(features(spark, sf, TRAINING))[0])
+    return MD.best_model(MD.compare_models(features(spark, sf, TRAINING), _settings())[0])
 
 
 @query
 def q_score(spark, sf):
-    """M7 inside R5: the predict-variant restock table scored by a fitted linear model."""
+    """M7 inside R5: the predict-variant restock table scored by a fitted linear model.
+
+    Both variants' feature rows come from one lag table, so the lines are scanned once.
+    """
     from stockcast.operators import model as MD
-    train, _ = MD.split_frames(features(spark, sf, TRAINING))
-    m = MD.fit("Linear Regression", train)
     src = source(spark, sf)
-    return restock_recommendations(features(spark, sf, PREDICT), PREDICT, scorer=MD.model_scorer(m),
-                                   descriptions=src.first_descriptions())
+    lagged = materialize(FE.with_lag_and_rolling(_daily(spark, sf)))
+    train, _ = MD.split_frames(FE.feature_rows(lagged, TRAINING, src.description_pairs()))
+    m = MD.fit("Linear Regression", train)
+    res = restock_recommendations(FE.feature_rows(lagged, PREDICT), PREDICT, scorer=MD.model_scorer(m),
+                                  descriptions=src.first_descriptions())
+    return rounded(res, ["avg_price"])
 
 
 @query
 def q_prompt_table(spark, sf):
-    return RP.prompt_table(_res(spark, sf), _feat(spark, sf))
+    f = _feat(spark, sf)
+    return RP.prompt_table(_res(spark, sf, f), f)
 
 
 @query
@@ -549,8 +673,7 @@ def q_by_priority(spark, sf):
 @query
 def q_lookup_description(spark, sf):
     """Restock products with their first description, "Unknown" when none."""
-    f = features(spark, sf, PREDICT)
-    nums = RS.restock_numbers(f, PREDICT).select("StockCode")
+    nums = RS.restock_numbers(_steps(spark, sf), PREDICT, baseline_scorer).select("StockCode")
     return RS.with_descriptions(nums.withColumns({c: F.lit(None).cast("double") for c in (
         "predicted_weekly_demand", "safety_stock", "recommended_restock", "avg_price", "estimated_cost")}),
         PREDICT, source(spark, sf).first_descriptions()).select("StockCode", "Description")

@@ -109,23 +109,16 @@ def _unreadable(c: str) -> Column:
     return F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()
 
 
-def _must(bad: Column, message: str) -> Column:
-    """True for good rows; raises on a bad one when the row is read."""
-    return F.when(bad, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
-
-
 def read_sales(spark: SparkSession, path: str, mode: str = "lenient", encoding: str = UTF8,
                sep: str | None = None, multiline: bool = False) -> DataFrame:
     """S1 (lenient) / S3 (strict) / S2 (encoding 'auto' or 'ISO-8859-1', sep=None sniffs)."""
     raw = _raw(spark, path, encoding, sep, multiline)
     numeric = [c for c in _NUMERIC if c in raw.columns]
-    if mode == "strict":
-        raw = raw.where(_must(F.col(_EXTRA), f"{path}: a line has more fields than the header"))
-        for c in numeric:
-            raw = raw.where(_must(_unreadable(c), f"{path}: a {c} that is not a number"))
-    else:
-        raw = raw.where(~F.col(_EXTRA))
-    return raw.drop(_EXTRA).withColumns({c: F.col(c).try_cast("double") for c in numeric})
+    if mode == "strict":  # one pass over all lines before any of them is used
+        bad = {k: n for k, n in _losses(raw).first().asDict().items() if k != "lines" and n}
+        if bad:
+            raise ValueError(f"{path}: {bad}")
+    return raw.where(~F.col(_EXTRA)).drop(_EXTRA).withColumns({c: F.col(c).try_cast("double") for c in numeric})
 
 
 def overlong_lines(spark: SparkSession, path: str, encoding: str = UTF8, sep: str | None = None,
@@ -137,7 +130,10 @@ def overlong_lines(spark: SparkSession, path: str, encoding: str = UTF8, sep: st
 def read_report(spark: SparkSession, path: str, encoding: str = "auto", sep: str | None = None,
                 multiline: bool = False) -> DataFrame:
     """One row: lines, overlong_lines, and unreadable_<column> per numeric column; what lenient mode loses."""
-    raw = _raw(spark, path, encoding, sep, multiline)
+    return _losses(_raw(spark, path, encoding, sep, multiline))
+
+
+def _losses(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count("*").alias("lines"), F.count(F.when(F.col(_EXTRA), 1)).alias("overlong_lines"),
                    *[F.count(F.when(~F.col(_EXTRA) & _unreadable(c), 1)).alias(f"unreadable_{c}")
                      for c in _NUMERIC if c in raw.columns])

@@ -40,7 +40,7 @@ def malformed_invoices(sales: DataFrame) -> DataFrame:
                        .rlike(INVOICE_PATTERN))
 
 
-def dataset_shape(sales: DataFrame) -> DataFrame:
-    """(rows, columns)."""
+def dataset_shape(sales: DataFrame, columns: int | None = None) -> DataFrame:
+    """(rows, columns). A caller that reads fewer columns to count rows names their number."""
     return sales.agg(F.count(F.lit(1)).alias("rows")).withColumn(
-        "columns", F.lit(len(sales.columns)).cast("int"))
+        "columns", F.lit(columns or len(sales.columns)).cast("int"))

@@ -56,3 +56,42 @@ def test_tree_memory_sizing(spark):
     mem = MD.tree_memory_mb(spark)
     assert 16 <= mem <= 1024
     assert mem * spark.sparkContext.defaultParallelism <= max(heap_mb / 2, 16 * spark.sparkContext.defaultParallelism) + 1
+
+
+def test_missing_feature_is_an_error(spark):
+    import pytest
+    train = spark.createDataFrame([(1.0, 2.0, 3, 4, 5, 6.0), (None, 2.0, 3, 4, 5, 6.0)],
+                                  "Lag1_Quantity double, Rolling7_Quantity double, Month int, Day int, DayOfWeek int, Quantity double")
+    with pytest.raises(Exception, match="(?i)null"):
+        MD.fit("Linear Regression", train)
+
+
+def test_tree_memory_does_not_change_the_model(spark):
+    from stockcast.plans import registry as R
+    train, test = MD.split_frames(R.features(spark, SF_SMALL, TRAINING))
+    got = [MD.fit("Random Forest", train, MD.ModelSettings(rf_trees=4, rf_depth=6, tree_memory_mb=mb)).transform(test)
+           .agg(F.sum("prediction")).first()[0] for mb in (1, 256)]
+    assert abs(got[0] - got[1]) < 1e-6
+
+
+def test_tree_models_beat_the_mean(spark):
+    from stockcast.plans import registry as R
+    r = {x.model: x for x in MD.compare_models(R.features(spark, "/root/testdata/sf0.01", TRAINING),
+                                               MD.ModelSettings(rf_trees=10, rf_depth=6, gbt_rounds=10))[0].collect()}
+    assert r["Random Forest"].r2 > 0.1 and r["Gradient Boosting"].r2 > 0.1
+
+
+def test_command_line_writes_every_table(spark, tmpdir_path, monkeypatch):
+    import os
+
+    from stockcast import __main__ as cli
+    monkeypatch.setattr(cli, "local_session", lambda app: spark)
+    out = f"{tmpdir_path}/cli"
+    cli.main(["train", "--star", SF_SMALL, "--out", out, "--trees", "3", "--rf_depth", "4"])
+    cli.main(["predict", "--star", SF_SMALL, "--model_path", f"{out}/models/demand_model", "--out", out, "--detailed_output"])
+    cli.main(["report", "--star", SF_SMALL, "--model_path", f"{out}/models/demand_model", "--out", out])
+    done = {os.path.relpath(d, out) for d, _, names in os.walk(out) if "_SUCCESS" in names}
+    want = {"checks/columns", "checks/shape", "checks/malformed_invoices", "predictions/restock", "predictions/by_priority",
+            "predictions/summary", "reports/restock_recommendations", "reports/short_markdown", "reports/short_html", "reports/tables", "reports/prompts",
+            "reports/picks", *(f"exploration/{x}" for x in ("describe", "top_products", "sales_by_country", "monthly_sales", "weekday_sales"))}
+    assert want <= done

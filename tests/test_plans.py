@@ -38,7 +38,7 @@ def test_features_need_two_exchanges_and_prune_columns(spark):
 
 def test_per_product_steps_reuse_the_window_partitioning(spark):
     f = materialize(R.features(spark, SF_SMALL, PREDICT), "checkpoint")
-    nums = RS.restock_numbers(f, PREDICT)
+    nums = RS.restock_numbers(f, PREDICT, RS.baseline_scorer)
     main = _main_plan(nums).split("Subquery")[0]
     assert "Exchange" not in main
     assert "Generate explode" in main
@@ -58,3 +58,16 @@ def test_scale_settings():
     assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = scale_settings(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def _line_scans(df) -> int:
+    """lineitem scans anywhere in the plan, subqueries included (materialized inputs count none)."""
+    return _plan(df).count("lineitem.parquet")
+
+
+def test_step_and_report_queries_do_not_scan_the_lines_again(spark):
+    # the one scan is the materialization that ran while the query was built
+    for name in ("estimated_cost", "report_picks", "prompt_table", "score", "forecast_grid"):
+        assert _line_scans(R.QUERIES[name](spark, SF_SMALL)) == 0, name
+    shape = _plan(R.QUERIES["dataset_shape"](spark, SF_SMALL))
+    assert "Join" not in shape and shape.count(".parquet") == 1

@@ -75,7 +75,9 @@ def test_labels_and_names(spark):
 
 def test_search_and_sort(f2):
     assert [r.StockCode for r in RP.search_restock(f2, "widget c").collect()] == ["C003"]
-    assert [r.StockCode for r in RP.search_restock(f2, "D00").collect()] == ["D004"]
+    assert [r.StockCode for r in RP.search_restock(f2, "004").collect()] == ["D004"]
+    # the term is lower-cased before it is looked for in the code, so capitals in a code never match
+    assert RP.search_restock(f2, "D00").count() == 0
     rows = RP.sort_restock(f2, "safety_stock", ascending=False).orderBy("position").collect()
     assert [r.StockCode for r in rows] == ["A001", "C003", "E005", "B002", "D004"]
 
@@ -100,3 +102,28 @@ def test_summary_text_f3(spark):
     r = RP.summary_text(f3).first()
     assert r.urgent_items == 1 and r.top_items == "Widget A, Widget B, Widget C"
     assert r.summary.startswith("The system has identified 3 products")
+
+
+def test_two_places_like_python(spark):
+    from stockcast.operators.report import two_places
+    vals = [n / 200 for n in range(-50, 3000)] + [1.115, 2.675, 0.125, 0.375, 1e-9, 123456789.995, 0.995, 99.995, 1e15, -0.001]
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = {r.x: r.t for r in df.select("x", two_places(df.x).alias("t")).collect()}
+    assert [got[float(v)] for v in vals] == [f"{v:.2f}" for v in vals]
+
+
+def test_json_text_is_valid_for_any_characters(spark):
+    import json
+
+    from stockcast.operators.report import _json_text
+    texts = ['tab\there', 'line\nbreak', 'quote " and \\ slash', "[x]", "é 🦆", "", "\x01"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    assert [json.loads(r.j) for r in df.select(_json_text(df.t).alias("j")).collect()] == [*texts, None]
+
+
+def test_search_lower_cases_the_term_before_the_code(spark):
+    from stockcast.operators.report import search_restock
+    res = spark.createDataFrame([("M", "Manual", 2.0), ("85099B", "BAG", 1.0)], "StockCode string, Description string, recommended_restock double")
+    assert [r.StockCode for r in search_restock(res, "M").collect()] == ["M"]      # by its description
+    assert search_restock(res, "B").count() == 1 and search_restock(res, "85099B").count() == 0
+    assert [r.StockCode for r in search_restock(res, "85099").collect()] == ["85099B"]
