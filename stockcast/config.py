@@ -117,44 +117,38 @@ TRAINING = RestockConfig(
 )
 
 # ---------------------------------------------------------------------------
-# Prompt texts of the insight step (indentation removed). The
-# table of prompts is built for a later batch job; no model is called here.
+# Prompt texts of the insight step, in this project's own wording (the figures
+# they carry are the original's). The table of prompts is built for a later
+# batch job; no model is called here.
 # ---------------------------------------------------------------------------
-PROMPT_OVERALL = """As an inventory management AI assistant, analyze the following restocking data:
+PROMPT_OVERALL = """You advise inventory managers. Current restocking figures:
 
-Total products requiring restock: %s
-Urgent restock needed (above average): %s
+Products to restock: %s
+Above the average amount (urgent): %s
 
-Top 5 products to restock:
+Largest recommendations:
 %s
 
-Generate a concise executive summary of the inventory situation, including:
-1. Key trends and patterns in the restocking needs
-2. Specific recommendations for inventory managers
-3. Potential cost implications
-4. Any anomalies that require attention
+Summarise the situation in a few short paragraphs: what stands out, what to
+order first, what it may cost, and any figure that looks wrong."""
 
-Format the response in clear paragraphs with appropriate headings."""
+PROMPT_TREND = """Sales figures of product "%s":
+- mean units a day: %s
+- most units in a day: %s
+- direction lately: %s
 
-PROMPT_TREND = """As an inventory analyst, explain the sales trends for product "%s" with these metrics:
-- Average daily quantity sold: %s
-- Maximum daily quantity sold: %s
-- Recent trend: %s
+Explain in one paragraph what this means for stocking the product."""
 
-Provide a short paragraph explaining what these numbers mean for inventory management.
-Consider seasonality, potential causes, and recommendations."""
-
-PROMPT_REASONING = """Explain the reasoning behind this restock recommendation in 2-3 sentences:
+PROMPT_REASONING = """In two or three sentences, say why this order makes sense.
 Product: %s
-Predicted weekly demand: %s
+Expected demand of the week: %s
 Safety stock: %s
-Recommended restock quantity: %s"""
+Recommended order: %s"""
 
-PROMPT_FORECAST = """Based on the following inventory prediction data:
-- Product: %s
-- Current Average Daily Demand: %s
-- Recommended Restock Amount: %s
-- Forecast Period: %s days
+PROMPT_FORECAST = """Forecast of one product:
+- name: %s
+- mean units a day now: %s
+- recommended order: %s
+- days covered: %s
 
-Provide a natural language summary of the inventory recommendation.
-Include insights about the demand patterns and suggested actions."""
+Put the recommendation into plain words, with what drives the demand and what to do."""

@@ -81,8 +81,7 @@ class StarSales:
             exprs["Customer ID"] = F.col("o_custkey").cast("string")
             if "Country" in cols:
                 cust = self.table("customer").select("c_custkey", "c_nationkey")
-                # nation has 25 rows in every TPC-H scale: a fixed size, safe to broadcast
-                nation = F.broadcast(self.table("nation").select("n_nationkey", "n_name"))
+                nation = self.table("nation").select("n_nationkey", "n_name")
                 df = (df.join(cust, df.o_custkey == cust.c_custkey, "left")
                         .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left"))
                 exprs["Country"] = F.col("n_name")
