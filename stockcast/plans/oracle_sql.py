@@ -333,6 +333,7 @@ LINEAR = FT + f""", parts AS (SELECT *, {SPLIT} AS split FROM feat), tr AS (SELE
 te AS (SELECT "StockCode", "Date", "Quantity", {linear_value()} AS prediction FROM parts, w WHERE split = 'test')
 """
 sql("linear_regression", LINEAR + f'SELECT "StockCode", "Date", "Quantity", {r3("prediction")} AS prediction FROM te')
+sql("model_round_trip", ORACLE["linear_regression"])
 sql("linear_metrics", LINEAR + f"""
 SELECT 'Linear Regression' AS model, CAST(0 AS INTEGER) AS position,
   {r4('avg(("Quantity" - prediction) * ("Quantity" - prediction))')} AS mse,

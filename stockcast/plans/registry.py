@@ -599,6 +599,16 @@ def q_linear_regression(spark, sf):
     return rounded(_model_test_predictions(spark, sf, "Linear Regression"), ["prediction"], r3)
 
 
+@query
+def q_model_round_trip(spark, sf):
+    """The linear model saved, loaded again, and used on the test part."""
+    from stockcast.operators import model as MD
+    train, test = MD.split_frames(features(spark, sf, TRAINING))
+    path = MD.save_model(MD.fit("Linear Regression", train), _shared_path(spark, "model"))
+    back = MD.load_model(spark, path).transform(test)
+    return rounded(back.select("StockCode", "Date", "Quantity", "prediction"), ["prediction"], r3)
+
+
 @query
 def q_random_forest(spark, sf):
     return _model_test_predictions(spark, sf, "Random Forest")
