@@ -15,6 +15,10 @@ from stockcast.session import ensure_checkpoint_dir
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
 
+#: Rows of one Arrow batch between Spark and its Python workers: rows may be whole long texts.
+ARROW_ROWS = 1000
+_ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,9 +28,12 @@ def ship_package(spark: SparkSession) -> None:
     """Give executors this package (once per application), so that tasks can import it.
 
     Functions of importable modules are pickled by name, which also keeps the
-    word memos of a Python worker alive between its tasks.
+    word tables of a Python worker alive between its tasks. A session that has
+    Spark's default of 10,000 rows a batch gets ``ARROW_ROWS`` instead.
     """
     sc: SparkContext = spark.sparkContext
+    if spark.conf.get(_ARROW_ROWS_KEY) == "10000":
+        spark.conf.set(_ARROW_ROWS_KEY, str(ARROW_ROWS))
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(_PACKAGE)

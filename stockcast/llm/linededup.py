@@ -28,6 +28,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,18 +118,15 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     earlier = docs_.select(F.col("doc_id").alias("partner"), F.col("lines").alias("theirs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(col, k):
-            flat = col.values if col.offset == 0 else col.flatten()
+        def rows(col: pa.ListArray) -> list[list[tuple]]:
             edge = [0, *pa.compute.cumulative_sum(pa.compute.list_value_length(col)).to_pylist()]
-            n, line, long = (flat.field(x).to_pylist() for x in range(3))
-            return lambda r: list(zip(n[edge[r]:edge[r + 1]], line[edge[r]:edge[r + 1]], long[edge[r]:edge[r + 1]], strict=True))
+            flat = list(zip(*(part.to_pylist() for part in col.flatten().flatten()), strict=True))
+            return [flat[a:b] for a, b in zip(edge, edge[1:])]  # noqa: B905
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = pa.RecordBatch.from_arrays([pa.concat_arrays([c.take(pa.array(range(at, min(at + 500, whole.num_rows))))])
-                                                    for c in whole.columns], names=whole.schema.names)
-                ours, theirs = rows(batch.column(2), 2), rows(batch.column(3), 3)
-                gone = [shared_blocks(theirs(r), ours(r)) for r in range(batch.num_rows)]
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                gone = [shared_blocks(theirs, ours) for ours, theirs in zip(rows(batch.column(2)), rows(batch.column(3)), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))],
                                                  names=["doc_id", "text_hash", "gone"])
 

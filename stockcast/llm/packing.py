@@ -137,7 +137,7 @@ def places(fillings: list[tuple[list[int], int]], capacity: int) -> dict[int, li
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Places for ``pieces`` (see ``tokenised_pieces``), which must be materialised."""
     per_task = pieces.groupBy("length", "task").count()
-    # running counts in two levels, so that no window holds one length's tasks and nothing else grows
+    # a window holds one row per task of a length, never the pieces themselves
     before = F.coalesce(F.sum("count").over(W.partitionBy("length").orderBy("task")
                                             .rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ahead = per_task.select("length", "task", before.cast("long").alias("ahead"))
