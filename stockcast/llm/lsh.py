@@ -35,7 +35,7 @@ from stockcast.llm.common import cut
 from stockcast.llm.tiles import deal, pack_shards, packed, ranked, search_tiles, vectors
 
 TABLES, FUNCTIONS, WIDTH, PROBES, SEED = 8, 6, 1.6, 96, 20240101
-SCORES = 4_000_000  # scores held at once
+SCORES, GROUP = 4_000_000, 1024  # scores and queries held at once
 
 
 class Hashes:
@@ -89,7 +89,7 @@ def search(shard: dict, ids: np.ndarray, q: np.ndarray, hashes: Hashes, probes:
     start = np.searchsorted(of, np.arange(len(v) + 1))
     orders = np.argsort(keys, axis=1, kind="stable")
     out: tuple[list, list, list] = ([], [], [])
-    step = max(1, SCORES // max(1, len(v)))
+    step = max(1, min(GROUP, SCORES // max(1, len(v))))
     for at in range(0, len(ids), step):
         part = q[at:at + step]
         score = np.full((len(part), len(v)), -np.inf)
