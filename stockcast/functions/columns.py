@@ -20,6 +20,12 @@ def nan_to_null(c: Column | str) -> Column:
     return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
+def money_sum(c: Column | str) -> Column:
+    """Sum of an amount, 0 if there is none. Each row counts as decimal(18,4), so the
+    total is exact and does not depend on the order in which tasks add it up."""
+    return F.coalesce(F.sum(nan_to_null(c).cast("decimal(18,4)")).cast("double"), F.lit(0.0))
+
+
 def half_even(c: Column | str, places: int = 0) -> Column:
     """Round like NumPy: rint(x * 10^p) / 10^p, ties to even, pure double arithmetic."""
     if places == 0:

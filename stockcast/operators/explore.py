@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockcast.functions.columns import nan_to_null
+from stockcast.functions.columns import money_sum, nan_to_null
 from stockcast.functions.materialize import materialize
 from stockcast.functions.quantiles import quantiles_of_counts, value_counts
 
@@ -53,25 +53,25 @@ def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
         F.col("p2").alias("p75"), "max")
 
 
-def _top_by(clean: DataFrame, key: str, value: str, out: str, k: int) -> DataFrame:
-    agg = clean.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.coalesce(F.sum(nan_to_null(value)), F.lit(0.0)).alias(out))
+def _top_by(clean: DataFrame, key: str, total: Column, out: str, k: int) -> DataFrame:
+    agg = clean.where(F.col(key).isNotNull()).groupBy(key).agg(total.alias(out))
     return agg.orderBy(F.col(out).desc(), F.col(key)).limit(k)
 
 
 def top_products(clean: DataFrame, k: int = 10) -> DataFrame:
     """A4: total Quantity per StockCode, largest k (code breaks ties)."""
-    return _top_by(clean, "StockCode", "Quantity", "Quantity", k)
+    units = F.coalesce(F.sum(nan_to_null("Quantity")), F.lit(0.0))
+    return _top_by(clean, "StockCode", units, "Quantity", k)
 
 
 def sales_by_country(clean: DataFrame, k: int = 10) -> DataFrame:
     """A5: total TotalPrice per Country, largest k."""
-    return _top_by(clean, "Country", "TotalPrice", "TotalPrice", k)
+    return _top_by(clean, "Country", money_sum("TotalPrice"), "TotalPrice", k)
 
 
 def _sum_by(clean: DataFrame, key: str) -> DataFrame:
     return clean.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.coalesce(F.sum(nan_to_null("TotalPrice")), F.lit(0.0)).alias("TotalPrice")).orderBy(key)
+        money_sum("TotalPrice").alias("TotalPrice")).orderBy(key)
 
 
 def monthly_sales(clean: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockcast.config import PREDICT, RestockConfig
-from stockcast.functions.columns import nan_to_null
+from stockcast.functions.columns import money_sum, nan_to_null
 
 
 def by_product():
@@ -28,7 +28,7 @@ def product_daily(clean: DataFrame) -> DataFrame:
     daily = keyed.groupBy(F.col("StockCode").cast("string").alias("StockCode"),
                           F.to_date("InvoiceDate").alias("Date")).agg(
         F.coalesce(F.sum(nan_to_null("Quantity")), F.lit(0.0)).alias("Quantity"),
-        F.coalesce(F.sum(nan_to_null("TotalPrice")), F.lit(0.0)).alias("TotalPrice"),
+        money_sum("TotalPrice").alias("TotalPrice"),
         F.avg(nan_to_null("Price")).alias("Price"),
     )
     return daily.select(
