@@ -34,6 +34,7 @@ from stockcast.llm.words import some
 SEGMENT = 64
 HIDDEN = 8
 DOCS_PER_LANGUAGE = 256
+MARGIN = 4
 SEGMENTS_PER_DOC = 8
 STEPS = 256
 BATCH = 256
@@ -254,21 +255,26 @@ def predict(model: dict, labeller: Labeller, texts: list[str | None]) -> tuple[l
 
 
 def training_rows(documents: DataFrame) -> list[tuple[bytes, str]]:
-    """The bounded sample of labelled segments, to the driver."""
+    """The bounded sample of labelled segments, to the driver.
+
+    A count per language sets how small a hash has to be for about
+    ``MARGIN * DOCS_PER_LANGUAGE`` rows to pass; only those are ranked.
+    """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                            F.col("lang").cast("string").alias("lang"))
-    usable = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
-                         & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    pick = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (usable.select("doc_id", "lang").withColumn("nth", F.row_number().over(pick))
-              .filter(F.col("nth") <= DOCS_PER_LANGUAGE).select("doc_id", "lang", "nth"))
-    # at most DOCS_PER_LANGUAGE rows a language, so a broadcast of bounded size
-    data = usable.join(F.broadcast(chosen), ["doc_id", "lang"]).withColumn("data", F.encode("text", "UTF-8"))
+                            F.col("lang").cast("string").alias("lang"), F.xxhash64(F.col("doc_id").cast("long")).alias("hash"))
+    labelled = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    # one row per language
+    counts = labelled.groupBy("lang").agg((MARGIN * DOCS_PER_LANGUAGE / F.count("*")).alias("share"))
+    place = F.col("hash") / float(2 ** 64) + 0.5  # from 0 to 1
+    near = (labelled.join(F.broadcast(counts), "lang").filter(place <= F.col("share"))
+            .filter(F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("data", F.encode("text", "UTF-8")))
     n = F.greatest(F.lit(1), F.floor(F.octet_length("data") / SEGMENT).cast("int"))
     take = F.least(n, F.lit(SEGMENTS_PER_DOC))
     spots = F.transform(F.sequence(F.lit(0), take - 1), lambda i: F.floor(i * n / take).cast("int") * SEGMENT + 1)
-    cut = data.select("lang", "doc_id", F.explode(F.transform(spots, lambda s: F.substring("data", s, F.lit(SEGMENT)))).alias("s"))
-    return sorted((bytes(r["s"]), r["lang"]) for r in cut.select("s", "lang").collect())
+    cut = near.select("lang", "doc_id", "hash", F.transform(spots, lambda s: F.substring("data", s, F.lit(SEGMENT))).alias("s"))
+    pick = W.partitionBy("lang").orderBy("hash", "doc_id")
+    chosen = cut.withColumn("nth", F.row_number().over(pick)).filter(F.col("nth") <= DOCS_PER_LANGUAGE)
+    return sorted((bytes(s), r["lang"]) for r in chosen.select("s", "lang").collect() for s in r["s"])
 
 
 def model_of(documents: DataFrame) -> dict:
