@@ -110,7 +110,9 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
              .select("doc_id", "text_hash", "i", F.unhex(F.md5("raw")).alias("line"),
                      (F.size(F.split(F.trim("raw"), r"\s+")) >= min_words).alias("long")))
     holders = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = lines.join(holders.filter("first < last").select("line", "first"), "line")
+    # written once: the join then has an exchange of its own on both sides, and a line in very many documents is split
+    holders = cut(holders.filter("first < last").select("line", "first"))
+    shared = lines.join(holders, "line")
     docs_ = cut(shared.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set(F.struct("i", "line", "long"))).alias("lines"),  # a set: rows may repeat
         F.collect_set(F.when(F.col("long") & (F.col("first") < F.col("doc_id")), F.col("first"))).alias("partners")))
