@@ -44,6 +44,7 @@ BITS = 64
 HOT_GROUP = 512
 LEAF_PAIRS = 64
 FRONTIER = 1 << 16
+SALTS = 8
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -240,7 +241,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if not large:
             both = both.filter("b <= a")
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        hooked = both.join(least, "a")
+        # the neighbours of one node may be a large part of all edges: they are spread over SALTS keys
+        salted = both.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+        copies = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hooked = salted.join(copies, ["a", "salt"]).drop("salt")
         if large:
             return hooked.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         kept = hooked.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
