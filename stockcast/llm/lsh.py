@@ -1,14 +1,20 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Largest inner product becomes nearest Euclidean neighbour on the unit sphere:
-rows are divided by M, the largest norm of all rows, and get one more
+rows are divided by M, the largest norm of their band, and get one more
 component that fills them up to norm 1; queries are divided by their own norm.
+A band holds the rows of a shard whose squared norms round to the same power
+of two, so a few long vectors do not draw the others to the pole; a query's
+probes are the same in every band.
 Each of ``tables`` hash tables cuts ``functions`` random Gaussian projections
 into slots of width ``width``. A query visits, in
 every table, the ``probes`` buckets with the best estimated success: moving a
 slot down or up costs the squared distance to that slot's edge, and buckets
 are taken in order of total cost. Candidates of all tables are merged, scored
-exactly in double precision on the original vectors, and ranked.
+exactly in double precision on the original vectors, and ranked. Bands of fewer
+than ``SMALL`` distinct vectors are candidates of every query, and a query that
+found fewer than k rows in a shard is scored against all rows of that shard, so
+it gets min(k, candidates) rows whatever its probes hit.
 
 Every row is indexed. The tables are kept per shard, and shards are dealt by a
 hash of vec_id, so a bucket that holds a third of all rows is spread over all
@@ -35,27 +41,31 @@ from stockcast.llm.common import cut
 from stockcast.llm.tiles import deal, pack_shards, packed, ranked, search_tiles, vectors
 
 TABLES, FUNCTIONS, WIDTH, PROBES, SEED = 8, 6, 1.6, 96, 20240101
+SMALL = 256  # bands with fewer distinct vectors are scored whole
 SCORES, GROUP = 4_000_000, 1024  # scores and queries held at once
 
 
+def norms(v: np.ndarray) -> np.ndarray:
+    """Euclidean norms, also where the squares are too large or too small for a double."""
+    big = np.abs(v).max(axis=1)
+    return big * np.sqrt(((v / big[:, None]) ** 2).sum(axis=1))
+
+
 class Hashes:
     """The projections of all tables for one dimension."""
 
-    def __init__(self, dim: int, top: float, tables: int, functions: int, width: float):
+    def __init__(self, dim: int, tables: int, functions: int, width: float):
         rng = np.random.default_rng([SEED, dim])
         self.a = rng.normal(size=(tables, dim + 1, functions))
         self.width = width
         self.b = rng.uniform(0, width, size=(tables, functions))
         self.mix = rng.integers(1, 2 ** 62, size=functions, dtype=np.int64) * 2 + 1
-        self.top = top
         self.moves = np.array(list(product((0, -1, 1), repeat=functions)), np.int64)
 
-    def places(self, table: int, v: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
-        """(slot, place inside the slot from 0 to 1) of every projection."""
-        square = (v * v).sum(axis=1)
-        v = v / (np.sqrt(square)[:, None] if query else self.top ** 0.5)
-        extra = np.zeros(len(v)) if query else np.sqrt(np.maximum(0.0, 1.0 - square / self.top))
-        p = (np.column_stack([v, extra]) @ self.a[table] + self.b[table]) / self.width
+    def places(self, table: int, v: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slot, place inside the slot from 0 to 1) of every projection; ``top`` is M of each row, a query's own norm."""
+        extra = np.sqrt(np.maximum(0.0, 1.0 - (norms(v) / top) ** 2))
+        p = (np.column_stack([v / top[:, None], extra]) @ self.a[table] + self.b[table]) / self.width
         slot = np.floor(p)
         return slot.astype(np.int64), p - slot
 
@@ -65,7 +75,7 @@ class Hashes:
 
     def probes(self, table: int, q: np.ndarray, many: int) -> np.ndarray:
         """Bucket keys of each query, best first."""
-        slot, inside = self.places(table, q, True)
+        slot, inside = self.places(table, q, norms(q))
         cost = inside ** 2 @ (self.moves == -1).T + (1 - inside) ** 2 @ (self.moves == 1).T
         many = min(many, len(self.moves))
         best = np.argsort(cost, axis=1, kind="stable")[:, :many]
@@ -80,19 +90,25 @@ def build(ids: np.ndarray, v: np.ndarray, hashes: Hashes, keep: int) -> bytes:
     first = np.flatnonzero(np.diff(which[order], prepend=-1))
     nth = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     order = order[nth < keep]
-    keys = np.stack([hashes.keys(hashes.places(t, distinct, False)[0]) for t in range(len(hashes.a))])
-    return packed(v=distinct, ids=ids[order], of=which[order], keys=keys)
+    norm = norms(distinct)
+    _, band, many = np.unique(np.rint(2 * np.log2(norm)), return_inverse=True, return_counts=True)
+    top = np.zeros(len(many))
+    np.maximum.at(top, band, norm)
+    keys = np.stack([hashes.keys(hashes.places(t, distinct, top[band])[0]) for t in range(len(hashes.a))])
+    return packed(v=distinct, ids=ids[order], of=which[order], keys=keys, whole=np.flatnonzero(many[band] < SMALL))
 
 
 def search(shard: dict, ids: np.ndarray, q: np.ndarray, hashes: Hashes, probes: int, k: int) -> tuple:
     v, names, of, keys = shard["v"], shard["ids"], shard["of"], shard["keys"]
     start = np.searchsorted(of, np.arange(len(v) + 1))
     orders = np.argsort(keys, axis=1, kind="stable")
+    many, by_name = np.diff(start), np.sort(names)
     out: tuple[list, list, list] = ([], [], [])
     step = max(1, min(GROUP, SCORES // max(1, len(v))))
     for at in range(0, len(ids), step):
         part = q[at:at + step]
         score = np.full((len(part), len(v)), -np.inf)
+        score[:, shard["whole"]] = part @ v[shard["whole"]].T
         for t in range(len(keys)):
             order = orders[t]
             held, edge = np.unique(keys[t][order], return_index=True)
@@ -107,6 +123,9 @@ def search(shard: dict, ids: np.ndarray, q: np.ndarray, hashes: Hashes, probes:
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 rows = order[edge[bucket[a]]:edge[bucket[a] + 1]]
                 score[np.ix_(who[a:b], rows)] = part[who[a:b]] @ v[rows].T
+        own = np.searchsorted(by_name, ids[at:at + step], "right") - np.searchsorted(by_name, ids[at:at + step], "left")
+        few = np.flatnonzero((score > -np.inf) @ many < k + own)
+        score[few] = part[few] @ v.T
         for i in range(len(part)):
             _ranked(score[i], part[i], ids[at + i], v, names, start, k, out)
     return tuple(np.concatenate(x) if x else [] for x in out)
@@ -134,12 +153,10 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, tables: int = T
             width: float = WIDTH, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose vec_id is divisible by ``every``."""
     rows = vectors(embeddings, lambda x: x, nonzero=True)
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    top = rows.agg(F.max(square).alias("top")).first()["top"] or 1.0
     dealt, queries, shards, blocks = deal(rows, every)
 
     def hashes(dim: int) -> Hashes:
-        return Hashes(dim, top, tables, functions, width)
+        return Hashes(dim, tables, functions, width)
 
     index = pack_shards(dealt, lambda ids, v: build(ids, v, hashes(v.shape[1]), k + 1), "float64")
     queries = queries.withColumn("shards", F.sequence(F.lit(0), F.lit(shards - 1)))

@@ -240,6 +240,44 @@ def test_recall_on_the_testdata(spark):
     assert np.mean(hits) >= 0.9
 
 
+def recall(spark, v, k=20, every=20):
+    """(share of the true neighbours found, numbers of rows per query) over all queries."""
+    ids = np.arange(len(v))
+    df = spark.createDataFrame([(int(i), [float(x) for x in r]) for i, r in zip(ids, v, strict=True)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in lsh.nearest(df, every=every, k=k).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = []
+    for q in ids[::every]:
+        s = v @ v[q]
+        s[q] = -np.inf
+        want = set(np.lexsort((ids, -s))[:min(k, len(v) - 1)].tolist())
+        hits.append(len(got.get(int(q), set()) & want) / len(want) if want else 1.0)
+    return np.mean(hits), [len(got.get(int(q), ())) for q in ids[::every]]
+
+
+def test_nearest_neighbours_with_unequal_norms(spark):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(2000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    one = v.copy()
+    one[7] *= 100
+    for rows in (v, one, v * rng.lognormal(size=2000)[:, None], one * 1e100):
+        share, many = recall(spark, rows)
+        assert share >= 0.9 and set(many) == {20}
+
+
+def test_nearest_neighbours_of_small_tables_are_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    assert recall(spark, rng.normal(size=(15, 64)), every=1) == (1.0, [14] * 15)
+    assert recall(spark, rng.normal(size=(1, 8)), every=1)[1] == [0]
+    # no bucket is ever hit and no band is small: the rows come from the exact way
+    monkeypatch.setattr(lsh, "SMALL", 0)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.normal(size=(40, 8)))], "vec_id long, embedding array<double>")
+    got = lsh.nearest(df, every=1, k=20, tables=1, functions=6, width=1e-9, probes=1).collect()
+    assert len(got) == 40 * 20
+
+
 # WARC ---------------------------------------------------------------------------------------------------------------
 
 def test_warc_round_trip(spark):
