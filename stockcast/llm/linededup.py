@@ -1,11 +1,13 @@
 """Line dedup by pairwise alignment: a later document loses the blocks it shares with an earlier one.
 
 Lines are compared by their MD5. A line that only one document holds is
-dropped first. Each shared line of at least ``min_words`` words pairs every
-later holder with the line's first holder (smallest doc_id): for a rare line
-that is the document it was copied from, and for a line in very many documents
-it is the exact way that stays linear in the line's occurrences, so no line is
-too frequent and no pair list grows with the square of a group.
+dropped first. The result is that of aligning every document with each earlier
+holder of each of its shared lines of at least ``min_words`` words. Rounds reach
+it without all those pairs: the first round pairs every later holder with the
+line's first holder (smallest doc_id), the next ones pair what stays with the
+line's next holders, and the last one with all that are left. A line that went
+is never asked again, so pairs are linear in the line's occurrences but for the
+few that stay in every alignment.
 
 Each pair is aligned by patience diff: lines that occur once on both sides are
 put in a longest increasing order, the stretches between two of them are
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from stockcast.llm.common import cut, ship_package
 
 MIN_WORDS = 5
+ROUNDS = 3  # next holders tried one by one before all that are left
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -100,6 +103,37 @@ def shared_blocks(earlier: list[tuple], later: list[tuple]) -> list[int]:
     return gone + (run if enough else [])
 
 
+def _rows(col: pa.ListArray) -> list[list[tuple]]:
+    edge = [0, *pa.compute.cumulative_sum(pa.compute.list_value_length(col)).to_pylist()]
+    flat = list(zip(*(part.to_pylist() for part in col.flatten().flatten()), strict=True))
+    return [flat[a:b] for a, b in zip(edge, edge[1:])]  # noqa: B905
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 200):
+            batch = whole.slice(at, 200)
+            gone = [shared_blocks(theirs, ours) for ours, theirs in zip(_rows(batch.column(2)), _rows(batch.column(3)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))],
+                                             names=["doc_id", "text_hash", "gone"])
+
+
+def windows(lines: list[tuple], least: int) -> list[tuple[int, list[int]]]:
+    """(key, line numbers) of each long line."""
+    return [(int.from_bytes(x[1][:8], "big", signed=True), [x[0]]) for x in lines if x[2]]
+
+
+def _keys(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 200):
+            batch = whole.slice(at, 200)
+            found = [windows(x, least) for x in _rows(batch.column(2))]
+            which = pa.array([k for k, x in enumerate(found) for _ in x], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(which), batch.column(1).take(which), pa.array([k for x in found for k, _ in x], pa.int64()),
+                 pa.array([p for x in found for _, p in x], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "key", "at"])
+
+
 def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text_hash, gone (line numbers, from 0) for documents that lose lines."""
     ship_package(documents.sparkSession)
@@ -111,30 +145,46 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
                      (F.size(F.split(F.trim("raw"), r"\s+")) >= min_words).alias("long")))
     holders = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # written once: the join then has an exchange of its own on both sides, and a line in very many documents is split
-    holders = cut(holders.filter("first < last").select("line", "first"))
-    shared = lines.join(holders, "line")
-    docs_ = cut(shared.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_set(F.struct("i", "line", "long"))).alias("lines"),  # a set: rows may repeat
-        F.collect_set(F.when(F.col("long") & (F.col("first") < F.col("doc_id")), F.col("first"))).alias("partners")))
-    pairs = docs_.select("doc_id", "text_hash", "lines", F.explode("partners").alias("partner"))
+    holders = cut(holders.filter("first < last").select("line"))
+    docs_ = cut(lines.join(holders, "line").groupBy("doc_id", "text_hash").agg(
+        F.sort_array(F.collect_set(F.struct("i", "line", "long"))).alias("lines")))  # a set: rows may repeat
     earlier = docs_.select(F.col("doc_id").alias("partner"), F.col("lines").alias("theirs"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(col: pa.ListArray) -> list[list[tuple]]:
-            edge = [0, *pa.compute.cumulative_sum(pa.compute.list_value_length(col)).to_pylist()]
-            flat = list(zip(*(part.to_pylist() for part in col.flatten().flatten()), strict=True))
-            return [flat[a:b] for a, b in zip(edge, edge[1:])]  # noqa: B905
-
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
-                gone = [shared_blocks(theirs, ours) for ours, theirs in zip(rows(batch.column(2)), rows(batch.column(3)), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))],
-                                                 names=["doc_id", "text_hash", "gone"])
-
-    aligned = pairs.join(earlier, "partner").select("doc_id", "text_hash", "lines", "theirs").mapInArrow(
-        run, "doc_id long, text_hash long, gone array<int>")
-    return (aligned.select("doc_id", "text_hash", F.explode("gone").alias("i"))
+    def align(pairs: DataFrame) -> DataFrame:
+        both = (docs_.join(pairs.select("doc_id", "text_hash", "partner").distinct(), ["doc_id", "text_hash"])
+                .join(earlier, "partner").select("doc_id", "text_hash", "lines", "theirs"))
+        return cut(both.mapInArrow(_aligned, "doc_id long, text_hash long, gone array<int>").filter(F.size("gone") > 0))
+
+    def staying(asked: DataFrame, gone: DataFrame) -> DataFrame:
+        """Those of ``asked`` that still have a line, written once."""
+        gone = gone.groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        return cut(asked.join(gone, ["doc_id", "text_hash"], "left")
+                   .filter(F.col("gone").isNull() | (F.size(F.array_except("at", "gone")) > 0)).drop("gone"))
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _keys(batches, min_words)
+
+    keys = docs_.select("doc_id", "text_hash", "lines").mapInArrow(keys_of, "doc_id long, text_hash long, key long, at array<int>")
+    firsts = keys.groupBy("key").agg(F.min("doc_id").alias("partner"), F.max("doc_id").alias("last"))
+    firsts = cut(firsts.filter("partner < last").select("key", "partner"))
+    asked = keys.join(firsts, "key").filter("partner < doc_id")
+    gone = align(asked)
+    left = staying(asked, gone)
+    # holders of the keys that stay, and what was tried of them
+    others = keys.select("key", F.col("doc_id").alias("holder")).join(left.select("key").distinct(), "key", "left_semi")
+    others = cut(others.repartition("key", "holder").distinct())  # dealt by both, so that a key in very many documents is spread
+    for _ in range(ROUNDS):
+        if left.isEmpty():
+            break
+        tried = left.groupBy("key").agg(F.first("partner").alias("partner"))  # the same in all documents
+        following = others.join(tried, "key").filter("holder > partner").groupBy("key").agg(F.min("holder").alias("partner"))
+        asked = left.drop("partner").join(following, "key").filter("partner < doc_id")
+        more = align(asked)
+        left, gone = staying(asked, more), gone.unionByName(more)
+    if not left.isEmpty():
+        rest = left.join(others, "key").filter("holder > partner and holder < doc_id")
+        gone = gone.unionByName(align(rest.select("doc_id", "text_hash", F.col("holder").alias("partner"))))
+    return (gone.select("doc_id", "text_hash", F.explode("gone").alias("i"))
             .groupBy("doc_id", "text_hash").agg(F.collect_set("i").alias("gone")))
 
 

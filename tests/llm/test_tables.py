@@ -166,6 +166,40 @@ def test_line_dedup_of_a_line_in_very_many_documents(spark):
     assert got[0].startswith(common) and all(common not in got[i] for i in range(1, 400))
 
 
+def all_holders_line_dedup(rows, sizes, least):
+    """Every document aligned with every earlier one, whole: (doc_id, text, number of lines gone)."""
+    held = {}
+    for i, text in rows:
+        for x in text.split("\n"):
+            if x.strip(" "):
+                held.setdefault(x, set()).add(i)
+
+    def shared(text):
+        lines = [(k, x) for k, x in enumerate(text.split("\n")) if x.strip(" ")]
+        return [(o, x, sizes(x)) for o, (_, x) in enumerate(lines) if len(held[x]) > 1], [k for k, _ in lines]
+    cuts = [(i, text, *shared(text)) for i, text in rows]
+    out = []
+    for i, text, ours, place in cuts:
+        gone = {place[o] for j, _, theirs, _ in cuts if j < i for o in linededup.shared_blocks(theirs, ours)}
+        out.append((i, "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)))
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_line_dedup_tries_all_earlier_holders(spark, monkeypatch, rounds):
+    monkeypatch.setattr(linededup, "ROUNDS", rounds)
+    a, b, c = ("line one of the common ones here", "line two of the common ones here", "line three of the common ones here")
+    # the second line crosses in the first holder of both, and goes with a later one
+    rows = [(1, f"{a}\n{b}"), (2, f"{c}\n{b}\n{a}"), (3, f"{b}\nx\n{a}\ny\n{c}"), (4, f"{b}\n{a}"), (5, f"{c}\nz\n{a}\nz\n{b}")]
+    rng = random.Random(8)
+    for i in range(6, 60):
+        rows.append((i, "\n".join(rng.choice((a, b, c, f"own line {i} {rng.random()} of this one")) for _ in range(rng.randint(1, 6)))))
+    got = linededup.dedup_lines(spark.createDataFrame([(*r, "", "", "") for r in rows], DOCS))
+    want = all_holders_line_dedup(rows, lambda x: len(x.split()) >= 5, 1)
+    assert sorted(map(str, want)) == sorted(str((r["doc_id"], r["text"], r["n_deleted"])) for r in got.collect())
+    assert sum(n for *_, n in want) > sum(n for *_, n in plain_line_dedup(rows))
+
+
 # vector search ------------------------------------------------------------------------------------------------------
 
 def vector_rows(n=400, dim=12, seed=0):
