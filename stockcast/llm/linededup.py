@@ -2,23 +2,28 @@
 
 Lines are compared by their MD5. A line that only one document holds is
 dropped first. The result is that of aligning every document with each earlier
-holder of each of its shared lines of at least ``min_words`` words. Rounds reach
+holder of each of its windows of shared lines: the shortest stretches of
+consecutive lines, from each line onward and from each line back, that have
+``min_words`` words together (a line that has them alone is its own window).
+Any block of that size holds a window around each of its lines. Rounds reach
 it without all those pairs: the first round pairs every later holder with the
-line's first holder (smallest doc_id), the next ones pair what stays with the
-line's next holders, and the last one with all that are left. A line that went
-is never asked again, so pairs are linear in the line's occurrences but for the
+window's first holder (smallest doc_id), the next ones pair what stays with its
+next holders, and the last one with all that are left. A window that went is
+never asked again, so pairs are linear in the occurrences but for the
 few that stay in every alignment.
 
 Each pair is aligned by patience diff: lines that occur once on both sides are
 put in a longest increasing order, the stretches between two of them are
 aligned in the same way, and equal lines at the ends of a stretch extend the
-match. A run of aligned lines that is contiguous in both documents and holds a
-line of at least ``min_words`` words is deleted from the later document.
+match. A run of aligned lines that is contiguous in both documents (blank lines
+aside) and has at least ``min_words`` words together is deleted from the later
+document. Two characters of a script without blanks count as a word, and so do
+20 characters of any text whose words are longer.
 
 Defined results: null text stays null; a null doc_id has no place in the order,
 so that row neither loses lines nor takes any; rows that repeat a doc_id are
 never aligned with each other, and rows with the same doc_id and text come out
-alike; shorter common lines go only as part of a longer run; an empty table
+alike; common runs of fewer words stay; an empty table
 gives no rows; other columns of ``documents`` are returned as they are,
 whatever their names.
 """
@@ -28,15 +33,18 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import md5
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.llm.common import cut, ship_package
 
 MIN_WORDS = 5
+#: Scripts that put no blanks between words.
+DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 ROUNDS = 3  # next holders tried one by one before all that are left
 
 
@@ -87,20 +95,27 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def shared_blocks(earlier: list[tuple], later: list[tuple]) -> list[int]:
-    """Line numbers to delete from ``later``; both are (number, line, long enough) of shared lines in order."""
+def shared_blocks(earlier: list[tuple], later: list[tuple], least: int = 1) -> list[int]:
+    """Numbers to delete from ``later``; both are (number, line, size) of shared lines in order."""
     gone: list[int] = []
     run: list[int] = []
-    enough, last = False, None
+    size, last = 0, None
     for i, j in patience([x[1] for x in earlier], [x[1] for x in later]):
         at = (earlier[i][0], later[j][0])
         if last is None or at != (last[0] + 1, last[1] + 1):
-            gone += run if enough else []
-            run, enough = [], False
+            gone += run if size >= least else []
+            run, size = [], 0
         run.append(at[1])
-        enough |= later[j][2]
+        size += later[j][2]
         last = at
-    return gone + (run if enough else [])
+    return gone + (run if size >= least else [])
+
+
+def words(line: Column) -> Column:
+    """Size of a line in words."""
+    plain = F.size(F.split(F.trim(line), r"\s+"))
+    dense = F.when(F.length(line) == F.octet_length(line), 0).otherwise(F.length(F.regexp_replace(line, f"[^{DENSE}]", "")))
+    return F.greatest(plain + F.floor(dense / 2).cast("int"), F.floor(F.length(line) / 20).cast("int"))
 
 
 def _rows(col: pa.ListArray) -> list[list[tuple]]:
@@ -109,18 +124,31 @@ def _rows(col: pa.ListArray) -> list[list[tuple]]:
     return [flat[a:b] for a, b in zip(edge, edge[1:])]  # noqa: B905
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _aligned(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 200):
             batch = whole.slice(at, 200)
-            gone = [shared_blocks(theirs, ours) for ours, theirs in zip(_rows(batch.column(2)), _rows(batch.column(3)), strict=True)]
+            gone = []
+            for ours, theirs in zip(_rows(batch.column(2)), _rows(batch.column(3)), strict=True):
+                place = {x[0]: x[3] for x in ours}
+                gone.append([place[x] for x in shared_blocks(theirs, ours, least)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))],
                                              names=["doc_id", "text_hash", "gone"])
 
 
 def windows(lines: list[tuple], least: int) -> list[tuple[int, list[int]]]:
-    """(key, line numbers) of each long line."""
-    return [(int.from_bytes(x[1][:8], "big", signed=True), [x[0]]) for x in lines if x[2]]
+    """(key, line numbers) of the shortest windows that start or end at each line; lines: (order, line, size, number)."""
+    found = set()
+    for at in range(len(lines)):
+        for step in (1, -1):
+            size, k = lines[at][2], at
+            while size < least and 0 <= k + step < len(lines) and lines[k + step][0] == lines[k][0] + step:
+                k += step
+                size += lines[k][2]
+            if size >= least:
+                found.add((min(at, k), max(at, k)))
+    return [(int.from_bytes((lines[a][1] if a == b else md5(b"".join(x[1] for x in lines[a:b + 1])).digest())[:8], "big", signed=True),
+             [x[3] for x in lines[a:b + 1]]) for a, b in sorted(found)]
 
 
 def _keys(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -139,21 +167,22 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     ship_package(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = (docs.filter("doc_id is not null and text is not null")
-             .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("i", "raw"))
-             .filter(F.trim("raw") != "")
-             .select("doc_id", "text_hash", "i", F.unhex(F.md5("raw")).alias("line"),
-                     (F.size(F.split(F.trim("raw"), r"\s+")) >= min_words).alias("long")))
+             .select("doc_id", F.xxhash64("text").alias("text_hash"),
+                     F.posexplode(F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("raw"))),
+                                           lambda x: F.trim(x["raw"]) != "")).alias("nth", "at"))
+             .select("doc_id", "text_hash", "nth", F.col("at.i").alias("i"), F.unhex(F.md5("at.raw")).alias("line"),
+                     words(F.col("at.raw")).alias("size")))
     holders = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # written once: the join then has an exchange of its own on both sides, and a line in very many documents is split
     holders = cut(holders.filter("first < last").select("line"))
     docs_ = cut(lines.join(holders, "line").groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_set(F.struct("i", "line", "long"))).alias("lines")))  # a set: rows may repeat
+        F.sort_array(F.collect_set(F.struct("nth", "line", "size", "i"))).alias("lines")))  # a set: rows may repeat
     earlier = docs_.select(F.col("doc_id").alias("partner"), F.col("lines").alias("theirs"))
 
     def align(pairs: DataFrame) -> DataFrame:
         both = (docs_.join(pairs.select("doc_id", "text_hash", "partner").distinct(), ["doc_id", "text_hash"])
                 .join(earlier, "partner").select("doc_id", "text_hash", "lines", "theirs"))
-        return cut(both.mapInArrow(_aligned, "doc_id long, text_hash long, gone array<int>").filter(F.size("gone") > 0))
+        return cut(both.mapInArrow(aligned, "doc_id long, text_hash long, gone array<int>").filter(F.size("gone") > 0))
 
     def staying(asked: DataFrame, gone: DataFrame) -> DataFrame:
         """Those of ``asked`` that still have a line, written once."""
@@ -161,6 +190,9 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
         return cut(asked.join(gone, ["doc_id", "text_hash"], "left")
                    .filter(F.col("gone").isNull() | (F.size(F.array_except("at", "gone")) > 0)).drop("gone"))
 
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _aligned(batches, min_words)
+
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _keys(batches, min_words)
 

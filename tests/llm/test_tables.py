@@ -180,7 +180,7 @@ def all_holders_line_dedup(rows, sizes, least):
     cuts = [(i, text, *shared(text)) for i, text in rows]
     out = []
     for i, text, ours, place in cuts:
-        gone = {place[o] for j, _, theirs, _ in cuts if j < i for o in linededup.shared_blocks(theirs, ours)}
+        gone = {place[o] for j, _, theirs, _ in cuts if j < i for o in linededup.shared_blocks(theirs, ours, least)}
         out.append((i, "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)))
     return out
 
@@ -200,6 +200,27 @@ def test_line_dedup_tries_all_earlier_holders(spark, monkeypatch, rounds):
     assert sum(n for *_, n in want) > sum(n for *_, n in plain_line_dedup(rows))
 
 
+def test_line_dedup_of_passages_in_short_lines(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    verse = [" ".join(word() for _ in range(rng.randint(1, 4))) for _ in range(15)]
+    dense = ["春眠不覚暁処処聞啼鳥夜来風雨声", "花落知多少"]
+    blob = "x" * 150
+    own = lambda: f"{word()} {word()}"
+    texts = ["\n".join([*verse, own()]), "\n".join([own(), *verse]), "\n".join([own(), "\n\n".join(verse[3:9])]),
+             "\n".join(dense), "\n".join([own(), dense[0], own(), dense[1], own()]), blob, f"{own()}\n{blob}",
+             f"{own()}\nlist of\n{own()}", f"{own()}\nlist of", "\n".join([own(), verse[12], own()])]
+    # the tail of a block whose long line has another first holder
+    texts += ["a line that is long enough alone\nx", f"{own()}\na line that is long enough alone\nshort tail", "a line that is long enough alone\nshort tail"]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in linededup.dedup_lines(spark.createDataFrame([(*r, "", "", "") for r in rows], DOCS)).collect()}
+
+    def size(line):
+        return max(len(line.split()) + sum("\u3000" < x for x in line) // 2, len(line) // 20)
+    assert got == {i: (t, n) for i, t, n in all_holders_line_dedup(rows, size, 5)}
+    assert [got[i][1] for i in range(13)] == [0, 15, 6, 0, 1, 0, 1, 0, 0, 0, 0, 1, 2]
+
+
 # vector search ------------------------------------------------------------------------------------------------------
 
 def vector_rows(n=400, dim=12, seed=0):
