@@ -1,4 +1,4 @@
-"""The ten opN_ queries over the testdata tables, and the SQL of those that SQL can express."""
+"""The opN_ queries over the testdata tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockcast.llm import balltree, bpe, chat, langid, linededup, lsh, packing, simhash, tokencount, warc
+from stockcast.llm import balltree, bpe, chat, langid, lexical, linededup, lsh, packing, piece, resample, simhash, tokencount, warc
 from stockcast.llm.common import table
 
 
@@ -57,6 +57,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark), 0))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                             longest=1, buckets=10_000, seed=2024, least_words=20, percent=10)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_topk": op2_exact_topk,
@@ -68,10 +81,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_warc": op10_warc,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
     "op2_exact_topk": balltree.OP2_SQL,
     "op7_chat_formatting": chat.OP7_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op11_ranked_search": lexical.OP11_SQL,
+    "op12_importance_resampling": resample.OP12_SQL,
 }
