@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import xxhash
-from pyarrow import fs
+import zstandard
 
 from stockcast.llm import balltree, linededup, lsh, packing, simhash, warc
 from stockcast.llm.common import shared_dir
@@ -124,25 +124,31 @@ def test_patience_alignment():
 
 
 def plain_line_dedup(rows, min_words=5):
-    """All pairs of a document and the first holders of its lines, one by one."""
-    first, last = {}, {}
-    for i, text, *_ in rows:
-        for x in text.split("\n") if text is not None and i is not None else []:
-            if x.strip(" "):
-                first[x], last[x] = min(first.get(x, i), i), max(last.get(x, i), i)
-
-    def shared(text):
-        return [(k, x, len(x.split()) >= min_words) for k, x in enumerate(text.split("\n"))
-                if x.strip(" ") and first.get(x, 0) < last.get(x, 0)]
+    """(doc_id, text, lines gone): every run of lines that an earlier document holds too, found by comparing all pairs of places."""
+    def size(x):
+        return max(len(x.split()) + sum("\u3000" < c for c in x) // 2, len(x) // 20, 1)
+    cuts = [(i, text, [(k, x) for k, x in enumerate(text.split("\n")) if x.strip(" ")] if text is not None else []) for i, text, *_ in rows]
+    holders = {}
+    for n, (i, _, lines) in enumerate(cuts):
+        for j, (_, x) in enumerate(lines):
+            if i is not None:
+                holders.setdefault(x, []).append((i, n, j))
     out = []
-    for i, text, *_ in rows:
+    for i, text, lines in cuts:
         gone = set()
-        if text is not None and i is not None:
-            ours = shared(text)
-            for p in {first[x] for _, x, long in ours if long and first[x] < i}:
-                for j, other, *_ in rows:
-                    if j == p and other is not None:
-                        gone |= set(linededup.shared_blocks(shared(other), ours))
+        if i is not None:
+            at = {}  # a place in both: (earlier row, its place, our place) that are equal
+            for j, (_, x) in enumerate(lines):
+                for other, n, k in holders[x]:
+                    if other < i:
+                        at[n, k, j] = x
+            for n, k, j in at:
+                if (n, k - 1, j - 1) not in at:  # a run starts here
+                    m = 0
+                    while (n, k + m, j + m) in at:
+                        m += 1
+                    if sum(size(at[n, k + x, j + x]) for x in range(m)) >= min_words:
+                        gone |= {lines[j + x][0] for x in range(m)}
         out.append((i, text if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)))
     return out
 
@@ -166,28 +172,9 @@ def test_line_dedup_of_a_line_in_very_many_documents(spark):
     assert got[0].startswith(common) and all(common not in got[i] for i in range(1, 400))
 
 
-def all_holders_line_dedup(rows, sizes, least):
-    """Every document aligned with every earlier one, whole: (doc_id, text, number of lines gone)."""
-    held = {}
-    for i, text in rows:
-        for x in text.split("\n"):
-            if x.strip(" "):
-                held.setdefault(x, set()).add(i)
-
-    def shared(text):
-        lines = [(k, x) for k, x in enumerate(text.split("\n")) if x.strip(" ")]
-        return [(o, x, sizes(x)) for o, (_, x) in enumerate(lines) if len(held[x]) > 1], [k for k, _ in lines]
-    cuts = [(i, text, *shared(text)) for i, text in rows]
-    out = []
-    for i, text, ours, place in cuts:
-        gone = {place[o] for j, _, theirs, _ in cuts if j < i for o in linededup.shared_blocks(theirs, ours, least)}
-        out.append((i, "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)))
-    return out
-
-
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_line_dedup_tries_all_earlier_holders(spark, monkeypatch, rounds):
-    monkeypatch.setattr(linededup, "ROUNDS", rounds)
+@pytest.mark.parametrize("rare", [1, 32])
+def test_line_dedup_of_crossing_lines(spark, monkeypatch, rare):
+    monkeypatch.setattr(linededup, "RARE", rare)
     a, b, c = ("line one of the common ones here", "line two of the common ones here", "line three of the common ones here")
     # the second line crosses in the first holder of both, and goes with a later one
     rows = [(1, f"{a}\n{b}"), (2, f"{c}\n{b}\n{a}"), (3, f"{b}\nx\n{a}\ny\n{c}"), (4, f"{b}\n{a}"), (5, f"{c}\nz\n{a}\nz\n{b}")]
@@ -195,9 +182,9 @@ def test_line_dedup_tries_all_earlier_holders(spark, monkeypatch, rounds):
     for i in range(6, 60):
         rows.append((i, "\n".join(rng.choice((a, b, c, f"own line {i} {rng.random()} of this one")) for _ in range(rng.randint(1, 6)))))
     got = linededup.dedup_lines(spark.createDataFrame([(*r, "", "", "") for r in rows], DOCS))
-    want = all_holders_line_dedup(rows, lambda x: len(x.split()) >= 5, 1)
+    want = plain_line_dedup(rows)
     assert sorted(map(str, want)) == sorted(str((r["doc_id"], r["text"], r["n_deleted"])) for r in got.collect())
-    assert sum(n for *_, n in want) > sum(n for *_, n in plain_line_dedup(rows))
+    assert sum(n for *_, n in want) > 100
 
 
 def test_line_dedup_of_passages_in_short_lines(spark):
@@ -214,10 +201,7 @@ def test_line_dedup_of_passages_in_short_lines(spark):
     texts += ["a line that is long enough alone\nx", f"{own()}\na line that is long enough alone\nshort tail", "a line that is long enough alone\nshort tail"]
     rows = list(enumerate(texts))
     got = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in linededup.dedup_lines(spark.createDataFrame([(*r, "", "", "") for r in rows], DOCS)).collect()}
-
-    def size(line):
-        return max(len(line.split()) + sum("\u3000" < x for x in line) // 2, len(line) // 20)
-    assert got == {i: (t, n) for i, t, n in all_holders_line_dedup(rows, size, 5)}
+    assert got == {i: (t, n) for i, t, n in plain_line_dedup(rows)}
     assert [got[i][1] for i in range(13)] == [0, 15, 6, 0, 1, 0, 1, 0, 0, 0, 0, 1, 2]
 
 
@@ -364,12 +348,46 @@ def test_warc_small_payloads_are_all_responses_and_the_dictionary_leads(spark):
     manifest = warc.write_archives(df, f"{shared_dir(spark)}/warc-test-{random.random()}", 2)
     got = warc.read_archives(manifest).collect()
     assert len(got) == 202 and {r["record_type"] for r in got} == {"response"}
-    leads = []
+    assert sum(len(r) for r in raw_archives(manifest)) == 202
+
+
+def raw_archives(manifest):
+    """Records of every archive, read from the plain file: each frame is decompressed alone, from its offset."""
+    out = []
     for r in manifest.collect():
-        place, where = fs.FileSystem.from_uri(r["path"])
-        with place.open_input_stream(where) as f:
-            leads.append(int.from_bytes(f.read(4), "little"))
-    assert warc.SKIPPABLE in leads
+        data = Path(r["path"].removeprefix("file://")).read_bytes()
+        assert data[:4] == warc.SKIPPABLE.to_bytes(4, "little")
+        at = 8 + int.from_bytes(data[4:8], "little")
+        found, offsets, records = zstandard.ZstdCompressionDict(data[8:at]), [], []
+        while at < len(data):
+            offsets.append(at)
+            one = zstandard.ZstdDecompressor(dict_data=found).decompressobj()
+            one.decompress(data[at:])
+            at = len(data) - len(one.unused_data)
+        for a, b in reversed(list(zip(offsets, [*offsets[1:], len(data)], strict=True))):  # in any order
+            records.append(zstandard.ZstdDecompressor(dict_data=found).decompress(data[a:b]))
+        assert len(records) == r["records"] and all(x.startswith(b"WARC/1.1\r\n") for x in records)
+        out.append(records)
+    return out
+
+
+def test_warc_files_are_dictionary_compressed_at_every_size(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    archives = raw_archives(warc.write_archives(pages, f"{shared_dir(spark)}/warc-test-{random.random()}", 0))
+    records = [x for a in archives for x in a]
+    assert len(records) == pages.count()
+    held = {x.split(b"\r\n\r\n", 2)[2].removesuffix(b"\r\n\r\n").decode() for x in records if b"WARC-Type: response" in x}
+    assert held == {r["html"] or "" for r in pages.collect()}
+    one = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    assert [len(a) for a in raw_archives(warc.write_archives(one, f"{shared_dir(spark)}/warc-test-{random.random()}", 0))] == [1]
+
+
+def test_warc_a_payload_of_a_third_of_the_pages_is_moved_once(spark):
+    hot = "<html>" + "hot " * 2000 + "</html>"
+    df = spark.createDataFrame([(i, "u", hot if i % 3 == 0 else f"page {i}") for i in range(3000)], "page_id long, url string, html string")
+    archives = raw_archives(warc.write_archives(df.repartition(7), f"{shared_dir(spark)}/warc-test-{random.random()}", 0))
+    records = [x for a in archives for x in a]
+    assert len(records) == 3000 and sum(hot.encode() in x for x in records) == 1
 
 
 # pipeline -----------------------------------------------------------------------------------------------------------
