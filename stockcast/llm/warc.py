@@ -2,16 +2,20 @@
 
 An archive is a ``.warc.zst`` file: a leading skippable frame (magic
 0x184D2A5D) that holds a Zstandard dictionary, then one Zstandard frame per
-record. The dictionary is trained on records of that archive: the first
-``DICT_SAMPLE`` bytes of records it will hold. Archives too small to train on
-are written without one.
+record, so that a record can be read from its offset with the dictionary alone.
+The dictionary is trained on records of that archive: the first ``DICT_SAMPLE``
+bytes of records it will hold. Of archives that hold too little to train on, the
+dictionary is plain content instead, the starts of their records.
 
 Among pages with equal payloads (SHA-1 and length) the one with the largest
 page_id is a ``response``; the others are ``revisit`` records of the
 identical-payload-digest profile that refer to it and carry only the HTTP
 head. Tasks write their archives straight to shared storage under a name of
 their own attempt; only archives of successful attempts are in the manifest,
-which is checkpointed, so a lost executor costs its running tasks only.
+which is checkpointed, so a lost executor costs its running tasks only. A
+payload is moved once, under its own page's key: pages that repeat it are joined
+to its response without it, from two written tables, so that the join of a
+frequent payload is split.
 
 Defined results: null html is an empty payload; rows that repeat the
 response's page_id with the same payload are responses too; a null page_id is
@@ -88,18 +92,25 @@ class ArchiveWriter:
         self.out.write(packed)
         self.written += len(packed)
 
-    def _start(self) -> None:
+    def _dictionary(self):
+        """Trained on the held records, or cut from their starts where the trainer can't work with them."""
         import zstandard
 
-        found = None
         if self.held_bytes >= 8 * DICT_BYTES and len(self.held) >= 16:
             try:
-                found = zstandard.train_dictionary(DICT_BYTES, self.held, k=512, d=8)
-            except zstandard.ZstdError:  # too little in common to train on
-                found = None
-        if found is not None:
-            raw = found.as_bytes()
-            self.out.write(SKIPPABLE.to_bytes(4, "little") + len(raw).to_bytes(4, "little") + raw)
+                return zstandard.train_dictionary(DICT_BYTES, self.held, k=512, d=8)
+            except zstandard.ZstdError:  # nothing repeats in them
+                pass
+        each = max(64, min(DICT_BYTES, self.held_bytes // 4) // len(self.held))
+        plain = b"".join(data[:each] for data in self.held)[-DICT_BYTES:]
+        return zstandard.ZstdCompressionDict(plain, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+    def _start(self) -> None:
+        import zstandard
+
+        found = self._dictionary()
+        raw = found.as_bytes()
+        self.out.write(SKIPPABLE.to_bytes(4, "little") + len(raw).to_bytes(4, "little") + raw)
         self.compress = zstandard.ZstdCompressor(level=self.level, dict_data=found, write_checksum=True,
                                                  write_content_size=True).compress
         for data in self.held:
@@ -117,22 +128,15 @@ def read_archive(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     import zstandard
 
     lead = stream.read(8)
-    found = None
-    if int.from_bytes(lead[:4], "little") == SKIPPABLE:
-        found = zstandard.ZstdCompressionDict(stream.read(int.from_bytes(lead[4:], "little")))
-        lead = b""
+    if int.from_bytes(lead[:4], "little") != SKIPPABLE:
+        raise ValueError("the archive doesn't start with a dictionary's frame")
+    found = zstandard.ZstdCompressionDict(stream.read(int.from_bytes(lead[4:], "little")))
 
     class Source(io.RawIOBase):
-        left = lead
-
         def readable(self):
             return True
 
         def readinto(self, into):
-            if self.left:
-                n = min(len(into), len(self.left))
-                into[:n], Source.left = self.left[:n], self.left[n:]
-                return n
             got = stream.read(len(into))
             into[:len(got)] = got
             return len(got)
@@ -174,11 +178,17 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.select("*", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size"))
-    keepers = rows.groupBy("sha1", "size").agg(F.max("page_id").alias("keeper"))
-    revisits = (F.col("size") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
-    rows = rows.join(keepers, ["sha1", "size"]).select(
-        "page_id", "url", "size", "sha1", F.when(revisits, F.col("keeper")).alias("keeper"),
-        F.when(revisits, F.lit(None)).otherwise(F.col("payload")).alias("payload"))
+    repeats = F.col("size") >= least_bytes
+    heads = cut(rows.filter(repeats).drop("payload"))
+    keepers = cut(heads.groupBy("sha1", "size").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")))
+    own = keepers.select(F.col("sha1").alias("sha1_"), F.col("size").alias("size_"), "keeper")
+    same = (F.col("sha1") == F.col("sha1_")) & (F.col("size") == F.col("size_")) & F.col("page_id").eqNullSafe(F.col("keeper"))
+    responses = rows.filter(repeats).join(own, same, "left_semi").unionByName(rows.filter(~repeats))
+    revisits = heads.join(keepers.filter("n > 1"), ["sha1", "size"]).filter(~F.col("page_id").eqNullSafe(F.col("keeper")))
+    columns = ("page_id", "url", "size", "sha1")
+    nothing = F.lit(None)
+    rows = responses.select(*columns, nothing.cast("long").alias("keeper"), "payload").unionByName(
+        revisits.select(*columns, "keeper", nothing.cast("binary").alias("payload")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, root = fs.FileSystem.from_uri(folder)
@@ -196,7 +206,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
                 page_id, url, size, sha1, keeper, payload = (c[i].as_py() for c in cols)
                 if writer is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
-                    writer = ArchiveWriter(place.open_output_stream(f"{root}/{name}"))
+                    writer = ArchiveWriter(place.open_output_stream(f"{root}/{name}", compression=None))
                 writer.add(record(page_id, url, size, sha1, keeper, payload or b""))
                 if writer.written >= ARCHIVE_BYTES:
                     finish()
@@ -220,7 +230,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
             for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 place, where = fs.FileSystem.from_uri(path)
                 out, n = [], 0
-                with place.open_input_stream(where) as stream:
+                with place.open_input_stream(where, compression=None) as stream:
                     for head, block in read_archive(stream):
                         out.append(read_record(head, block))
                         n += 1
