@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from stockcast.config import PREDICT, RestockConfig
 from stockcast.functions.columns import money_sum, nan_to_null
+from stockcast.functions.materialize import materialize
+
+BROADCAST_PAIRS = 100_000  # (code, description) pairs that may be broadcast
 
 
 def by_product():
@@ -63,13 +66,43 @@ def first_description(sales: DataFrame) -> DataFrame:
     """One description per code, the earliest line (date, invoice, text) wins.
 
     Returns (StockCode, Description, n_described): Description may be NULL when
-    the earliest line has none; n_described counts non-NULL descriptions.
+    the earliest line has none; n_described counts non-NULL descriptions. The
+    lines are reduced to the earliest date per (code, description) first, in a
+    hash aggregation; invoices are compared only where several descriptions
+    share the earliest date of a code.
+    """
+    lines = sales.select(F.col("StockCode").cast("string").alias("StockCode"), "Description", "InvoiceDate", "Invoice") \
+        .where(F.col("StockCode").isNotNull())
+    pairs = materialize(lines.groupBy("StockCode", "Description").agg(
+        F.min("InvoiceDate").alias("date"), F.count("Description").alias("n"), F.count("InvoiceDate").alias("dated"),
+        F.count(F.lit(1)).alias("lines")))
+    # a missing date comes before all others
+    date = F.when(F.col("dated") == F.col("lines"), F.col("date"))
+    earliest = Window.partitionBy("StockCode")
+    pairs = pairs.withColumn("date", date).withColumn("n_described", F.sum("n").over(earliest)).withColumn(
+        "rank", F.rank().over(earliest.orderBy("date"))).where(F.col("rank") == 1)
+    pairs = pairs.withColumn("equal", F.count(F.lit(1)).over(earliest))
+    alone = pairs.where(F.col("equal") == 1).select("StockCode", "Description", "n_described")
+    several = pairs.where(F.col("equal") > 1).select(F.col("StockCode").alias("code"), F.col("Description").alias("text"), "date", "n_described")
+    undecided = several.limit(BROADCAST_PAIRS + 1).count()
+    if not undecided:
+        return alone
+    several = F.broadcast(several) if undecided <= BROADCAST_PAIRS else several
+    same = (F.col("StockCode") == F.col("code")) & F.col("Description").eqNullSafe(F.col("text")) & F.col("InvoiceDate").eqNullSafe(F.col("date"))
+    decided = lines.join(several, same).groupBy("StockCode").agg(
+        F.min_by("Description", F.struct("Invoice", "Description")).alias("Description"), F.first("n_described").alias("n_described"))
+    return alone.unionByName(decided)
+
+
+def first_description_by_place(sales: DataFrame, place: str) -> DataFrame:
+    """X4 in the order of the input: the description of the line with the smallest ``place`` per code.
+
+    Same columns as ``first_description``. The lines are reduced to the first
+    place per (code, description) in a hash aggregation.
     """
-    order = F.struct(F.col("InvoiceDate"), F.col("Invoice"), F.col("Description"))
-    return sales.where(F.col("StockCode").isNotNull()).groupBy(
-        F.col("StockCode").cast("string").alias("StockCode")
-    ).agg(F.min_by("Description", order).alias("Description"),
-          F.count("Description").alias("n_described"))
+    pairs = sales.where(F.col("StockCode").isNotNull()).groupBy(F.col("StockCode").cast("string").alias("StockCode"), "Description").agg(
+        F.min(place).alias("place"), F.count("Description").alias("n"))
+    return pairs.groupBy("StockCode").agg(F.min_by("Description", "place").alias("Description"), F.sum("n").alias("n_described"))
 
 
 def feature_rows(lagged: DataFrame, config: RestockConfig, description_pairs: DataFrame | None = None) -> DataFrame:

@@ -23,6 +23,7 @@ from stockcast.operators.features import engineer_features
 from stockcast.operators.restock import restock_order, restock_recommendations
 from stockcast.sources import quality as QU
 from stockcast.sources import sinks
+from stockcast.sources.csv_sales import PLACE, CsvSales
 
 
 @dataclass
@@ -40,8 +41,9 @@ def _checks(spark: SparkSession, source, sales: DataFrame, out_dir: str) -> None
     sinks.write_csv(QU.dataset_shape(sales), os.path.join(out_dir, "checks/shape"))
     if "Invoice" in sales.columns:
         sinks.write_csv(QU.malformed_invoices(sales), os.path.join(out_dir, "checks/malformed_invoices"))
-    if hasattr(source, "report"):
+    if isinstance(source, CsvSales):
         sinks.write_csv(source.report(), os.path.join(out_dir, "checks/read_report"))
+        sinks.write_csv(source.faults(), os.path.join(out_dir, "checks/faults"))
 
 
 def train(spark: SparkSession, source, out_dir: str, config: RestockConfig = TRAINING,
@@ -49,9 +51,11 @@ def train(spark: SparkSession, source, out_dir: str, config: RestockConfig = TRA
     """Load -> checks -> (sample) -> clean -> explore -> features -> models -> restock -> CSV."""
     sales = source.sales()
     _checks(spark, source, sales, out_dir)
+    if isinstance(source, CsvSales):  # the first description is the first in the file
+        sales = source.sales(places=True)
     if sample_size > 0:
         from stockcast.operators.sample import sample_rows
-        sales = sample_rows(sales, sample_size)
+        sales = sample_rows(sales, sample_size, cols=[c for c in sales.columns if c != PLACE])
     clean = clean_sales(sales, config)
     exploration = {
         "describe": EX.describe_sales(clean), "top_products": EX.top_products(clean),

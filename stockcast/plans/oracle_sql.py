@@ -363,6 +363,21 @@ sql("awkward_round_trip", LINES + """SELECT "Invoice", "StockCode", "Description
 sql("csv_first_description", LINES + """
 SELECT "StockCode", first("Description" ORDER BY "InvoiceDate", "Invoice" NULLS FIRST, "Description" NULLS FIRST) AS "Description",
        count("Description") AS n_described FROM lines WHERE "StockCode" IS NOT NULL GROUP BY 1""")
+sql("csv_first_in_file", LINES + """
+SELECT "StockCode", first("Description" ORDER BY md5(concat_ws('-', coalesce("Invoice", ''), "StockCode", coalesce("Description", ''),
+         CAST(CAST("Quantity" AS INTEGER) AS VARCHAR), strftime("InvoiceDate", '%Y-%m-%d')))) AS "Description",
+       count("Description") AS n_described FROM lines WHERE "StockCode" IS NOT NULL GROUP BY 1""")
+sql("csv_line_breaks", LINES + """
+SELECT "Invoice", "StockCode", CASE WHEN length("Description") % 2 = 0 THEN "Description" || chr(10) || '"x", y' || chr(10)
+  ELSE "Description" END AS "Description", "Quantity", "InvoiceDate" FROM lines""")
+sql("csv_faults", """
+WITH lines AS (SELECT CAST(l_orderkey AS VARCHAR) AS "Invoice", CAST(l_partkey AS VARCHAR) AS "StockCode", l_quantity, l_linenumber,
+  concat_ws(',', l_orderkey, l_partkey, CASE WHEN l_linenumber = 6 THEN 'two' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END,
+            CASE WHEN l_linenumber = 7 THEN 'more' END) AS raw FROM lineitem)
+SELECT 'kept' AS kind, "Invoice", "StockCode", CASE WHEN l_linenumber <> 6 THEN CAST(l_quantity AS DOUBLE) END AS "Quantity",
+  CAST(NULL AS VARCHAR) AS raw FROM lines WHERE l_linenumber <> 7
+UNION ALL SELECT 'unreadable Quantity', NULL, NULL, NULL, raw FROM lines WHERE l_linenumber = 6
+UNION ALL SELECT 'too many fields', NULL, NULL, NULL, raw FROM lines WHERE l_linenumber = 7""")
 sql("fanout_descriptions", LINES + """
 , named AS (SELECT DISTINCT "StockCode", "Description" FROM lines),
 days AS (SELECT DISTINCT "StockCode", CAST("InvoiceDate" AS DATE) AS "Date" FROM lines)

@@ -544,9 +544,51 @@ def q_csv_first_description(spark, sf):
     from stockcast.sources.csv_sales import CsvSales
     from stockcast.sources.sinks import write_sales_csv
     path = write_sales_csv(_awkward_lines(spark, sf), _shared_path(spark, "first"))
+    return CsvSales(spark, path).first_descriptions(order="date")
+
+
+def _in_given_order(spark, sf):
+    """Awkward lines in the order of a hash, which neither dates nor invoices follow."""
+    key = F.md5(F.concat_ws("-", F.coalesce("Invoice", F.lit("")), "StockCode", F.coalesce("Description", F.lit("")),
+                            F.col("Quantity").cast("int").cast("string"), F.date_format("InvoiceDate", "yyyy-MM-dd")))
+    return _awkward_lines(spark, sf).withColumn("key", key).orderBy("key").drop("key")
+
+
+@query
+def q_csv_first_in_file(spark, sf):
+    """The first description in the order of the files, which is not that of the dates."""
+    from stockcast.sources.csv_sales import CsvSales
+    from stockcast.sources.sinks import write_sales_csv
+    path = write_sales_csv(_in_given_order(spark, sf), _shared_path(spark, "in_file"))
     return CsvSales(spark, path).first_descriptions()
 
 
+@query
+def q_csv_line_breaks(spark, sf):
+    """S1 on descriptions with line breaks, quotes and delimiters inside quotes: written, and read by many tasks."""
+    from stockcast.sources.csv_sales import CsvSales
+    from stockcast.sources.sinks import write_sales_csv
+    broken = F.when(F.length("Description") % 2 == 0, F.concat("Description", F.lit('\n"x", y\n'))).otherwise(F.col("Description"))
+    path = write_sales_csv(_awkward_lines(spark, sf).withColumn("Description", broken), _shared_path(spark, "breaks"))
+    return C.with_invoice_timestamp(CsvSales(spark, path, mode="strict", multiline=True).sales())
+
+
+@query
+def q_csv_faults(spark, sf):
+    """Lines with too many fields and unreadable numbers as rows beside the kept ones, all lines together."""
+    from stockcast.sources.csv_sales import read_with_faults
+    li = source(spark, sf).table("lineitem")
+    quantity = F.when(F.col("l_linenumber") == 6, F.lit("two")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    line = F.concat_ws(",", F.col("l_orderkey"), F.col("l_partkey"), quantity, F.when(F.col("l_linenumber") == 7, F.lit("more")))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # the first line of a file
+    path = _shared_path(spark, "faults")
+    li.select(F.when(first, F.concat(F.lit("Invoice,StockCode,Quantity\n"), line)).otherwise(line)).write.text(path)
+    kept, faults = read_with_faults(spark, path)
+    return kept.select(F.lit("kept").alias("kind"), "Invoice", "StockCode", "Quantity", F.lit(None).cast("string").alias("raw")).unionByName(
+        faults.select(F.col("reason").alias("kind"), F.lit(None).cast("string").alias("Invoice"), F.lit(None).cast("string").alias("StockCode"),
+                      F.lit(None).cast("double").alias("Quantity"), "raw"))
+
+
 @query
 def q_fanout_descriptions(spark, sf):
     """J1 where codes have several descriptions: every (code, description) pair joins every day."""

@@ -148,9 +148,9 @@ def test_quoted_line_breaks_and_missing_words(spark, tmpdir_path):
     assert r.Description == "two\nlines" and r["Customer ID"] is None and r.Country is None
 
 
-def test_first_description_from_csv_goes_by_date_not_text(spark, tmpdir_path):
+def test_first_description_from_csv_by_date_goes_by_date_not_text(spark, tmpdir_path):
     p = _file(f"{tmpdir_path}/first", "a.csv", HEADER + "1,A,NEW NAME,2,02/01/11 07:45,1,1,X\n2,A,OLD NAME,2,31/12/09 07:45,1,1,X\n")
-    assert CsvSales(spark, p).first_descriptions().first().Description == "OLD NAME"
+    assert CsvSales(spark, p).first_descriptions(order="date").first().Description == "OLD NAME"
 
 
 def test_by_priority_has_no_null_folder(spark, tmpdir_path):
