@@ -39,7 +39,7 @@ from stockcast.llm.common import ship_package
 from stockcast.llm.words import some
 
 BLANK = "\u2581"
-TABLE_WORDS = 200_000
+TABLE_WORDS = 500_000
 TABLE_PAIRS = 500_000
 LONG_WORD = 64      # longer stretches are encoded each time
 SLICE = 1_000_000   # characters of a text that are hashed at once
@@ -77,7 +77,10 @@ class Pieces:
         self.shorter: dict[str, str | None] = {}  # the longest piece that starts a piece
         for p in self.ids:
             self.shorter[p] = next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), None)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.id_text = {p: str(i) for p, i in self.ids.items()}
+        self.text = {p: self.surface[i] for p, i in self.ids.items()}
+        self.fits: dict[str, dict[str, bool]] = {}  # piece -> piece after it -> whether they are compatible
+        self.pairs = 0                              # number of those
         self.table: dict[str, tuple[int, str, str]] = {}
 
     def stays(self, left: str, right: str) -> bool:
@@ -99,11 +102,13 @@ class Pieces:
         return parts == [left, right]
 
     def compatible(self, left: str, right: str) -> bool:
-        found = self.pairs.get((left, right))
+        found = self.fits.get(left, {}).get(right)
         if found is None:
-            if len(self.pairs) >= TABLE_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.stays(left, right)
+            if self.pairs >= TABLE_PAIRS:
+                self.fits.clear()
+                self.pairs = 0
+            found = self.fits.setdefault(left, {})[right] = self.stays(left, right)
+            self.pairs += 1
         return found
 
     def pieces(self, word: str) -> list[str]:
@@ -113,28 +118,30 @@ class Pieces:
         for last, p in self.machine.iter(word):  # in the order of their ends: the longest at a place comes last
             longest[last - len(p) + 1] = p
         out: list[str] = []
-        failed = bytearray(size // 8 + 1)
-        pairs, shorter = self.pairs, self.shorter
-        at, p = 0, longest[0]
-        while at < size:
+        failed, stepped = bytearray(size // 8 + 1), False  # a bit per place, and whether one is set
+        fits, shorter, none = self.fits, self.shorter, {}
+        at, p, before = 0, longest[0], None
+        while True:
             end = at + len(p)
-            fits = not failed[end >> 3] >> (end & 7) & 1
-            if fits and out:
-                fits = pairs.get((out[-1], p))
-                if fits is None:
-                    fits = self.compatible(out[-1], p)
-            if fits:
+            if before is None:
+                fit = True
+            else:
+                fit = fits.get(before, none).get(p)
+                if fit is None:
+                    fit = self.compatible(before, p)
+            if fit and not (stepped and failed[end >> 3] >> (end & 7) & 1):
                 out.append(p)
-                at = end
-                if at < size:
-                    p = longest[at]
+                if end == size:
+                    return out
+                at, before, p = end, p, longest[end]
                 continue
             p = shorter.get(p)
             if p is None:  # nothing fits here: never come back, shorten the piece before
                 failed[at >> 3] |= 1 << (at & 7)
+                stepped = True
                 p = out.pop()
+                before = out[-1] if out else None
                 at -= len(p)
-        return out
 
     def word_ids(self, word: str) -> list[int]:
         out: list[int] = []
@@ -159,8 +166,12 @@ class Pieces:
 
     def coded(self, word: str) -> tuple[int, str, str]:
         """(number of ids, ids as text, decoded text) of a stretch."""
-        ids = self.word_ids(word)
-        out = (len(ids), ",".join(map(str, ids)), self.text_of(ids))
+        found = self.pieces(word)
+        try:
+            out = (len(found), ",".join([self.id_text[p] for p in found]), "".join([self.text[p] for p in found]))
+        except KeyError:  # a character without a piece
+            ids = self.word_ids(word)
+            out = (len(ids), ",".join(map(str, ids)), self.text_of(ids))
         if len(word) <= LONG_WORD:
             if len(self.table) >= TABLE_WORDS:
                 self.table.clear()

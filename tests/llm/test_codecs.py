@@ -141,7 +141,7 @@ def test_piece_tables_are_bounded(monkeypatch):
     model, lib, rng = piece.Pieces(PIECE), sentencepiece.SentencePieceProcessor(model_file=PIECE), random.Random(7)
     text = " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 8))) for _ in range(2000)) + " " + "x" * 100
     assert model.digests(text) == piece_digests(lib, text)
-    assert len(model.table) <= 50 and len(model.pairs) <= 50 and "▁" + "x" * 100 not in model.table
+    assert len(model.table) <= 50 and model.pairs <= 50 and sum(map(len, model.fits.values())) <= 50 and "▁" + "x" * 100 not in model.table
 
 
 def test_piece_query_rows(spark):
