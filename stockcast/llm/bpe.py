@@ -14,7 +14,14 @@ merge can disturb is::
 computed in rank order from the merge list. Tokens that end at least
 ``max(reach)`` bytes before the buffer's end are final; they are emitted, and
 encoding goes on from the last emitted boundary, which no merge crosses. The
-buffer never holds more than a window and the lookahead.
+buffer never holds more than a window and the lookahead. No merge crosses the
+end of a word either, so all its tokens are final there.
+
+A text is read in pieces of about ``PIECE`` characters that end where the
+pre-tokenizer ends a word whatever follows; ids and decoded text are hashed as
+they come, so memory does not grow with the text (a word without any such place
+is fed to the transducer whole). Words of plain text that a worker has met
+before are looked up in a bounded table instead of being fed again.
 
 Decoding feeds the bytes of each id to a UTF-8 state machine that holds at
 most an unfinished character; invalid bytes become U+FFFD.
@@ -35,6 +42,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +50,11 @@ from stockcast.llm.common import ship_package
 from stockcast.llm.words import BatchEncoder, Vocabulary, library, some, spaced_words
 
 WINDOW = 256
-DECODE_IDS = 65_536
+PIECE = 65_536       # characters read at once
+GROUP = 1_000_000    # characters encoded at once, of one text or several
+#: Places where a word ends whatever follows: before a single blank, and where the class of characters changes
+#: (but for an apostrophe and the letters after it).
+WORD_END = regex.compile(r"(?<=\S)(?=\s\S)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])")
 CODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -156,28 +168,67 @@ class Codec:
         self.merges = Merges(vocab)
         self.added = vocab.added
         self.token_bytes = {i: t for t, i in vocab.ids.items()} | {i: t.encode() for t, i in vocab.added.items()}
-        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
-            if self.added else None
+        self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.cut = library(path).pre_tokenizer.pre_tokenize_str
         self.batch = BatchEncoder(spaced_words, self.word_ids, self.text_ids, self.added)
 
     def word_ids(self, word: bytes) -> list[int]:
-        if len(word) <= WINDOW:
-            return self.merges.merge(word)
         stream = Encoder(self.merges)
         return stream.feed(word) + stream.finish()
 
+    def pieces(self, text: str) -> Iterator[str]:
+        """The text in pieces that are encoded independently."""
+        at = 0
+        while at < len(text):
+            special = self.special.search(text, at) if self.special else None
+            end = special.start() if special else len(text)
+            while at < end:
+                found = WORD_END.search(text, at + PIECE, end) if at + PIECE < end else None
+                to = found.start() if found else end
+                yield text[at:to]
+                at = to
+            if special:
+                yield special.group()
+                at = special.end()
+
     def text_ids(self, text: str) -> list[int]:
         """Ids of any text: added strings first, then the file's own pre-tokenizer, then the transducer."""
         out: list[int] = []
-        for part in self.split.split(text) if self.split else [text]:
+        for part in self.pieces(text):
             if part in self.added:
                 out.append(self.added[part])
-            elif part:
+            else:
                 for _, (a, b) in self.cut(part):
                     out += self.word_ids(part[a:b].encode())
         return out
 
+    def coded(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text) of each text, streamed."""
+        total = [0] * len(texts)
+        ids_hash, text_hash = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
+        back = [Decoder(self.token_bytes) for _ in texts]
+        held: list[tuple[int, str]] = []
+        size = 0
+
+        def flush() -> None:
+            for (i, _), ids in zip(held, self.batch.ids([p for _, p in held]), strict=True):
+                total[i] += len(ids)
+                ids_hash[i].update(ids.astype("<u4").tobytes())
+                text_hash[i].update(back[i].feed(ids.tolist()).encode())
+            held.clear()
+
+        for i, text in enumerate(texts):
+            for piece in self.pieces(text):
+                held.append((i, piece))
+                size += len(piece)
+                if size >= GROUP:
+                    flush()
+                    size = 0
+        flush()
+        for h, b in zip(text_hash, back, strict=True):
+            h.update(b.finish().encode())
+        return [(n, i.hexdigest(), t.hexdigest()) for n, i, t in zip(total, ids_hash, text_hash, strict=True)]
+
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -193,15 +244,8 @@ def encode_and_decode(documents: DataFrame, path: str) -> DataFrame:
         bpe = codec(path)
         for batch in batches:
             for part in some(batch):
-                rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), bpe.batch.ids([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    back, text = Decoder(bpe.token_bytes), hashlib.sha256()
-                    for at in range(0, len(ids), DECODE_IDS):
-                        text.update(back.feed(ids[at:at + DECODE_IDS].tolist()).encode())
-                    text.update(back.finish().encode())
-                    rows.append((doc, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), text.hexdigest()))
-                types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                n, ids, text = zip(*bpe.coded([t or "" for t in part.column(1).to_pylist()]), strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(text)],
                                                  names=[f.split()[0] for f in CODED.split(", ")])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
