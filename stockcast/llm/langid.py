@@ -11,15 +11,17 @@ Training uses a bounded sample of labelled rows: per language the
 up to ``SEGMENTS_PER_DOC`` segments spread evenly over its whole text. Rows
 whose crc32(doc_id as text) mod 4 is 2 are held out and never learned from.
 
-Defined results: null text, or text without a letter, gives ``und`` and score
-0; so does every text if no labelled row can be learned from; a null doc_id is
-not held out but is not learned from either; repeated rows are predicted each;
-an empty table gives no rows; other columns are ignored.
+Defined results: null text, or text without a letter (Unicode categories L),
+gives ``und`` and score 0; so does every text if no labelled row can be learned
+from, and then the filter keeps every text with a letter; equally probable
+languages give the first by name; texts of any length are read whole; a null
+doc_id is not held out but is not learned from either; repeated rows are
+predicted each; an empty table gives no rows; more than ``MAX_LANGUAGES`` values
+of lang raise an error; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +42,15 @@ STEPS = 256
 BATCH = 256
 AT_ONCE = 2048
 UNKNOWN = "und"
-HAS_LETTER = re.compile(r"[^\W\d_]")
+MAX_LANGUAGES = 256  # the network has one output each, and each brings its sample to the driver
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is in one of the letter categories, as ``\\p{L}`` has it."""
+    return any(map(str.isalpha, text))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
@@ -232,7 +239,7 @@ def predict(model: dict, labeller: Labeller, texts: list[str | None]) -> tuple[l
     lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if not model["languages"]:
         return lang, score
-    which = [i for i, t in enumerate(texts) if t and HAS_LETTER.search(t)]
+    which = [i for i, t in enumerate(texts) if t and has_letter(t)]
     if not which:
         return lang, score
     data = [texts[i].encode() for i in which]
@@ -263,7 +270,9 @@ def training_rows(documents: DataFrame) -> list[tuple[bytes, str]]:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                             F.col("lang").cast("string").alias("lang"), F.xxhash64(F.col("doc_id").cast("long")).alias("hash"))
     labelled = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    # one row per language
+    if labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"lang has more than {MAX_LANGUAGES} values: not a column of languages")
+    # one row per language, of which there are at most MAX_LANGUAGES
     counts = labelled.groupBy("lang").agg((MARGIN * DOCS_PER_LANGUAGE / F.count("*")).alias("share"))
     place = F.col("hash") / float(2 ** 64) + 0.5  # from 0 to 1
     near = (labelled.join(F.broadcast(counts), "lang").filter(place <= F.col("share"))
@@ -300,8 +309,13 @@ def identify(documents: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame, model: dict, least: float) -> DataFrame:
-    """Rows of ``documents`` (all columns) whose language is known with a score of ``least`` or more."""
+    """Rows of ``documents`` (all columns) whose language is known with a score of ``least`` or more.
+
+    A model that has learned no language can reject none: then all rows whose text has a letter stay.
+    """
     ship_package(documents.sparkSession)
+    if not model["languages"]:
+        return documents.filter(F.col("text").cast("string").rlike(r"\p{L}"))
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

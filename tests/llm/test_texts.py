@@ -255,3 +255,21 @@ def test_language_id_without_labels(spark):
     model = langid.model_of(docs)
     assert {r["lang_pred"] for r in langid.identify(docs, model).collect()} == {"und"}
     assert langid.identify(docs.filter("false"), langid.model_of(docs.filter("false"))).count() == 0
+    assert [r["doc_id"] for r in langid.keep_identified(docs, model, 0.4).collect()] == [1]
+    assert langid.keep_identified(docs.filter("false"), langid.model_of(docs.filter("false")), 0.4).count() == 0
+
+
+def test_language_id_of_signs_that_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, "a b c " * 20, lang) for i, lang in enumerate(["en", "fr"] * 20)], "doc_id long, text string, lang string")
+    model = langid.model_of(docs)
+    signs = ["½ ²", "Ⅷ", "①②", "1 ٣", "\u0301", "ª", "日", "ʰ", "ǅ"]
+    odd = spark.createDataFrame(list(enumerate(signs)), "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(odd, model).collect()}
+    letter = {r["doc_id"] for r in odd.filter(odd.text.rlike(r"\p{L}")).collect()}
+    assert {i for i, lang in got.items() if lang != "und"} == letter == {5, 6, 7, 8}
+
+
+def test_language_id_of_a_column_that_holds_no_languages(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "'some text' as text", "cast(id as string) as lang")
+    with pytest.raises(ValueError, match="more than 256"):
+        langid.model_of(docs)
