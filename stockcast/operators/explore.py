@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.functions.columns import money_sum, nan_to_null
+from stockcast.functions.exact import pieces, total
 from stockcast.functions.materialize import materialize
 from stockcast.functions.quantiles import quantiles_of_counts, value_counts
 
@@ -41,11 +42,12 @@ def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
         for c in columns])).alias("kv")).select("kv.column", "kv.value")
     counts = materialize(value_counts(long, "value", ["column"]), "checkpoint")
     x, c = F.col("x"), F.col("c")
-    totals = counts.groupBy("column").agg(F.sum("c").alias("count"), (F.sum(x * c) / F.sum("c")).alias("mean"),
-                                          F.min("x").alias("min"), F.max("x").alias("max"))
+    sums = counts.groupBy("column").agg(F.sum("c").alias("count"), *pieces("x", x * c, wide=True),
+                                        F.min("x").alias("min"), F.max("x").alias("max"))
+    totals = sums.select("column", "count", (total("x") / F.col("count")).alias("mean"), "min", "max")
     # one row per described column, so a broadcast of fixed size
     spread = counts.join(F.broadcast(totals.select("column", "mean")), "column").groupBy("column").agg(
-        F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("ss"))
+        *pieces("ss", c * (x - F.col("mean")) * (x - F.col("mean")), wide=True)).select("column", total("ss").alias("ss"))
     quart = quantiles_of_counts(counts, [0.25, 0.5, 0.75], ["column"], pandas_scaled=True, prefix="p")
     std = F.sqrt(F.try_divide(F.col("ss"), F.col("count") - 1))
     return totals.join(spread, "column").join(quart.drop("n"), "column").select(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stockcast.config import PREDICT, RestockConfig
 from stockcast.functions.columns import money_sum, nan_to_null
+from stockcast.functions.exact import mean, pieces, total
 from stockcast.functions.materialize import materialize
 
 BROADCAST_PAIRS = 100_000  # (code, description) pairs that may be broadcast
@@ -30,13 +31,12 @@ def product_daily(clean: DataFrame) -> DataFrame:
     keyed = clean.where(F.col("StockCode").isNotNull() & F.col("InvoiceDate").isNotNull())
     daily = keyed.groupBy(F.col("StockCode").cast("string").alias("StockCode"),
                           F.to_date("InvoiceDate").alias("Date")).agg(
-        F.coalesce(F.sum(nan_to_null("Quantity")), F.lit(0.0)).alias("Quantity"),
-        money_sum("TotalPrice").alias("TotalPrice"),
-        F.avg(nan_to_null("Price")).alias("Price"),
+        *pieces("Quantity", nan_to_null("Quantity")), money_sum("TotalPrice").alias("TotalPrice"), *pieces("Price", nan_to_null("Price")),
     )
     return daily.select(
         "StockCode", F.year("Date").alias("Year"), F.month("Date").alias("Month"),
-        F.dayofmonth("Date").alias("Day"), "Quantity", "TotalPrice", "Price", "Date",
+        F.dayofmonth("Date").alias("Day"), F.coalesce(total("Quantity"), F.lit(0.0)).alias("Quantity"), "TotalPrice",
+        mean("Price").alias("Price"), "Date",
         F.weekday("Date").alias("DayOfWeek"),
     )
 
@@ -51,6 +51,20 @@ def with_lag_and_rolling(daily: DataFrame, rolling_excludes_current: bool = Fals
     })
 
 
+#: How often a feature row counts: one per description of its code.
+COPIES = "Copies"
+
+
+def with_copies(features: DataFrame, pairs: DataFrame) -> DataFrame:
+    """J1 as a weight: every row once, with the number of (StockCode, Description) pairs of its code.
+
+    The table that ``attach_descriptions`` gives holds each row so many times;
+    counts, sums, spread and fits that read ``COPIES`` equal theirs.
+    """
+    copies = pairs.groupBy("StockCode").agg(F.count(F.lit(1)).alias(COPIES))
+    return features.join(copies, "StockCode", "left").withColumn(COPIES, F.coalesce(COPIES, F.lit(1).cast("long")))
+
+
 def attach_descriptions(features: DataFrame, pairs: DataFrame) -> DataFrame:
     """Left join every (StockCode, Description) pair of the code (fan-out)."""
     return features.join(pairs.select("StockCode", "Description"), "StockCode", "left")
@@ -105,14 +119,17 @@ def first_description_by_place(sales: DataFrame, place: str) -> DataFrame:
     return pairs.groupBy("StockCode").agg(F.min_by("Description", "place").alias("Description"), F.sum("n").alias("n_described"))
 
 
-def feature_rows(lagged: DataFrame, config: RestockConfig, description_pairs: DataFrame | None = None) -> DataFrame:
+def feature_rows(lagged: DataFrame, config: RestockConfig, description_pairs: DataFrame | None = None,
+                 fan_out: bool = True) -> DataFrame:
     """P9 (and J1) on the lag table: the rows and columns of one variant.
 
-    training: fan-out join of description pairs, drop rows without a lag.
+    training: fan-out join of description pairs (or their number as a weight,
+              ``fan_out=False``), drop rows without a lag.
     predict:  no descriptions, drop rows with any NULL.
     """
     if config.descriptions == "fanout":
-        return attach_descriptions(lagged, description_pairs).where(F.col("Lag1_Quantity").isNotNull())
+        attach = attach_descriptions if fan_out else with_copies
+        return attach(lagged, description_pairs).where(F.col("Lag1_Quantity").isNotNull())
     feats = lagged.drop("DayOfWeek")
     if config.drop_any_null:
         return feats.dropna(how="any")
@@ -121,9 +138,9 @@ def feature_rows(lagged: DataFrame, config: RestockConfig, description_pairs: Da
 
 def engineer_features(clean: DataFrame, config: RestockConfig = PREDICT,
                       description_pairs: DataFrame | None = None,
-                      rolling_excludes_current: bool = False) -> DataFrame:
+                      rolling_excludes_current: bool = False, fan_out: bool = True) -> DataFrame:
     """Daily features for either variant (see ``feature_rows``)."""
     pairs = description_pairs
     if config.descriptions == "fanout" and pairs is None:
         pairs = distinct_descriptions(clean)
-    return feature_rows(with_lag_and_rolling(product_daily(clean), rolling_excludes_current), config, pairs)
+    return feature_rows(with_lag_and_rolling(product_daily(clean), rolling_excludes_current), config, pairs, fan_out)

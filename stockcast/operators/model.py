@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from stockcast.config import FEATURE_COLUMNS, SEED, TARGET_COLUMN
 from stockcast.functions.materialize import materialize
+from stockcast.operators.features import COPIES
 from stockcast.operators.sample import train_test_split
 
 MODEL_ORDER = ("Linear Regression", "Random Forest", "Gradient Boosting")
@@ -71,10 +72,11 @@ def _to_mb(text: str) -> float:
     return float(t[:-1]) * units[t[-1]] if t[-1] in units else float(t)  # bare number: MiB
 
 
-def estimators(s: ModelSettings = ModelSettings(), spark: SparkSession | None = None) -> dict:
+def estimators(s: ModelSettings = ModelSettings(), spark: SparkSession | None = None, weight: str | None = None) -> dict:
+    """M2-M4; ``weight``: the column that says how often a row counts."""
     label = TARGET_COLUMN
     mem = s.tree_memory_mb or tree_memory_mb(spark or SparkSession.getActiveSession())
-    return {
+    out = {
         "Linear Regression": LinearRegression(featuresCol="features", labelCol=label, solver="normal",
                                               regParam=0.0, fitIntercept=True),
         "Random Forest": RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=s.rf_trees,
@@ -85,16 +87,26 @@ def estimators(s: ModelSettings = ModelSettings(), spark: SparkSession | None =
                                           maxDepth=s.gbt_depth, stepSize=s.gbt_step, seed=s.seed,
                                           cacheNodeIds=s.cache_node_ids, maxMemoryInMB=mem, maxBins=s.max_bins),
     }
+    return {name: e.setWeightCol(weight) for name, e in out.items()} if weight else out
 
 
 def model_frame(features: DataFrame) -> DataFrame:
     """The columns a model and its split need; every row is kept."""
-    return features.select("StockCode", "Date", *FEATURE_COLUMNS, TARGET_COLUMN)
+    return features.select("StockCode", "Date", *FEATURE_COLUMNS, TARGET_COLUMN, *([COPIES] if COPIES in features.columns else []))
 
 
 def regression_metrics(pred: DataFrame, label: str = TARGET_COLUMN, prediction: str = "prediction") -> DataFrame:
-    """MSE, MAE, R^2 in one pass; sum((y - mean)^2) = var_pop(y) * n (stable)."""
+    """MSE, MAE, R^2 in one pass; sum((y - mean)^2) = var_pop(y) * n (stable).
+
+    Rows count as often as ``COPIES`` says, where it is there.
+    """
     e = F.col(label) - F.col(prediction)
+    if COPIES in pred.columns:
+        w, y = F.col(COPIES), F.col(label)
+        mean = pred.agg(F.sum(w * y) / F.sum(w)).scalar()
+        return pred.withColumn("_mean", mean).agg(
+            (F.sum(w * e * e) / F.sum(w)).alias("mse"), (F.sum(w * F.abs(e)) / F.sum(w)).alias("mae"),
+            (F.lit(1.0) - F.sum(w * e * e) / F.sum(w * (y - F.col("_mean")) * (y - F.col("_mean")))).alias("r2"), F.sum(w).alias("n"))
     return pred.agg(
         F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
         (F.lit(1.0) - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2"),
@@ -123,7 +135,8 @@ def split_frames(features: DataFrame, seed: int = SEED, keys: bool = True) -> tu
 
 def fit(name: str, train: DataFrame, settings: ModelSettings = ModelSettings()) -> PipelineModel:
     """M2-M4: one regressor behind the assembler."""
-    return Pipeline(stages=[assembler(), estimators(settings, train.sparkSession)[name]]).fit(train)
+    weight = COPIES if COPIES in train.columns else None
+    return Pipeline(stages=[assembler(), estimators(settings, train.sparkSession, weight)[name]]).fit(train)
 
 
 def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(),

@@ -17,15 +17,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockcast.config import (
     DEMAND_COLUMN, PREDICT, PRIORITY_LABELS, RestockConfig, UNKNOWN_DESCRIPTION,
 )
 from stockcast.functions.columns import half_even
+from stockcast.functions.exact import mean, piece_names, pieces, total
 from stockcast.functions.materialize import materialize
 from stockcast.functions.quantiles import tertile_edges, tertile_label
+from stockcast.operators.features import COPIES
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -43,30 +45,47 @@ def recent_window(features: DataFrame, last_n_days: int = 30) -> DataFrame:
     return features.where(F.col("Date") >= F.date_sub(latest_date(features), last_n_days))
 
 
+def _weighted(features: DataFrame, recent: Column) -> DataFrame:
+    """``features`` with ``_w`` (how often a row counts) and ``_off`` (a recent quantity less its product's recent mean)."""
+    w = F.col(COPIES) if COPIES in features.columns else F.lit(1).cast("long")
+    q = F.when(recent, F.col("Quantity"))
+    out = features.select("*", w.alias("_w"), *pieces("q", q, over=Window.partitionBy("StockCode")))
+    return out.withColumn("_off", q - mean("q")).drop(*piece_names("q"))
+
+
+def _recent_sums(recent: Column) -> list[Column]:
+    """What sum, mean and sample std of the quantity and the mean price of the recent rows are put together from.
+
+    Each row counts as often as its weight says; rows of one product count equally often, so the means stay as they are.
+    """
+    w, q = F.col("_w"), F.col("Quantity")
+    return [*pieces("total", F.when(recent, q * w)), *pieces("quantity", F.when(recent, q)), *pieces("price", F.when(recent, F.col("Price"))),
+            *pieces("squares", F.col("_off") * F.col("_off") * w), F.sum(F.when(recent & q.isNotNull(), w)).alias("_n")]
+
+
+def _recent_stats() -> list[Column]:
+    return [total("total").alias("Total_Quantity"), mean("quantity").alias("Avg_Daily_Quantity"),
+            F.when(F.col("_n") > 1, F.sqrt(total("squares") / (F.col("_n") - 1))).alias("Std_Daily_Quantity"), mean("price").alias("Avg_Price")]
+
+
 def product_stats(features: DataFrame, last_n_days: int = 30) -> DataFrame:
     """A2: recent-window sum, mean and sample std of daily quantity, mean price."""
-    return recent_window(features, last_n_days).groupBy("StockCode").agg(
-        F.sum("Quantity").alias("Total_Quantity"),
-        F.avg("Quantity").alias("Avg_Daily_Quantity"),
-        F.stddev_samp("Quantity").alias("Std_Daily_Quantity"),
-        F.avg("Price").alias("Avg_Price"),
-    )
+    always = F.lit(True)
+    sums = _weighted(recent_window(features, last_n_days), always).groupBy("StockCode").agg(*_recent_sums(always))
+    return sums.select("StockCode", *_recent_stats())
 
 
 def product_profile(features: DataFrame, config: RestockConfig = PREDICT) -> DataFrame:
     """A2 + A9 + J4 in one pass: history size, latest quantity, recent stats."""
     recent = F.col("Date") >= F.date_sub(latest_date(features), config.last_n_days)
-    q, p = F.col("Quantity"), F.col("Price")
-    return features.groupBy("StockCode").agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    sums = _weighted(features, recent).groupBy("StockCode").agg(
+        F.sum("_w").alias("n_rows"),
         F.max("Date").alias("Last_Date"),
         F.max_by("Quantity", "Date").alias("Last_Quantity"),
-        F.count(F.when(recent, F.lit(1))).alias("n_recent"),
-        F.sum(F.when(recent, q)).alias("Total_Quantity"),
-        F.avg(F.when(recent, q)).alias("Avg_Daily_Quantity"),
-        F.stddev_samp(F.when(recent, q)).alias("Std_Daily_Quantity"),
-        F.avg(F.when(recent, p)).alias("Avg_Price"),
+        F.coalesce(F.sum(F.when(recent, F.col("_w"))), F.lit(0)).alias("n_recent"),
+        *_recent_sums(recent),
     )
+    return sums.select("StockCode", "n_rows", "Last_Date", "Last_Quantity", "n_recent", *_recent_stats())
 
 
 def enough_history(profile: DataFrame, min_rows: int) -> DataFrame:
@@ -214,14 +233,14 @@ def restock_recommendations(features: DataFrame, config: RestockConfig, scorer:
                             ordered: bool = True, materialize_as: str = "checkpoint") -> DataFrame:
     """The full restock table for either variant.
 
-    Of the features only ``RESTOCK_COLUMNS`` are read. They and the per-product
+    Of the features only ``RESTOCK_COLUMNS`` (and ``COPIES``) are read. They and the per-product
     figures are each written once (``materialize_as``), so the latest-date and
     tertile subqueries read them back instead of re-running the scan,
     aggregation and window. ``materialize_as='ready'`` says that ``features``
     is materialized already.
     """
     ready = materialize_as == "ready"
-    feats = features.select(*RESTOCK_COLUMNS)
+    feats = features.select(*RESTOCK_COLUMNS, *([COPIES] if COPIES in features.columns else []))
     feats = feats if ready else materialize(feats, materialize_as)
     numbers = materialize(restock_numbers(feats, config, scorer), "checkpoint" if ready else materialize_as)
     res = with_descriptions(with_priority(numbers, config), config, descriptions)

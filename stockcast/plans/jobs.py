@@ -64,7 +64,8 @@ def train(spark: SparkSession, source, out_dir: str, config: RestockConfig = TRA
     }
     for name, df in exploration.items():
         sinks.write_csv(df, os.path.join(out_dir, "exploration", name))
-    feats = materialize(engineer_features(clean, config, description_pairs=source.description_pairs(clean)))
+    # one row per day; how often it counts is a weight
+    feats = materialize(engineer_features(clean, config, description_pairs=source.description_pairs(clean), fan_out=False))
     metrics, models = MD.compare_models(feats, settings)
     best = MD.best_model(metrics).first()["model"]
     model_path = MD.save_model(models[best], os.path.join(out_dir, "models/demand_model"))

@@ -320,7 +320,7 @@ sql("concat_priorities", RES + picks_sql(5, 4, 3, None))
 
 
 # --- the closed-form model (M2, M5, M7): least squares by normal equations --------------
-from stockcast.config import PREDICT  # noqa: E402
+from stockcast.config import PREDICT, TRAINING  # noqa: E402
 from stockcast.plans.oracle import linear_sql, linear_value, restock_pieces  # noqa: E402
 
 
@@ -382,6 +382,16 @@ sql("fanout_descriptions", LINES + """
 , named AS (SELECT DISTINCT "StockCode", "Description" FROM lines),
 days AS (SELECT DISTINCT "StockCode", CAST("InvoiceDate" AS DATE) AS "Date" FROM lines)
 SELECT d."StockCode", d."Date", n."Description" FROM days d LEFT JOIN named n ON d."StockCode" = n."StockCode" """)
+
+# codes with up to four names, a missing one among them
+SEVERAL = [SALES_SQL.replace("sales AS (", "one_name AS (", 1), """
+sales AS (SELECT * REPLACE (CASE CAST("Quantity" AS INTEGER) % 4 WHEN 1 THEN 'RED ' || "Description" WHEN 2 THEN 'BLUE ' || "Description"
+  WHEN 3 THEN NULL ELSE "Description" END AS "Description") FROM one_name)""", *base(True)[1:]]
+sql("restock_several_names", with_(*SEVERAL, *[p.replace('"Invoice", "Description") AS', '"Invoice" NULLS FIRST, "Description" NULLS FIRST) AS')
+                                               for p in restock_pieces(TRAINING)]) + f"""
+SELECT "StockCode", predicted_weekly_demand, safety_stock, recommended_restock, {r6('avg_price')} AS avg_price, "Description",
+       {r6('estimated_cost')} AS estimated_cost, priority FROM restock""")
+sql("linear_metrics_several_names", ORACLE["linear_metrics"].replace(SALES_SQL.replace("WITH ", "").strip("\n"), ",".join(p.strip("\n") for p in SEVERAL[:2]), 1))
 sql("write_restock_round_trip", RP_ + """
 SELECT "StockCode", CAST(predicted_weekly_demand AS BIGINT) AS predicted_weekly_demand, CAST(safety_stock AS BIGINT) AS safety_stock,
        CAST(recommended_restock AS BIGINT) AS recommended_restock, "Description", priority FROM restock""")

@@ -597,6 +597,32 @@ def q_fanout_descriptions(spark, sf):
     return FE.attach_descriptions(days, FE.distinct_descriptions(lines))
 
 
+def _several_names(spark, sf):
+    """Training lines whose codes have up to four names, a missing one among them, as a weight on the daily rows."""
+    name = F.col("Description")
+    lines = source(spark, sf).sales(SALES_COLS_RESTOCK + ["Description"]).withColumn(
+        "Description", F.when(F.col("Quantity") % 4 == 1, F.concat(F.lit("RED "), name)).when(F.col("Quantity") % 4 == 2, F.concat(F.lit("BLUE "), name))
+        .when(F.col("Quantity") % 4 == 3, F.lit(None)).otherwise(name))
+    clean = materialize(clean_sales(lines, TRAINING))
+    return clean, materialize(engineer_features(clean, TRAINING, FE.distinct_descriptions(clean), fan_out=False))
+
+
+@query
+def q_restock_several_names(spark, sf):
+    """R5 and J1, training, on codes with several names: each day counts once per name, without a fan-out."""
+    clean, feats = _several_names(spark, sf)
+    res = restock_recommendations(feats, TRAINING, scorer=baseline_scorer, descriptions=FE.first_description(clean), materialize_as="ready")
+    return rounded(res, ["avg_price", "estimated_cost"])
+
+
+@query
+def q_linear_metrics_several_names(spark, sf):
+    """M2, M5 and A18 with the number of names as the weight."""
+    from stockcast.operators import model as MD
+    metrics, _ = MD.compare_models(_several_names(spark, sf)[1], names=MD.MODEL_ORDER[:1])
+    return rounded(metrics, ["mse", "mae", "r2"], r4)
+
+
 @query
 def q_write_restock_round_trip(spark, sf):
     """S7 + P14: the restock file read back."""
