@@ -41,7 +41,6 @@ from collections.abc import Iterator
 from hashlib import md5
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
@@ -240,15 +239,15 @@ def lines_to_delete(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
             .groupBy("doc_id", "text_hash").agg(F.collect_set("i").alias("gone")))
 
 
-def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
+def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
     out = []
     for text, numbers in zip(texts, gone, strict=True):
-        if text is None or numbers is None:
-            out.append(text)
-            continue
-        drop = set(numbers.tolist())
-        out.append("\n".join([x for i, x in enumerate(text.split("\n")) if i not in drop]))
-    return pd.Series(out, dtype=object)
+        if numbers.is_valid and text.is_valid:
+            drop = set(numbers.as_py())
+            out.append("\n".join([x for i, x in enumerate(text.as_py().split("\n")) if i not in drop]))
+        else:
+            out.append(None)
+    return pa.array(out, pa.string())
 
 
 def delete_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -258,7 +257,8 @@ def delete_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("row.text").cast("string")).alias("text_hash"))
     both = docs.join(gone, ["doc_id", "text_hash"], "left")
     text = F.col("row.text").cast("string")
-    kept = F.pandas_udf(_without, "string")(F.when(F.col("gone").isNotNull(), text), F.col("gone"))
+    # not deterministic for the planner: a filter on the result must not run it a second time
+    kept = F.arrow_udf(_without, "string").asNondeterministic()(F.when(F.col("gone").isNotNull(), text), F.col("gone"))
     return both.select("row", F.when(F.col("gone").isNull(), text).otherwise(kept).alias("text"),
                        F.coalesce(F.length(text) - F.length(F.translate(text, "\n", "")) + 1, F.lit(0)).cast("long").alias("n_lines"),
                        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"))
