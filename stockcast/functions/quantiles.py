@@ -1,6 +1,7 @@
-"""Exact quantiles without gathering a column into one task.
+"""Exact quantiles per group without gathering a column into one task.
 
-The order statistics x[r] (0-based, NULLs removed) of each group are found by
+For whole columns see ``selection``, which the tertile edges here use. With
+groups, of which there may be any number, the order statistics x[r] (0-based, NULLs removed) of each group are found by
 counting over range-partitioned distinct values:
 
 1. distinct (group, value) pairs with their counts (partial aggregation),
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockcast.functions.materialize import materialize
+from stockcast.functions.selection import select
 
 
 def _q_scaled(q: float, pandas_scaled: bool) -> float:
@@ -82,13 +84,12 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
 
 
 def tertile_edges(df: DataFrame, col: str, method: str = "pandas") -> DataFrame:
-    """One row (n, e1, e2, lowest, highest): the 1/3 and 2/3 edges of ``col`` and its ends.
+    """One row (n, e1, e2, lowest, highest): the 1/3 and 2/3 edges of ``col`` and its ends, by ``selection``.
 
     ``pandas`` passes q through percent as pandas does; ``percentile`` uses q as it is.
     """
-    q = exact_quantiles(df, col, [1 / 3, 2 / 3, 0.0, 1.0], pandas_scaled=method == "pandas", prefix="e")
-    return q.select("n", F.col("e0").alias("e1"), F.col("e1").alias("e2"),
-                    F.col("e2").alias("lowest"), F.col("e3").alias("highest"))
+    s = select(df, [col], [1 / 3, 2 / 3], pandas_scaled=method == "pandas")[col]
+    return df.sparkSession.createDataFrame([(s.n, *s.quantiles, s.lowest, s.highest)], "n long, e1 double, e2 double, lowest double, highest double")
 
 
 def tertile_label(x: Column, edges: Column, labels: tuple[str, str, str]) -> Column:

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.functions.columns import money_sum, nan_to_null
-from stockcast.functions.exact import pieces, total
-from stockcast.functions.materialize import materialize
-from stockcast.functions.quantiles import quantiles_of_counts, value_counts
+from stockcast.functions.selection import select
 
 DESCRIBE_COLUMNS = ("Quantity", "Price", "TotalPrice")
 
@@ -19,8 +17,8 @@ def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
                    approx_accuracy: int | None = None) -> DataFrame:
     """A3: count, mean, std, min, 25/50/75 %, max per column; one row per column.
 
-    One pass over the lines reduces them to distinct (column, value) counts;
-    moments and exact quartiles are both read from those. With
+    Two scans as a rule (``selection``): moments and sketches, then the exact
+    quartiles and the spread; neither shuffles the distinct values. With
     ``approx_accuracy`` one aggregation with a bounded sketch gives all of it
     instead, for inputs where exact quartiles are not needed.
     """
@@ -37,22 +35,11 @@ def describe_sales(clean: DataFrame, columns: Sequence[str] = DESCRIBE_COLUMNS,
                                  F.col(f"{c}_s").alias("std"), F.col(f"{c}_lo").alias("min"), q[0].alias("p25"),
                                  q[1].alias("p50"), q[2].alias("p75"), F.col(f"{c}_hi").alias("max")))
         return clean.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    long = clean.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-        for c in columns])).alias("kv")).select("kv.column", "kv.value")
-    counts = materialize(value_counts(long, "value", ["column"]), "checkpoint")
-    x, c = F.col("x"), F.col("c")
-    sums = counts.groupBy("column").agg(F.sum("c").alias("count"), *pieces("x", x * c, wide=True),
-                                        F.min("x").alias("min"), F.max("x").alias("max"))
-    totals = sums.select("column", "count", (total("x") / F.col("count")).alias("mean"), "min", "max")
-    # one row per described column, so a broadcast of fixed size
-    spread = counts.join(F.broadcast(totals.select("column", "mean")), "column").groupBy("column").agg(
-        *pieces("ss", c * (x - F.col("mean")) * (x - F.col("mean")), wide=True)).select("column", total("ss").alias("ss"))
-    quart = quantiles_of_counts(counts, [0.25, 0.5, 0.75], ["column"], pandas_scaled=True, prefix="p")
-    std = F.sqrt(F.try_divide(F.col("ss"), F.col("count") - 1))
-    return totals.join(spread, "column").join(quart.drop("n"), "column").select(
-        "column", "count", "mean", std.alias("std"), "min", F.col("p0").alias("p25"), F.col("p1").alias("p50"),
-        F.col("p2").alias("p75"), "max")
+    found = select(clean.select(*columns), columns, [0.25, 0.5, 0.75], pandas_scaled=True)
+    # one row per described column with a value
+    rows = [(c, s.n, s.mean, s.std, s.lowest, *s.quantiles, s.highest) for c, s in found.items() if s.n]
+    return clean.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, p25 double, "
+                                                    "p50 double, p75 double, max double")
 
 
 def _top_by(clean: DataFrame, key: str, total: Column, out: str, k: int) -> DataFrame:

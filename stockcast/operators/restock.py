@@ -213,7 +213,7 @@ def with_priority(res: DataFrame, config: RestockConfig = PREDICT) -> DataFrame:
     ``config.strict_edges`` raises when any two of the four bin edges (smallest,
     1/3, 2/3, largest) are equal, as the original's binning does.
     """
-    edges = materialize(tertile_edges(res, "recommended_restock", method=config.edges), "checkpoint")
+    edges = tertile_edges(res, "recommended_restock", method=config.edges)
     if config.strict_edges:
         row = edges.first()
         ends = [row[c] for c in ("lowest", "e1", "e2", "highest")]
