@@ -167,7 +167,29 @@ def select(df: DataFrame, columns: Sequence[str], qs: Sequence[float], pandas_sc
             lo, hi = (f.lowest, f.lowest) if r == 0 else (f.highest, f.highest) if r == f.n - 1 else (lo, hi)
             brackets[c].append(_Bracket(r, lo, hi, math.ceil(2 * MARGIN * f.n)))
 
-    values: dict[str, dict[int, float]] = {c: {} for c in columns}
+    values, squares = _find(df, brackets, means)
+    for c, f in found.items():
+        f.std = math.sqrt(squares[c] / (f.n - 1)) if f.n > 1 else None
+        f.quantiles = [_between(values[c], f.n, q) if f.n else None for q in scaled]
+    return found
+
+
+def order_statistic(df: DataFrame, column: str, rank: int) -> tuple[int, float, int]:
+    """(number of values, the value of ``rank`` from 0, number of values below it) of one column."""
+    x = _value(column)
+    got = _tree(df, {"n": (F.count(x), "sum"), "s": (F.kll_sketch_agg_double(x, F.lit(SKETCH_K)), "sketch")})
+    if not 0 <= rank < (got["n"] or 0):
+        raise ValueError(f"no rank {rank} among {got['n']} values")
+    lo, hi = _cuts(df, got["s"], _around(rank / got["n"]))
+    below: dict[str, dict[int, int]] = {}
+    values, _ = _find(df, {column: [_Bracket(rank, lo, hi, math.ceil(2 * MARGIN * got["n"]))]}, {column: 0.0}, below)
+    return got["n"], values[column][rank], below[column][rank]
+
+
+def _find(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str, float],
+          below: dict[str, dict[int, int]] | None = None) -> tuple[dict[str, dict[int, float]], dict[str, float]]:
+    """Per column: the value of every bracket's rank, and the sum of squared deviations from the mean."""
+    values: dict[str, dict[int, float]] = {c: {} for c in means}
     squares: dict[str, float] = {}
     while any(brackets.values()):
         share = LIMIT // sum(map(len, brackets.values()))
@@ -184,16 +206,15 @@ def select(df: DataFrame, columns: Sequence[str], qs: Sequence[float], pandas_sc
                     if b.rank < before + rows:
                         if region % 2:
                             values[c][b.rank] = x
+                            if below is not None:
+                                below.setdefault(c, {})[b.rank] = before
                         else:  # in a gap: from the bracket before it to the one after it
                             after = [y for reg, y, _ in counted[c] if reg > region]
                             missed.append(_Bracket(b.rank, last, min(after, default=math.inf)))
                         break
                     before, last = before + rows, x if region % 2 else last
             brackets[c] = missed
-    for c, f in found.items():
-        f.std = math.sqrt(squares[c] / (f.n - 1)) if f.n > 1 else None
-        f.quantiles = [_between(values[c], f.n, q) if f.n else None for q in scaled]
-    return found
+    return values, squares
 
 
 def _ranks(n: int, q: float) -> tuple[int, int, float]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stockcast.config import FEATURE_COLUMNS, SEED, TARGET_COLUMN
 from stockcast.functions.materialize import materialize
 from stockcast.operators.features import COPIES
-from stockcast.operators.sample import train_test_split
+from stockcast.operators.sample import train_test_split, train_test_split_exact
 
 MODEL_ORDER = ("Linear Regression", "Random Forest", "Gradient Boosting")
 
@@ -39,6 +39,7 @@ class ModelSettings:
     cache_node_ids: bool = True
     tree_memory_mb: int | None = None
     parallel_fits: int = 3      # models fitted concurrently (independent Spark jobs)
+    exact_split: bool = False   # the original's counts to the row; else by buckets of the row's hash
 
 
 def assembler() -> VectorAssembler:
@@ -114,7 +115,7 @@ def regression_metrics(pred: DataFrame, label: str = TARGET_COLUMN, prediction:
     )
 
 
-def model_base(features: DataFrame, seed: int = SEED, keys: bool = True) -> DataFrame:
+def model_base(features: DataFrame, seed: int = SEED, keys: bool = True, exact: bool = False) -> DataFrame:
     """M1 applied once: model columns + split, written once to the shared checkpoint folder.
 
     Dealt out by (StockCode, Date) over the session's shuffle partitions, which
@@ -122,13 +123,14 @@ def model_base(features: DataFrame, seed: int = SEED, keys: bool = True) -> Data
     their own binned copy of it. ``keys``: keep StockCode and Date.
     """
     n = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = train_test_split(model_frame(features), seed).repartition(n, "StockCode", "Date")
+    split = train_test_split_exact if exact else train_test_split
+    base = split(model_frame(features), seed).repartition(n, "StockCode", "Date")
     return materialize(base if keys else base.drop("StockCode", "Date"))
 
 
-def split_frames(features: DataFrame, seed: int = SEED, keys: bool = True) -> tuple[DataFrame, DataFrame]:
+def split_frames(features: DataFrame, seed: int = SEED, keys: bool = True, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """M1 applied: (train, test) over one materialized frame; nothing stays cached."""
-    base = model_base(features, seed, keys)
+    base = model_base(features, seed, keys, exact)
     return (base.where(F.col("split") == "train").drop("split"),
             base.where(F.col("split") == "test").drop("split"))
 
@@ -143,7 +145,7 @@ def compare_models(features: DataFrame, settings: ModelSettings = ModelSettings(
                    names=MODEL_ORDER) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """M5: fit each model on the train part, A18 on the test part -> one row per model."""
     spark = features.sparkSession
-    train, test = split_frames(features, settings.seed, keys=False)
+    train, test = split_frames(features, settings.seed, keys=False, exact=settings.exact_split)
 
     def one(pos_name):
         pos, name = pos_name

@@ -47,7 +47,7 @@ def _checks(spark: SparkSession, source, sales: DataFrame, out_dir: str) -> None
 
 
 def train(spark: SparkSession, source, out_dir: str, config: RestockConfig = TRAINING,
-          settings: MD.ModelSettings = MD.ModelSettings(), sample_size: int = 0) -> TrainResult:
+          settings: MD.ModelSettings = MD.ModelSettings(exact_split=True), sample_size: int = 0) -> TrainResult:
     """Load -> checks -> (sample) -> clean -> explore -> features -> models -> restock -> CSV."""
     sales = source.sales()
     _checks(spark, source, sales, out_dir)

@@ -152,6 +152,7 @@ SELECT pr.priority, CAST(pr.position AS INTEGER) AS position,
        {r4('coalesce(sum(r.estimated_cost), 0.0)')} AS total_cost
 FROM pr LEFT JOIN res r ON r.priority = pr.priority GROUP BY pr.priority, pr.position""")
 
+sql("summary_round_trip", "SELECT priority, item_count, total_units, total_cost FROM (" + ORACLE["priority_summary"] + ")")
 sql("restock_kpis", RES + """SELECT count(*) AS total_items,
   count(*) FILTER (WHERE recommended_restock > (SELECT avg(recommended_restock) FROM res)) AS urgent_items,
   CAST(trunc(sum(recommended_restock)) AS BIGINT) AS total_units,
@@ -186,6 +187,13 @@ sql("search_restock", RES + f"""SELECT {RES_COLS}, position FROM ranked WHERE po
   AND coalesce(contains(lower("Description"), lower('Gear')) OR contains("StockCode", 'Gear'), false)""")
 sql("sort_restock", RES + f"""SELECT {RES_COLS}, CAST(row_number() OVER (ORDER BY coalesce(safety_stock, 0.0), "StockCode") AS INTEGER) AS position
 FROM ranked WHERE position <= 50""")
+sql("sort_restock_all", RES + ", top AS (SELECT * FROM ranked WHERE position <= 50)\n" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS sorted_by, {up} AS ascending, CAST(row_number() OVER (ORDER BY coalesce("{c}", {missing}) {way}, "StockCode") AS INTEGER) AS position,
+  "StockCode" FROM top""" for c, missing in (("StockCode", "'0'"), ("Description", "'0'"), ("predicted_weekly_demand", "0.0"), ("safety_stock", "0.0"),
+                                              ("recommended_restock", "0.0")) for up, way in (("TRUE", "ASC"), ("FALSE", "DESC"))))
+sql("demand_and_cost_columns", RES + "\nUNION ALL\n".join(
+    f"""SELECT "StockCode", '{name}' AS "columns", predicted_weekly_demand AS demand, {cost} AS cost FROM res"""
+    for name, cost in (("all", "estimated_cost"), ("price", "avg_price * recommended_restock"), ("none", "0.0 * recommended_restock"))))
 sql("dashboard_records", RES + """SELECT position, CAST(to_json({'StockCode': "StockCode",
   'predicted_weekly_demand': predicted_weekly_demand, 'safety_stock': safety_stock,
   'recommended_restock': recommended_restock, 'avg_price': avg_price, 'estimated_cost': estimated_cost,
@@ -255,9 +263,14 @@ sql("sample_rows", S + f"""SELECT {SALES_COLS} FROM sales ORDER BY md5(concat_ws
   CAST("Quantity" AS VARCHAR), CAST("InvoiceDate" AS VARCHAR), CAST("Price" AS VARCHAR), "Customer ID", "Country", '42'))
 LIMIT 500""")
 
+sql("sample_round_trip", ORACLE["sample_rows"])
 SPLIT = """CASE WHEN (('0x' || substr(md5(concat_ws('|', "StockCode", CAST("Date" AS VARCHAR), '42')), 1, 8))::BIGINT % 100) < 80
   THEN 'train' ELSE 'test' END"""
 sql("train_test_split", FT + f'SELECT "StockCode", "Date", "Quantity", {SPLIT} AS split FROM feat')
+sql("train_test_split_exact", FT + """, ranked AS (
+  SELECT "StockCode", "Date", "Quantity", row_number() OVER (ORDER BY md5(concat_ws('|', "StockCode", CAST("Date" AS VARCHAR), '42'))) AS position,
+         count(*) OVER () AS n FROM feat)
+SELECT "StockCode", "Date", "Quantity", CASE WHEN position <= n - (n + 4) // 5 THEN 'train' ELSE 'test' END AS split FROM ranked""")
 sql("regression_metrics", FT + f""", te AS (SELECT "Quantity" AS y, "Lag1_Quantity" AS yhat FROM feat WHERE {SPLIT} = 'test')
 SELECT {r6('avg((y - yhat) * (y - yhat))')} AS mse, {r6('avg(abs(y - yhat))')} AS mae,
   {r6('1.0 - sum((y - yhat) * (y - yhat)) / sum((y - (SELECT avg(y) FROM te)) * (y - (SELECT avg(y) FROM te)))')} AS r2,
@@ -378,6 +391,9 @@ SELECT 'kept' AS kind, "Invoice", "StockCode", CASE WHEN l_linenumber <> 6 THEN
   CAST(NULL AS VARCHAR) AS raw FROM lines WHERE l_linenumber <> 7
 UNION ALL SELECT 'unreadable Quantity', NULL, NULL, NULL, raw FROM lines WHERE l_linenumber = 6
 UNION ALL SELECT 'too many fields', NULL, NULL, NULL, raw FROM lines WHERE l_linenumber = 7""")
+sql("schema_faults", LINES + """
+SELECT 'Item name' AS "column", 'unexpected' AS status, count("Description") AS non_null_rows FROM lines
+UNION ALL SELECT unnest(['Description', 'Quantity', 'Price', 'Customer ID', 'Country']), 'missing', NULL""")
 sql("fanout_descriptions", LINES + """
 , named AS (SELECT DISTINCT "StockCode", "Description" FROM lines),
 days AS (SELECT DISTINCT "StockCode", CAST("InvoiceDate" AS DATE) AS "Date" FROM lines)

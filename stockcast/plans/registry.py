@@ -473,6 +473,64 @@ def q_train_test_split(spark, sf):
     return SM.train_test_split(features(spark, sf, TRAINING)).select("StockCode", "Date", "Quantity", "split")
 
 
+@query
+def q_train_test_split_exact(spark, sf):
+    """M1 with the original's counts: the test part has a fifth of the rows, rounded up."""
+    return SM.train_test_split_exact(features(spark, sf, TRAINING).select("StockCode", "Date", "Quantity"))
+
+
+@query
+def q_sort_restock_all(spark, sf):
+    """T5 on every sortable column, both ways."""
+    res = materialize(_res(spark, sf))
+    out = None
+    for column in RP.SORTABLE:
+        for up in (True, False):
+            one = RP.sort_restock(res, column, ascending=up).select(F.lit(column).alias("sorted_by"), F.lit(up).alias("ascending"), "position", "StockCode")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def q_demand_and_cost_columns(spark, sf):
+    """The demand under its other name, the cost from price and amount where no cost is there, and without a price."""
+    res = materialize(_res(spark, sf))
+    other = res.withColumnRenamed("predicted_weekly_demand", "predicted_demand")
+    bare, priceless = other.drop("estimated_cost"), other.drop("estimated_cost", "avg_price")
+    parts = [df.select("StockCode", F.lit(name).alias("columns"), RP.demand_column(df).alias("demand"), RP.cost_column(df).alias("cost"))
+             for name, df in (("all", res), ("price", bare), ("none", priceless))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def q_summary_round_trip(spark, sf):
+    """The summary file read back."""
+    from stockcast.sources.sinks import write_summary
+    path = write_summary(_res(spark, sf), _shared_path(spark, "summary"))
+    back = spark.read.option("header", True).schema("priority string, item_count long, total_units long, total_cost double").csv(path)
+    return rounded(back, ["total_cost"], r4)
+
+
+@query
+def q_sample_round_trip(spark, sf):
+    """The sample file in the input's layout, read back."""
+    from stockcast.sources.csv_sales import CsvSales
+    from stockcast.sources.sinks import write_sample
+    path = write_sample(source(spark, sf).sales(), _shared_path(spark, "sample"))
+    return C.with_invoice_timestamp(CsvSales(spark, path, mode="strict").sales())
+
+
+@query
+def q_schema_faults(spark, sf):
+    """Unexpected and missing columns of a file with a renamed and a dropped one, and how many lines fill them."""
+    from stockcast.sources.csv_sales import CsvSales
+    from stockcast.sources.sinks import write_sales_csv
+    lines = _awkward_lines(spark, sf).withColumnRenamed("Description", "Item name").drop("Quantity")
+    sales = CsvSales(spark, write_sales_csv(lines, _shared_path(spark, "schema"))).sales()
+    counts = QU.column_report(sales).select("column", "non_null_rows")
+    return QU.schema_report(spark, sales).join(counts, "column")
+
+
 @query
 def q_regression_metrics(spark, sf):
     from stockcast.operators.model import regression_metrics
