@@ -5,7 +5,10 @@ in it scores more than ``q.c + |q| r``. Queries descend in groups: at a node
 each group splits by which child has the higher bound and visits that child
 first, then the other one if its bound still reaches the current k-th score.
 The k-th score is shared: each query first searches one home shard, and the
-k-th score found there is where all other shards start pruning.
+k-th score found there is where all other shards start pruning. Shards are
+coarse clusters, and the same bound on a shard's root ball decides beforehand
+which of them a query is sent to at all; tiles that no query asks for are not
+shipped.
 
 Scores are integers and exact: components become floor(scale * x), products
 are summed in double precision where every partial sum is below 2**53, else
@@ -21,15 +24,19 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.llm.common import cut
-from stockcast.llm.tiles import deal, pack_shards, packed, ranked, search_tiles, vectors
+from stockcast.llm.tiles import deal_clusters, matrix, pack_shards, packed, ranked, search_tiles, unpacked, vectors
 
 LEAF = 128
 GROUP = 1024
+ROOT_BYTES = 64 * 1024 * 1024  # root balls of all shards that tasks may hold at once
 
 
 def build(ids: np.ndarray, v: np.ndarray) -> bytes:
@@ -125,28 +132,76 @@ def search(tree: dict, ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int
     return tuple(np.concatenate(x) for x in out)
 
 
+def bounds(q: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Upper bound of every query's (row) score in every ball (column)."""
+    norm = np.sqrt((q ** 2).sum(axis=1))[:, None]
+    b = q @ centres.T + norm * radii
+    return b + 1e-9 * (1 + np.abs(b) + norm * (radii + 1))
+
+
+def _roots(trees: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
+    """dim -> (shards, centres, radii) of the root balls; None if they are too many to hold."""
+
+    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tree = unpacked(batch.column("data")[i].as_py())
+                yield pa.RecordBatch.from_arrays([batch.column("dim").slice(i, 1), batch.column("shard").slice(i, 1),
+                                                  pa.array([tree["c"][0].tolist()], pa.list_(pa.float64())), pa.array([float(tree["r"][0])])],
+                                                 names=["dim", "shard", "c", "r"])
+
+    found = cut(trees.mapInArrow(root, "dim int, shard int, c array<double>, r double"))
+    size = found.agg(F.coalesce(F.sum(F.col("dim") + 4), F.lit(0))).first()[0] * 8
+    if size > ROOT_BYTES:
+        return None
+    out: dict[int, list] = {}
+    for r in found.orderBy("dim", "shard").collect():
+        out.setdefault(r["dim"], []).append((r["shard"], r["c"], r["r"]))
+    return {d: (np.array([s for s, _, _ in x], np.int32), np.array([c for _, c, _ in x]), np.array([r for _, _, r in x])) for d, x in out.items()}
+
+
+def shards_to_visit(queries: DataFrame, trees: DataFrame, shards: int) -> DataFrame:
+    """``queries`` with ``shards``: those other than ``home`` whose root ball may reach the query's ``floor``."""
+    roots = _roots(trees)
+    if roots is None:
+        return queries.withColumn("shards", F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home")))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, home, floor = (batch.column(c).to_numpy() for c in ("dim", "home", "floor"))
+            out: list = [None] * len(dims)
+            for dim in np.unique(dims).tolist():
+                which = np.flatnonzero(dims == dim)
+                names, centres, radii = roots[dim]
+                q = matrix(pa.table({"v": batch.column("v").take(pa.array(which))}), "v", dim).astype(np.float64)
+                reach = bounds(q, centres, radii) >= floor[which].astype(np.float64)[:, None]
+                for i, ok in zip(which.tolist(), reach & (names != home[which][:, None]), strict=True):
+                    out[i] = names[ok].tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, "shards"])
+
+    ddl = ", ".join(f"{n} {t}" for n, t in queries.dtypes)
+    return queries.mapInArrow(visit, f"{ddl}, shards array<int>")
+
+
 def top_k(embeddings: DataFrame, every: int = 50, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose vec_id is divisible by ``every``."""
     rows = vectors(embeddings, lambda x: F.floor(x * scale).cast("long"))
-    dealt, queries, shards, blocks = deal(rows, every)
+    dealt, queries, shards = deal_clusters(rows, every)
     trees = pack_shards(dealt, build, "int64")
     none = F.lit(np.iinfo(np.int64).min).cast("long")
-    home = F.pmod(F.col("block"), F.lit(shards))
-    queries = cut(queries.withColumn("floor", none).withColumn("home", home))
+    queries = cut(queries.withColumn("floor", none))
 
     def run(tree, ids, q, floor):
         return search(tree, ids, q, floor, k)
 
-    first = cut(search_tiles(trees, queries.withColumn("shards", F.array("home")), blocks,
-                             F.col("shard") == home, run, ["floor"], "long"))
+    first = cut(search_tiles(trees, queries.withColumn("shards", F.array("home")), run, ["floor"], "long"))
     if shards == 1:
         return ranked(first, k)
     floors = first.groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
     known = queries.drop("floor").join(
         floors.filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "floor"), "vec_id", "left")
-    known = known.withColumn("floor", F.coalesce("floor", none)).withColumn(
-        "shards", F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home")))
-    rest = search_tiles(trees, known, blocks, F.col("shard") != home, run, ["floor"], "long")
+    known = known.withColumn("floor", F.coalesce("floor", none))
+    rest = search_tiles(trees, cut(shards_to_visit(known, trees, shards)), run, ["floor"], "long")
     return ranked(first.unionByName(rest), k)
 
 

@@ -17,7 +17,7 @@ found fewer than k rows in a shard is scored against all rows of that shard, so
 it gets min(k, candidates) rows whatever its probes hit.
 
 Every row is indexed. The tables are kept per shard, and shards are dealt by a
-hash of vec_id, so a bucket that holds a third of all rows is spread over all
+hash of vec_id and vector, so a bucket that holds a third of all rows is spread over all
 shards. Equal vectors of a shard are one entry with its k + 1 smallest ids,
 which is all that a top-k with ties to the smaller id can need.
 
@@ -153,13 +153,13 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, tables: int = T
             width: float = WIDTH, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose vec_id is divisible by ``every``."""
     rows = vectors(embeddings, lambda x: x, nonzero=True)
-    dealt, queries, shards, blocks = deal(rows, every)
+    dealt, queries, shards = deal(rows, every)
 
     def hashes(dim: int) -> Hashes:
         return Hashes(dim, tables, functions, width)
 
     index = pack_shards(dealt, lambda ids, v: build(ids, v, hashes(v.shape[1]), k + 1), "float64")
     queries = queries.withColumn("shards", F.sequence(F.lit(0), F.lit(shards - 1)))
-    found = search_tiles(index, cut(queries), blocks, None,
+    found = search_tiles(index, cut(queries),
                          lambda shard, ids, q: search(shard, ids, q, hashes(q.shape[1]), probes, k), [], "double")
     return ranked(found, k)

@@ -1,8 +1,10 @@
 """Vectors dealt into shards and blocks of queries; one task works on one (shard, block) tile.
 
-Shards are dealt by a hash of vec_id, so a hot vector or cluster is spread
-over all of them. Each shard is packed (with its index) into one row once;
-a tile joins that row with one block of queries. Shards and blocks have a
+Rows that repeat an id and a vector are reduced to one before anything is
+dealt. Shards are dealt by a hash of id and vector (``deal``), which spreads a
+hot id, vector or cluster over all of them, or by coarse clusters that are split
+by that hash where they are large (``deal_clusters``). Each shard is packed (with its index) into one row once;
+a tile joins that row with one block of queries, if one of them asks for it. Shards and blocks have a
 bounded number of rows, and their number grows with the input.
 """
 
@@ -22,6 +24,8 @@ from stockcast.llm.common import cut, ship_package, slices
 SHARD_ROWS = 65_536
 SHARD_LEAST = 4_096
 BLOCK_ROWS = 4_096
+PIVOTS = 64           # clusters: the sample of vectors that rows are dealt to by nearness
+TILES = 1_000_000     # (shard, block) pairs that may be broadcast
 
 
 def vectors(embeddings: DataFrame, part: Callable[[Column], Column], nonzero: bool = False) -> DataFrame:
@@ -51,15 +55,101 @@ def matrix(table: pa.Table, column: str, dim: int) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def deal(rows: DataFrame, every: int) -> tuple[DataFrame, DataFrame, int, int]:
-    """(rows with their shard, queries with their block, number of shards, number of blocks)."""
+def distinct_vectors(rows: DataFrame) -> DataFrame:
+    """Each (vec_id, v) once; an id or a vector that repeats without end is reduced where it lies."""
+    return rows.dropDuplicates(["vec_id", "v"])
+
+
+def _spread(parts: Column | int) -> Column:
+    """A number below ``parts`` from id and vector."""
+    return F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts) if isinstance(parts, int) else parts).cast("int")
+
+
+def _asked(rows: DataFrame, every: int) -> DataFrame:
+    return rows.filter(F.col("vec_id") % every == 0)
+
+
+def deal(rows: DataFrame, every: int) -> tuple[DataFrame, DataFrame, int]:
+    """(rows with their shard, queries with their block, number of shards)."""
+    rows = cut(distinct_vectors(rows))
     n = rows.agg(F.count("*"), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     shards = max(1, -(-n[0] // SHARD_ROWS), min(slices(rows.sparkSession), -(-n[0] // SHARD_LEAST)))
     blocks = max(1, -(-n[1] // BLOCK_ROWS))
-    queries = (rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id", "dim").agg(F.min("v").alias("v"))
+    queries = (_asked(rows, every).groupBy("vec_id", "dim").agg(F.min("v").alias("v"))
                .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return dealt, queries, shards, blocks
+    return rows.withColumn("shard", _spread(shards)), queries, shards
+
+
+def deal_clusters(rows: DataFrame, every: int) -> tuple[DataFrame, DataFrame, int]:
+    """As ``deal``, by nearness to at most ``PIVOTS`` sampled vectors; queries also have ``home``, a shard of their cluster."""
+    ship_package(rows.sparkSession)
+    rows = cut(distinct_vectors(rows))
+    pivots = min(PIVOTS, max(1, rows.count() // SHARD_LEAST))
+    least = F.xxhash64("vec_id", "v")
+    sample = _chained([(r["dim"], r["v"]) for r in rows.withColumn("h", least).orderBy("h").limit(pivots).select("dim", "v").collect()])
+
+    def nearest(batches):
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            out = np.zeros(len(dims), np.int32)
+            for dim in np.unique(dims).tolist():
+                near = [k for k, (d, _) in enumerate(sample) if d == dim]
+                if near:
+                    which = np.flatnonzero(dims == dim)
+                    v = matrix(pa.table({"v": batch.column("v").take(pa.array(which))}), "v", dim).astype(np.float64)
+                    pivots = np.array([sample[k][1] for k in near], np.float64)
+                    out[which] = np.array(near, np.int32)[((pivots ** 2).sum(axis=1) - 2 * v @ pivots.T).argmin(axis=1)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("vec_id", "v", "dim")] + [pa.array(out)], names=["vec_id", "v", "dim", "pivot"])
+
+    kind = dict(rows.dtypes)["v"]
+    rows = cut(rows.select("vec_id", "v", "dim").mapInArrow(nearest, f"vec_id long, v {kind}, dim int, pivot int"))
+    asks = F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("asked")
+    # one row per pivot; queries of neighbouring small clusters share a block
+    counts = sorted((r["pivot"], r["n"], r["asked"]) for r in rows.groupBy("pivot").agg(F.count("*").alias("n"), asks).collect())
+    places, shards, block = [], 0, _Filler(BLOCK_ROWS)
+    for pivot, n, asked in counts:
+        parts = -(-n // SHARD_ROWS)
+        places.append((pivot, shards, parts, *block.take(asked)))
+        shards += parts
+    table = F.broadcast(rows.sparkSession.createDataFrame(places, "pivot int, shard0 int, parts int, block0 int, block_parts int"))  # a row per pivot
+    placed = rows.join(table, "pivot")
+    queries = (_asked(placed, every).groupBy("vec_id", "dim").agg(F.min(F.struct("v", "shard0", "block0", "block_parts")).alias("q"))
+               .select("vec_id", "dim", "q.v", (F.col("q.block0") + F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("q.block_parts"))).cast("int").alias("block"),
+                       F.col("q.shard0").alias("home")))
+    return placed.select("vec_id", "v", "dim", (F.col("shard0") + _spread(F.col("parts"))).cast("int").alias("shard")), queries, max(1, shards)
+
+
+def _chained(sample: list[tuple[int, list]]) -> list[tuple[int, list]]:
+    """The sample in an order in which the next vector is the nearest one not yet taken, dimension by dimension."""
+    out: list[tuple[int, list]] = []
+    left = sorted(sample, key=lambda x: x[0])
+    while left:
+        dim = left[0][0]
+        group = np.array([v for d, v in left if d == dim], np.float64)
+        rest, at = list(range(len(group))), 0
+        while rest:
+            rest.remove(at)
+            out.append((dim, group[at]))
+            if rest:
+                at = rest[int(((group[rest] - group[at]) ** 2).sum(axis=1).argmin())]
+        left = [x for x in left if x[0] != dim]
+    return out
+
+
+class _Filler:
+    """Numbers bins of about ``size`` rows: small groups share one, a large group gets several of its own."""
+
+    def __init__(self, size: int):
+        self.size, self.bins, self.room = size, 1, size
+
+    def take(self, rows: int) -> tuple[int, int]:
+        """(first bin, number of bins) of a group."""
+        if rows > self.room and self.room < self.size:
+            self.bins, self.room = self.bins + 1, self.size
+        first, parts = self.bins - 1, max(1, -(-rows // self.size))
+        self.bins += parts - 1
+        self.room = self.room - rows if parts == 1 else 0
+        return first, parts
 
 
 def pack_shards(dealt: DataFrame, build: Callable[[np.ndarray, np.ndarray], bytes], kind: str) -> DataFrame:
@@ -81,17 +171,16 @@ def pack_shards(dealt: DataFrame, build: Callable[[np.ndarray, np.ndarray], byte
     return cut(dealt.groupBy("dim", "shard").applyInArrow(run, "dim int, shard int, data binary"))
 
 
-def search_tiles(packed_shards: DataFrame, queries: DataFrame, blocks: int, where: Column | None,
-                 search: Callable[..., tuple], extra: list[str], score: str) -> DataFrame:
-    """query_id, vec_id, score: ``search(shard data, query ids, query matrix, extras)`` of every wanted tile.
+def search_tiles(packed_shards: DataFrame, queries: DataFrame, search: Callable[..., tuple], extra: list[str], score: str) -> DataFrame:
+    """query_id, vec_id, score: ``search(shard data, query ids, query matrix, extras)`` of every tile that is asked for.
 
     queries: vec_id, dim, v, block, shards (array of shards to visit) and the ``extra`` columns.
     """
-    every = packed_shards.withColumn("block", F.explode(F.array(*map(F.lit, range(blocks)))) if blocks < 64
-                                     else F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    if where is not None:
-        every = every.filter(where)
     asked = queries.select("vec_id", "dim", "v", "block", F.explode("shards").alias("shard"), *extra)
+    tiles = cut(asked.select(*(F.col(c).alias(f"of_{c}") for c in ("dim", "shard", "block"))).distinct())
+    small = tiles.limit(TILES + 1).count() <= TILES
+    same = (F.col("dim") == F.col("of_dim")) & (F.col("shard") == F.col("of_shard"))
+    every = packed_shards.join(F.broadcast(tiles) if small else tiles, same).select("dim", "shard", F.col("of_block").alias("block"), "data")
 
     def run(key, left, right):
         got = ([], [], [])

@@ -417,3 +417,52 @@ def test_pipeline_stages_against_brute_force(spark):
             assert sorted(first.values()) == sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in at.collect())
     assert seen[1] >= docs.count() - 6 and at.select("doc_id").distinct().count() == seen[3]
     assert packing.pack_documents(docs.filter("false"), P.path("byte_bpe_50k.json")).count() == 0
+
+
+# vector tiles -------------------------------------------------------------------------------------------------------
+
+def test_top_k_ships_only_tiles_that_can_hold_a_result(spark, monkeypatch):
+    from stockcast.llm import tiles
+    monkeypatch.setattr(tiles, "SHARD_LEAST", 100)
+    monkeypatch.setattr(tiles, "SHARD_ROWS", 300)
+    monkeypatch.setattr(tiles, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 16)) * 4
+    v = centres[rng.integers(0, 12, 3000)] + rng.normal(size=(3000, 16)) * 0.1
+    df = spark.createDataFrame([(i, [float(x) for x in r], "x", 0.5) for i, r in enumerate(v)], VECS)
+    visited, search = [], tiles.search_tiles
+
+    def watch(packed_shards, queries, *args):
+        tile = queries.selectExpr("block", "explode(shards) as shard").distinct().count()
+        visited.append((tile, packed_shards.count() * queries.select("block").distinct().count()))
+        return search(packed_shards, queries, *args)
+    monkeypatch.setattr(balltree, "search_tiles", watch)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in balltree.top_k(df, every=10, k=5).collect()}
+    x = np.floor(256 * v).astype(np.int64)
+    for i in range(0, 3000, 10):
+        s = x @ x[i]
+        best = sorted((-int(s[j]), j) for j in range(3000) if j != i)[:5]
+        assert [got[i, k + 1] for k in range(5)] == [(j, -t) for t, j in best]
+    shipped, every = visited[1]
+    assert every >= 60 and shipped < 0.5 * every
+
+
+def test_a_vec_id_in_a_third_of_all_rows_is_spread(spark, monkeypatch):
+    from stockcast.llm import tiles
+    monkeypatch.setattr(tiles, "SHARD_LEAST", 100)
+    monkeypatch.setattr(tiles, "SHARD_ROWS", 400)
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(3000, 6))
+    rows = [(7 if i % 3 == 0 else i, [float(x) for x in r], "x", 0.5) for i, r in enumerate(v)]
+    rows += [rows[1]] * 2000  # a repeated row
+    df = spark.createDataFrame(rows, VECS).repartition(6)
+    for deal in (tiles.deal, tiles.deal_clusters):
+        dealt, *_ = deal(tiles.vectors(df, lambda x: x), 20)
+        sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+        assert sum(sizes) == 3000 and max(sizes) < 700
+    got = balltree.top_k(df, every=20, k=3).collect()
+    x = [(i, np.floor(256 * np.array(r)).astype(np.int64)) for i, r, *_ in {(i, tuple(r)) for i, r, *_ in rows}]
+    asked = {i: min(tuple(r) for j, r in x if j == i) for i in {i for i, _ in x} if i % 20 == 0}
+    for i, q in asked.items():
+        best = sorted((-int(np.array(q) @ r), j) for j, r in x if j != i)[:3]
+        assert [(r["vec_id"], r["score"]) for r in sorted((r for r in got if r["query_id"] == i), key=lambda r: r["rank"])] == [(j, -s) for s, j in best]
