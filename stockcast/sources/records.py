@@ -91,6 +91,11 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
             yield files.dictionary[int(which[a])].as_py(), int(block[a]), a, b
 
 
+def _quoted(values: pa.Array) -> list[int]:
+    """Places of the lines that hold a quote."""
+    return np.flatnonzero(pc.match_substring(values, '"').to_numpy(zero_copy_only=False)).tolist()
+
+
 class _Block:
     """What the first pass learns about one block."""
 
@@ -118,7 +123,7 @@ class _Block:
         if not self.quotes:
             self.starts[0] += n
             return
-        marked = np.flatnonzero(pc.match_substring(values, '"').to_numpy(zero_copy_only=False)).tolist()
+        marked = _quoted(values)
         lines = values.take(pa.array(marked, pa.int64())).to_pylist()
         for k in (0, 1):
             inside, last = self.inside[k], 0
@@ -224,12 +229,23 @@ def _cut(batches: Iterator[pa.RecordBatch], sep: str, pieces: bool) -> Iterator[
                 key = (file, block)
                 inside, place, base, skip = (entry[c][a].as_py() for c in ("inside", "place", "file_place", "skip"))
                 begun, place = inside, place - 1
-            for line in batch.column("value").slice(a, b - a).to_pylist():
+            values = batch.column("value").slice(a, b - a)
+            lines, at = values.to_pylist(), 0
+            for mark in [*_quoted(values), len(lines)]:
+                plain = lines[at:mark]  # no quotes: the state stays
+                if inside:
+                    held += plain
+                else:
+                    if not pieces:
+                        out += [(file, p, p - base, None, x) for p, x in enumerate(plain, place + 1) if p >= skip]
+                    place += len(plain)
+                if mark == len(lines):
+                    break
+                at = mark + 1
                 if not inside:
                     place, begun = place + 1, False
-                held.append(line)
-                if b'"' in line:
-                    inside = quotes.after(line, inside)
+                held.append(lines[mark])
+                inside = quotes.after(lines[mark], inside)
                 if not inside:
                     if pieces == begun:
                         put(key[1] if begun else None)
