@@ -13,6 +13,8 @@ parts as decimals of 38 digits. Larger values raise.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
@@ -57,6 +59,11 @@ def mean(name: str) -> Column:
     return F.try_divide(total(name), F.col(f"_{name}_4"))
 
 
+def number(sums: list) -> float:
+    """The sum from the four collected sums of pieces, on the driver."""
+    return float(sum(Fraction(int(s), 1 << (_BITS * i)) for i, s in enumerate(sums)))
+
+
 def piece_names(name: str) -> list[str]:
     """The columns that ``pieces`` gives."""
     return [f"_{name}_{i}" for i in range(5)]

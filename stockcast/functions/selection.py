@@ -27,8 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.functions.columns import nan_to_null
-from stockcast.functions.exact import mean, piece_names, pieces, total
-from stockcast.functions.materialize import materialize
+from stockcast.functions.exact import number, piece_names, pieces
 
 SKETCH_K = 4096   # rank error of about 0.13 %
 MARGIN = 0.005    # of the rows inside: how far a bracket reaches to both sides of its rank
@@ -130,12 +129,14 @@ def _count(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str,
     long = df.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where("x is not null")
     off = F.col("x") - F.col("mean")
     kept = F.when(F.col("region") % 2 == 1, F.col("x"))
-    counted = materialize(long.groupBy("column", "region", kept.alias("x")).agg(F.count(F.lit(1)).alias("c"), *pieces("ss", off * off, wide=True)))
-    squares = counted.groupBy("column").agg(*[F.sum(p).alias(p) for p in piece_names("ss")]).select("column", total("ss").alias("ss"))
+    names = piece_names("ss")[:4]
+    counted = long.groupBy("column", "region", kept.alias("x")).agg(F.count(F.lit(1)).alias("c"), *pieces("ss", off * off, wide=True))
     out: dict[str, list[tuple]] = {c: [] for c in merged}
-    for r in counted.select("column", "region", "x", "c").collect():  # at most LIMIT values and a row per gap
+    squares = {c: [0, 0, 0, 0] for c in merged}
+    for r in counted.collect():  # at most LIMIT values and a row per gap
         out[r["column"]].append((r["region"], r["x"] if r["x"] is not None else 0.0, r["c"]))
-    return {c: sorted(v) for c, v in out.items()}, {r["column"]: r["ss"] for r in squares.collect()}
+        squares[r["column"]] = [a + int(r[n]) for a, n in zip(squares[r["column"]], names, strict=True)]
+    return {c: sorted(v) for c, v in out.items()}, {c: number(s) for c, s in squares.items()}
 
 
 def select(df: DataFrame, columns: Sequence[str], qs: Sequence[float], pandas_scaled: bool = False) -> dict[str, Selected]:
@@ -147,10 +148,7 @@ def select(df: DataFrame, columns: Sequence[str], qs: Sequence[float], pandas_sc
                   f"s_{i}": (F.kll_sketch_agg_double(x, F.lit(SKETCH_K)), "sketch")}
         parts |= {name: (piece, "sum") for name, piece in zip(piece_names(f"x{i}"), pieces(f"x{i}", x, wide=True), strict=True)}
     got = _tree(df, parts)
-    numbers = df.sparkSession.createDataFrame([tuple(got[n] for i in range(len(columns)) for n in piece_names(f"x{i}"))], ", ".join(
-        f"{n} {'decimal(38,0)' if n.endswith('_0') else 'long'}" for i in range(len(columns)) for n in piece_names(f"x{i}")))
-    means = numbers.select(*[mean(f"x{i}").alias(c) for i, c in enumerate(columns)]).first().asDict()
-
+    means = {c: number([got[n] for n in piece_names(f"x{i}")[:4]]) / got[f"n_{i}"] if got[f"n_{i}"] else None for i, c in enumerate(columns)}
     scaled = [(q * 100) / 100 if pandas_scaled else q for q in qs]
     found = {c: Selected(got[f"n_{i}"] or 0, got[f"lo_{i}"], got[f"hi_{i}"], means[c]) for i, c in enumerate(columns)}
     brackets: dict[str, list[_Bracket]] = {}
