@@ -7,12 +7,19 @@ executor costs at most the running stage. All stages but the last return the
 columns of ``documents``.
 
 1. language_id: trained on the stage's own labelled rows; rows without a
-   letter or with a language score under ``MIN_SCORE`` are rejected.
+   letter or with a language score under ``MIN_SCORE`` are rejected. Where no
+   row can be learned from, every row with a letter stays.
 2. line_dedup: later documents lose the blocks of lines they share with an
    earlier one; a document that loses all its text goes.
 3. simhash: shingles of 3 words, 2 differing bits at most; the document with
    the smallest doc_id of each group stays.
 4. packing: sequences of at most 1024 tokens; one row per piece.
+
+Null and empty texts have no letter and go in the first stage; rows without a
+doc_id pass the line stage unchanged, count as the largest id of their group in
+the third one and are packed; rows that repeat a doc_id and text are copies of
+each other; texts of any length are read whole; an empty table gives no rows.
+Columns beyond those of ``documents`` are carried through to the last stage.
 """
 
 from __future__ import annotations
