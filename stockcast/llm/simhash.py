@@ -22,8 +22,8 @@ Components of the link graph come from alternating large-star and small-star
 rounds over shuffled tables (checkpointed; nothing of it reaches the driver
 but a count).
 
-Defined results: null text has no words; a null doc_id is a document like any
-other (the smallest known doc_id names its class; null if there is none);
+Defined results: null text has no words; texts of any length are read whole; a
+null doc_id is a document like any other (the smallest known doc_id names its class; null if there is none);
 rows that repeat are one class; an empty table gives no rows; other columns are
 ignored.
 """
@@ -202,19 +202,21 @@ def links(distinct: DataFrame, budget: int) -> DataFrame:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per fingerprint and pair of sub-codes within the budget that holds it."""
         for batch in batches:
-            for fp, block, value, by in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                code = sum(((fp >> bit) & 1) << j for j, bit in enumerate(by))
-                codes = [code]
-                reach = [code]
-                for _ in range(budget):
-                    reach = sorted({c ^ (1 << j) for c in reach for j in range(len(by))} - set(codes))
-                    codes += reach
-                n = len(codes)
-                low, high = [min(code, c) for c in codes], [max(code, c) for c in codes]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x] * n, t) for x, t in ((fp, pa.int64()), (block, pa.int32()), (value, pa.int64()))]
-                    + [pa.array([(a << 20) | b for a, b in zip(low, high, strict=True)], pa.int64())],
-                    names=["fp", "block", "value", "part"])
+            for at in range(0, batch.num_rows, 200):
+                some_rows = batch.slice(at, 200)
+                many, parts = [], []
+                for fp, by in zip(some_rows.column(0).to_pylist(), some_rows.column(3).to_pylist(), strict=True):
+                    code = sum(((fp >> bit) & 1) << j for j, bit in enumerate(by))
+                    codes = [code]
+                    reach = [code]
+                    for _ in range(budget):
+                        reach = sorted({c ^ (1 << j) for c in reach for j in range(len(by))} - set(codes))
+                        codes += reach
+                    many.append(len(codes))
+                    parts += [(min(code, c) << 20) | max(code, c) for c in codes]
+                which = pa.array(np.repeat(np.arange(len(many)), many))
+                yield pa.RecordBatch.from_arrays([*(some_rows.column(i).take(which) for i in range(3)), pa.array(parts, pa.int64())],
+                                                 names=["fp", "block", "value", "part"])
 
     wide = large.select("fp", "block", "value", "by").mapInArrow(spread, "fp long, block int, value long, part long")
     dealt = small.select("fp", "block", "value", F.lit(-1).cast("long").alias("part")).unionByName(wide)

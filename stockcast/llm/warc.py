@@ -20,7 +20,9 @@ frequent payload is split.
 Defined results: null html is an empty payload; rows that repeat the
 response's page_id with the same payload are responses too; a null page_id is
 written without an id and is a response only if its payload has no other page;
-a null url is written as ``about:blank``; an empty table gives no archive.
+a null url is written as ``about:blank``; a payload of any size is one record;
+an empty table gives no archive; columns beyond page_id, url and html are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
