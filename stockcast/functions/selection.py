@@ -106,8 +106,8 @@ def _refine(df: DataFrame, brackets: dict[str, list[_Bracket]]) -> None:
             b.inside = math.ceil(2 * MARGIN * inside) + 1
 
 
-def _count(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str, float]) -> tuple[dict[str, list[tuple]], dict[str, float]]:
-    """Per column: (gap or bracket, value, rows) in ascending order, and the sum of squared deviations.
+def _count(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str, float] | None) -> tuple[dict[str, list[tuple]], dict[str, float]]:
+    """Per column: (gap or bracket, value, rows) in ascending order, and with ``means`` the sum of squared deviations.
 
     Regions 0, 2, 4, ... lie between the merged brackets, 1, 3, 5, ... are the brackets; only rows of these keep their value.
     """
@@ -125,18 +125,20 @@ def _count(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str,
         x, region = _value(c), F.lit(0)
         for lo, hi in spans:
             region = region + (x >= lo).cast("int") + (x > hi).cast("int")
-        rows.append(F.struct(F.lit(c).alias("column"), region.alias("region"), x.alias("x"), F.lit(means[c]).alias("mean")))
+        mean = F.lit(means[c] if means else None).cast("double")
+        rows.append(F.struct(F.lit(c).alias("column"), region.alias("region"), x.alias("x"), mean.alias("mean")))
     long = df.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where("x is not null")
     off = F.col("x") - F.col("mean")
     kept = F.when(F.col("region") % 2 == 1, F.col("x"))
-    names = piece_names("ss")[:4]
-    counted = long.groupBy("column", "region", kept.alias("x")).agg(F.count(F.lit(1)).alias("c"), *pieces("ss", off * off, wide=True))
+    names = piece_names("ss")[:4] if means else []
+    sums = pieces("ss", off * off, wide=True) if means else []
+    counted = long.groupBy("column", "region", kept.alias("x")).agg(F.count(F.lit(1)).alias("c"), *sums)
     out: dict[str, list[tuple]] = {c: [] for c in merged}
     squares = {c: [0, 0, 0, 0] for c in merged}
     for r in counted.collect():  # at most LIMIT values and a row per gap
         out[r["column"]].append((r["region"], r["x"] if r["x"] is not None else 0.0, r["c"]))
-        squares[r["column"]] = [a + int(r[n]) for a, n in zip(squares[r["column"]], names, strict=True)]
-    return {c: sorted(v) for c, v in out.items()}, {c: number(s) for c, s in squares.items()}
+        squares[r["column"]] = [a + int(r[n]) for a, n in zip(squares[r["column"]], names)]
+    return {c: sorted(v) for c, v in out.items()}, {c: number(s) for c, s in squares.items()} if means else {}
 
 
 def select(df: DataFrame, columns: Sequence[str], qs: Sequence[float], pandas_scaled: bool = False) -> dict[str, Selected]:
@@ -180,14 +182,14 @@ def order_statistic(df: DataFrame, column: str, rank: int) -> tuple[int, float,
         raise ValueError(f"no rank {rank} among {got['n']} values")
     lo, hi = _cuts(df, got["s"], _around(rank / got["n"]))
     below: dict[str, dict[int, int]] = {}
-    values, _ = _find(df, {column: [_Bracket(rank, lo, hi, math.ceil(2 * MARGIN * got["n"]))]}, {column: 0.0}, below)
+    values, _ = _find(df, {column: [_Bracket(rank, lo, hi, math.ceil(2 * MARGIN * got["n"]))]}, None, below)
     return got["n"], values[column][rank], below[column][rank]
 
 
-def _find(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str, float],
+def _find(df: DataFrame, brackets: dict[str, list[_Bracket]], means: dict[str, float] | None,
           below: dict[str, dict[int, int]] | None = None) -> tuple[dict[str, dict[int, float]], dict[str, float]]:
-    """Per column: the value of every bracket's rank, and the sum of squared deviations from the mean."""
-    values: dict[str, dict[int, float]] = {c: {} for c in means}
+    """Per column: the value of every bracket's rank, and with ``means`` the sum of squared deviations from the mean."""
+    values: dict[str, dict[int, float]] = {c: {} for c in brackets}
     squares: dict[str, float] = {}
     while any(brackets.values()):
         share = LIMIT // sum(map(len, brackets.values()))

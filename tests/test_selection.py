@@ -75,3 +75,9 @@ def test_rows_that_reach_the_driver_do_not_grow_with_the_distinct_values(spark,
     x = np.sort(np.arange(n) * 7919 % 300007)
     assert got.quantiles == [np.percentile(x, 25), np.percentile(x, 50)]
     assert len(held) == 1 and held[0] < 2100
+
+
+def test_an_order_statistic_sums_no_squares(spark):
+    # squares of these, like those of many hash numbers, are beyond a decimal of 38 digits
+    df = spark.createDataFrame([(x,) for x in (3e25, 1e25, 2e25, None, 2e25)], "x double")
+    assert [S.order_statistic(df, "x", k) for k in range(4)] == [(4, 1e25, 0), (4, 2e25, 1), (4, 2e25, 1), (4, 3e25, 3)]
