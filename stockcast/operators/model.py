@@ -23,6 +23,8 @@ from stockcast.operators.features import COPIES
 from stockcast.operators.sample import train_test_split, train_test_split_exact
 
 MODEL_ORDER = ("Linear Regression", "Random Forest", "Gradient Boosting")
+ROWS_PER_TASK = 500_000  # training rows that one task of a tree fit takes, where there are more than two tasks a slot
+CACHED_DEPTH = 5         # trees up to this depth are walked anew: that costs less than node ids written at each level
 
 
 @dataclass(frozen=True)
@@ -86,7 +88,8 @@ def estimators(s: ModelSettings = ModelSettings(), spark: SparkSession | None =
                                                maxMemoryInMB=mem, maxBins=s.max_bins),
         "Gradient Boosting": GBTRegressor(featuresCol="features", labelCol=label, maxIter=s.gbt_rounds,
                                           maxDepth=s.gbt_depth, stepSize=s.gbt_step, seed=s.seed,
-                                          cacheNodeIds=s.cache_node_ids, maxMemoryInMB=mem, maxBins=s.max_bins),
+                                          cacheNodeIds=s.cache_node_ids and s.gbt_depth > CACHED_DEPTH,
+                                          maxMemoryInMB=mem, maxBins=s.max_bins),
     }
     return {name: e.setWeightCol(weight) for name, e in out.items()} if weight else out
 
@@ -135,9 +138,22 @@ def split_frames(features: DataFrame, seed: int = SEED, keys: bool = True, exact
             base.where(F.col("split") == "test").drop("split"))
 
 
+def tree_input(train: DataFrame) -> DataFrame:
+    """The training rows in as many partitions as the task slots and their number ask for, at most those they have.
+
+    At each level of a forest every partition sends its statistics of all open
+    nodes, and a boosting of 100 rounds starts its tasks some 400 times: more
+    partitions than that cost time and shuffled bytes that do not depend on the rows.
+    """
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    return train.coalesce(max(2 * slots, -(-train.count() // ROWS_PER_TASK)))
+
+
 def fit(name: str, train: DataFrame, settings: ModelSettings = ModelSettings()) -> PipelineModel:
     """M2-M4: one regressor behind the assembler."""
     weight = COPIES if COPIES in train.columns else None
+    if name != "Linear Regression":
+        train = tree_input(train)
     return Pipeline(stages=[assembler(), estimators(settings, train.sparkSession, weight)[name]]).fit(train)
 
 

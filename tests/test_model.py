@@ -95,3 +95,23 @@ def test_command_line_writes_every_table(spark, tmpdir_path, monkeypatch):
             "predictions/summary", "reports/restock_recommendations", "reports/short_markdown", "reports/short_html", "reports/tables", "reports/prompts",
             "reports/picks", *(f"exploration/{x}" for x in ("describe", "top_products", "sales_by_country", "monthly_sales", "weekday_sales"))}
     assert want <= done
+
+
+def test_tree_fits_run_few_tasks_over_all_rows(spark, monkeypatch):
+    train = spark.range(400).repartition(60)
+    slots = spark.sparkContext.defaultParallelism
+    few = MD.tree_input(train)
+    assert few.rdd.getNumPartitions() == 2 * slots and few.count() == few.distinct().count() == 400
+    monkeypatch.setattr(MD, "ROWS_PER_TASK", 10)  # more rows, more partitions
+    assert MD.tree_input(train).rdd.getNumPartitions() == max(2 * slots, 40)
+    seen = []
+    monkeypatch.setattr(MD, "tree_input", lambda df: seen.append(df) or df)
+    rows = spark.range(50).selectExpr("id * 1.0D as Lag1_Quantity", "id * 2.0D as Rolling7_Quantity", "1 as Month", "2 as Day", "3 as DayOfWeek", "id * 3.0D as Quantity")
+    for name in MD.MODEL_ORDER:
+        MD.fit(name, rows, MD.ModelSettings(rf_trees=1, rf_depth=2, gbt_rounds=1))
+    assert len(seen) == 2
+
+
+def test_shallow_trees_keep_no_node_ids(spark):
+    made = MD.estimators(MD.ModelSettings(), spark)
+    assert made["Random Forest"].getCacheNodeIds() and not made["Gradient Boosting"].getCacheNodeIds()
