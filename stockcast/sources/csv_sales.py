@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from stockcast.functions.materialize import materialize
 from stockcast.operators.clean import with_invoice_timestamp
 from stockcast.operators.features import distinct_descriptions, first_description, first_description_by_place
-from stockcast.sources.records import block_table, lines_with_places, records_with_places, text_lines, without_return
+from stockcast.sources.records import block_bounds, block_table, first_lines, lines_with_places, records_with_places, text_lines, without_return
 
 #: Place of a record in the input (files by name); kept by ``sales(places=True)``.
 PLACE = "_place"
@@ -69,7 +69,16 @@ def _headers(blocks: DataFrame) -> list[tuple[str, bytes, bool]]:
     """
     facts = blocks.groupBy("file").agg(F.max(F.col("bad").cast("int")).alias("bad"))
     heads = blocks.filter("block = 0").select("file", "header")
-    return sorted((r["file"], bytes(r["header"] or b""), bool(r["bad"])) for r in facts.join(heads, "file").collect())
+    return _collected(facts.join(heads, "file"))
+
+
+def _collected(files: DataFrame) -> list[tuple[str, bytes, bool]]:
+    return sorted((r["file"], bytes(r["header"] or b""), bool(r["bad"])) for r in files.select("file", "header", "bad").collect())
+
+
+def _first_of(line: bytes) -> bytes:
+    """The first line of a line that ends at LF, where CR ends one too."""
+    return next((part for part in line.split(b"\r") if part.strip()), b"")
 
 
 class _Group:
@@ -85,9 +94,10 @@ class _Group:
 
 
 def _groups(spark: SparkSession, path: str, encoding: str, sep: str | None, multiline: bool = False) -> list[_Group]:
-    lines = text_lines(spark, path, False)
-    blocks = block_table(lines)
-    seen = _headers(blocks)
+    lines = text_lines(spark, path, multiline)
+    bounds = block_bounds(lines)
+    blocks = None if multiline else block_table(lines, bounds=bounds)
+    seen = [(f, _first_of(h), b) for f, h, b in _collected(first_lines(lines, bounds))] if multiline else _headers(blocks)
     if not seen:
         raise ValueError(f"empty input: {path}")
     if encoding == UTF8 and (bad := [f for f, _, b in seen if b]):
@@ -101,8 +111,9 @@ def _groups(spark: SparkSession, path: str, encoding: str, sep: str | None, mult
         files = path if len(formats) == 1 else sorted(headers)
         table = blocks if len(formats) == 1 else None
         if multiline:  # with the delimiter known, what quotes hold is known too; a header may go on in the next line
-            lines = text_lines(spark, files, True)
-            table = block_table(lines, delim)
+            if len(formats) > 1:
+                lines, bounds = text_lines(spark, files, True), None
+            table = block_table(lines, delim, bounds)
             headers = {f: h for f, h, _ in _headers(table)}
         names: dict[tuple[str, ...], list[str]] = {}
         for file, header in headers.items():

@@ -5,6 +5,7 @@ import io
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +172,44 @@ def test_first_description_by_date_decides_ties(spark):
     want = {r.StockCode: (r.Description, r.n) for r in df.where("StockCode is not null").groupBy("StockCode").agg(
         F.min_by("Description", F.struct("InvoiceDate", "Invoice", "Description")).alias("Description"), F.count("Description").alias("n")).collect()}
     assert got == want and len(got) == 6
+
+
+@pytest.mark.parametrize("text", [",\"\n\n ab\n", "\"\",x\n", "a\"b,\"\n"])
+def test_states_of_many_lines_are_those_of_single_ones(monkeypatch, text):
+    """By parity where opening quotes start fields, line by line elsewhere, over stretches of any length."""
+    rng = random.Random(4)
+    quotes = R.QuoteState(",")
+    for chunk in (1, 3, 1000):
+        monkeypatch.setattr(R, "CHUNK", chunk)
+        for _ in range(60):
+            lines = "".join(rng.choice(text) for _ in range(150)).encode().split(b"\n")
+            for inside in (False, True):
+                want, state = [], inside
+                for line in lines:
+                    state = quotes.after(line, state)
+                    want.append(state)
+                values = pa.array([b'"', *lines, b'"'], pa.binary()).slice(1, len(lines))
+                assert quotes.ends(values, inside).tolist() == want
+
+
+def test_well_formed_records_are_not_read_line_by_line(monkeypatch):
+    rows = rows_of(3000, seed=6)
+    lines = text_of(rows).encode().removesuffix(b"\n").split(b"\n")
+    entries = ["0 0 0 2 0", *[None] * (len(lines) - 1)]  # block, the file's place, the block's place, skip, inside
+    batches = [pa.RecordBatch.from_arrays([pa.array(entries[a:b], pa.string()), pa.array(lines[a:b], pa.binary())], names=["entry", "value"])
+               for a, b in ((0, 1700), (1700, 1701), (1701, len(lines)))]
+    monkeypatch.setattr(R.QuoteState, "after", lambda *a: pytest.fail("a line by itself"))
+    got = [r for b in R._cut(iter(batches), ",", False) for r in b.to_pylist()]
+    assert [r["place"] for r in got] == [r["row"] for r in got] == list(range(2, len(rows)))
+    assert [next(csv.reader(io.StringIO(r["value"].decode(), newline=""))) for r in got] == rows[2:]
+    assert list(R._cut(iter(batches), ",", True)) == []
+
+
+def test_quoted_line_breaks_in_files_of_two_formats(spark, tmpdir_path, small_blocks):
+    rows = [[c.replace("\xa0", " ") for c in r] for r in rows_of(40, seed=2)]
+    p = put(f"{tmpdir_path}/two", "a.csv", HEADER + text_of(rows[:20]))
+    out = io.StringIO()
+    csv.writer(out, delimiter=";", lineterminator="\n").writerows(rows[20:])
+    put(p, "b.csv", "\n" + HEADER.replace(",", ";") + out.getvalue() + "99;S9;\xe9t\xe9;1;01/12/09 07:45;1;1;X\n", "latin-1")
+    got = read_places(spark, p, encoding="auto", multiline=True).orderBy(PLACE).collect()
+    assert [(r.Invoice, r.Description or "") for r in got] == [(r[0], r[2]) for r in rows] + [("99", "\xe9t\xe9")]
