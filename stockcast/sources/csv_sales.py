@@ -136,10 +136,11 @@ def _raw(spark: SparkSession, path: str, encoding: str, sep: str | None, multili
         # fields by number: names may repeat or hold any character
         fields = ", ".join(f"c{i} string" for i in range(len(g.names) + 1))
         options = {"sep": g.sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": str(multiline).lower()}
+        # inline: no filter on a field moves below it, where the record would be parsed again for every field it names
         df = (g.records().select("file", "place", "row", text.alias("text")).filter(F.trim("text") != "")
-              .withColumn("c", F.from_csv("text", fields, options)))
-        columns = [F.when(~F.col(f"c.c{i}").isin(*MISSING_TEXT), F.col(f"c.c{i}")).alias(n) for i, n in enumerate(g.names)]
-        parts.append(df.select(*columns, F.col(f"c.c{len(g.names)}").isNotNull().alias(_EXTRA), F.col("place").alias(PLACE),
+              .select("file", "place", "row", "text", F.inline(F.array(F.from_csv("text", fields, options)))))
+        columns = [F.when(~F.col(f"c{i}").isin(*MISSING_TEXT), F.col(f"c{i}")).alias(n) for i, n in enumerate(g.names)]
+        parts.append(df.select(*columns, F.col(f"c{len(g.names)}").isNotNull().alias(_EXTRA), F.col("place").alias(PLACE),
                                F.col("file").alias(_FILE), F.col("row").alias(_ROW), F.col("text").alias(_RAW)))
     out = parts[0]
     for i, p in enumerate(parts[1:], 1):

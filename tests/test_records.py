@@ -7,6 +7,7 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockcast.sources import records as R
@@ -205,6 +206,15 @@ def test_well_formed_records_are_not_read_line_by_line(monkeypatch):
     assert list(R._cut(iter(batches), ",", True)) == []
 
 
+def test_a_record_is_parsed_once_and_lines_without_quoted_breaks_stay_in_the_jvm(spark, tmpdir_path, monkeypatch):
+    p = put(f"{tmpdir_path}/once", "a.csv", HEADER + text_of(rows_of(20, seed=9)[:1]))
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda *a, **k: pytest.fail("lines go to Python"))
+    sales = CsvSales(spark, p).sales().where("StockCode is not null and Quantity > 0")
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert sales.count() == 1
+
+
 def test_quoted_line_breaks_in_files_of_two_formats(spark, tmpdir_path, small_blocks):
     rows = [[c.replace("\xa0", " ") for c in r] for r in rows_of(40, seed=2)]
     p = put(f"{tmpdir_path}/two", "a.csv", HEADER + text_of(rows[:20]))
