@@ -716,7 +716,7 @@ def _model_test_predictions(spark, sf, name):
     from stockcast.operators import model as MD
     train, test = MD.split_frames(features(spark, sf, TRAINING))
     m = MD.fit(name, train, _settings())
-    return m.transform(test).select("StockCode", "Date", "Quantity", "prediction")
+    return MD.predictions(m, test).select("StockCode", "Date", "Quantity", "prediction")
 
 
 @query
