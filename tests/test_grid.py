@@ -126,3 +126,31 @@ def test_a_constant_target_and_constant_features(spark, on_grid):
     rows = spark.range(50).selectExpr("cast(id as int) as i", "id * 1.0D as Lag1_Quantity", "0.0D as Rolling7_Quantity", "1 as Month", "2 as Day", "0 as DayOfWeek", "5.0D as Quantity")
     for name in MD.MODEL_ORDER[1:]:
         assert set(_said(MD.fit(name, rows, SETTINGS), rows)) == {5.0}
+
+
+def _compared(spark, rows, monkeypatch):
+    """compare_models over many days of a few products, with the names of the learners that ran on the grid."""
+    seen = []
+    grown = MD.fit_on_grid
+    monkeypatch.setattr(MD, "fit_on_grid", lambda est, *a: [m := grown(est, *a), seen.append((type(est).__name__, m is not None))][0])
+    features = rows.withColumn("StockCode", F.concat(F.lit("P"), F.col("i") % 9)).withColumn("Date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("i")))
+    return MD.compare_models(features.drop(COPIES), MD.ModelSettings(rf_trees=4, rf_depth=5, gbt_rounds=4))[0], seen
+
+
+def test_compare_models_grows_both_tree_models_on_the_grid(spark, rows, monkeypatch):
+    theirs, seen = _compared(spark, rows, monkeypatch)
+    assert sorted(seen) == [("GBTRegressor", False), ("RandomForestRegressor", False)]
+    monkeypatch.setattr(G, "GRID_ROWS", 0)
+    ours, seen = _compared(spark, rows, monkeypatch)
+    assert ("GBTRegressor", True) in seen and ("RandomForestRegressor", True) in seen
+    a, b = ({r.model: r for r in x.collect()} for x in (theirs, ours))
+    assert a.keys() == b.keys() == set(MD.MODEL_ORDER) and {r.n for r in b.values()} == {r.n for r in a.values()}
+    for name in ("Linear Regression", "Gradient Boosting"):
+        assert abs(a[name].mse - b[name].mse) < 1e-9 and abs(a[name].r2 - b[name].r2) < 1e-9
+    assert abs(a["Random Forest"].r2 - b["Random Forest"].r2) < 0.05
+
+
+def test_best_model_of_grid_fits_is_the_highest_r2(spark, rows, on_grid, monkeypatch):
+    metrics, seen = _compared(spark, rows, monkeypatch)
+    best = max(metrics.collect(), key=lambda r: (r.r2, -r.position)).model
+    assert len(seen) == 2 and MD.best_model(metrics).first().model == best
